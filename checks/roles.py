@@ -9,6 +9,9 @@ from feedloom.functions.calendar import month_start
 from feedloom.operators.dedup import keep_one
 
 
+STOCK_AREA = "O"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,10 +35,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stock_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
+    kept = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == STOCK_AREA)
     return lines(spark, sf_dir).filter(kept).select(
         F.col("l_shipdate").cast("date").alias("date"),
-        F.col("l_linestatus").alias("area"),
         F.col("l_quantity").alias("quantity"),
     )
 
@@ -55,12 +57,21 @@ def _pick(column: str, choices: dict[str, str], otherwise: Column) -> Column:
 
 
 def silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_silver(first_prices(order_prices(spark, sf_dir)))
+
+
+def price_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For dimensions: dedup on date and product removes no date and no product, so it is left out."""
+    return _as_silver(order_prices(spark, sf_dir))
+
+
+def _as_silver(prices: DataFrame) -> DataFrame:
     names = _pick(
         "product",
         {"5-LOW": "Regular Gasoline", "4-NOT SPECIFIED": "Crude Oil"},
         F.concat("product", F.lit(" No 2 Diesel")),
     )
-    return first_prices(order_prices(spark, sf_dir)).select(
+    return prices.select(
         "date", F.col("price").alias("price_usd_per_gal"), names.alias("product_name")
     )
 

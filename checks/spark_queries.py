@@ -23,7 +23,7 @@ from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_ab
 from feedloom.operators.sinks import land_snapshot
 from feedloom.plans import marts, star
 from feedloom.plans.clean import clean_feed, tagged_feed
-from feedloom.scratch import scratch_path
+from feedloom.scratch import materialize, scratch_path
 from feedloom.sources.feeds import (
     MOVEMENTS,
     PRICES,
@@ -51,11 +51,11 @@ def _day(column: str) -> Column:
 def _weekly_fact(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     urgent = roles.order_prices(spark, sf_dir).filter(F.col("product").contains("URGENT"))
     stock = weekly_sum(
-        roles.stock_lines(spark, sf_dir), "date", "quantity", "total_stock", by=("area",), mode=mode, scale=CENTS
-    )
-    monthly = monthly_sum(roles.movement_lines(spark, sf_dir), "date", "amount", "monthly_value", scale=CENTS)
-    rows = join_on_week(roles.first_prices(urgent), stock, "date", mode)
-    return attach_month(rows, monthly, "date", "monthly_value").select(
+        roles.stock_lines(spark, sf_dir), "date", "quantity", "total_stock", mode=mode, scale=CENTS
+    ).withColumn("area", F.lit(roles.STOCK_AREA))
+    rows = join_on_week(roles.first_prices(urgent), stock, "date", mode, one_per_period=True)
+    monthly = _monthly_returns(spark, sf_dir)
+    return attach_month(rows, monthly, "date", "monthly_value", one_per_period=True).select(
         "date",
         "product",
         "area",
@@ -65,6 +65,10 @@ def _weekly_fact(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     )
 
 
+def _monthly_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly_sum(roles.movement_lines(spark, sf_dir), "date", "amount", "monthly_value", scale=CENTS)
+
+
 def weekly_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _weekly_fact(spark, sf_dir, "calendar")
 
@@ -74,7 +78,7 @@ def weekly_fact_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names swapped for keys through the dimensions; line status has no area member of its own."""
+    """Names swapped for keys by looking them up in the dimensions."""
     fact = weekly_fact_iso(spark, sf_dir)
     products = named_dimension(
         "product", "product_category", PRIORITIES, "Routine", (table(spark, sf_dir, "orders"), "o_orderpriority")
@@ -85,6 +89,7 @@ def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inner_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order meets its week's stock in every area; the sums are written so their size is known."""
     stock = weekly_sum(
         roles.lines(spark, sf_dir).withColumn("date", _day("l_shipdate")),
         "date",
@@ -93,14 +98,13 @@ def inner_week(spark: SparkSession, sf_dir: str) -> DataFrame:
         by=("l_linestatus",),
         scale=CENTS,
     )
+    stock = materialize(stock, scratch_path(spark, "weekly-stock"))
     return join_on_week(roles.order_prices(spark, sf_dir), stock, "date")
 
 
 def left_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    monthly = monthly_sum(roles.movement_lines(spark, sf_dir), "date", "amount", "monthly_value", scale=CENTS)
-    return attach_month(
-        roles.order_prices(spark, sf_dir), monthly, "date", "monthly_value", fill=0.0, found="has_macro"
-    )
+    prices, monthly = roles.order_prices(spark, sf_dir), _monthly_returns(spark, sf_dir)
+    return attach_month(prices, monthly, "date", "monthly_value", found="has_macro", one_per_period=True)
 
 
 def weekly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,12 +321,12 @@ def gold_fact_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices, stocks, _ = _silver(spark, sf_dir)
-    return star.dim_date(prices, stocks)
+    return star.dim_date(roles.price_members(spark, sf_dir), roles.silver_stocks(spark, sf_dir))
 
 
 def gold_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_product(*_silver(spark, sf_dir))
+    _, stocks, movements = _silver(spark, sf_dir)
+    return star.dim_product(roles.price_members(spark, sf_dir), stocks, movements)
 
 
 def gold_dim_area(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,12 +335,11 @@ def gold_dim_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices, stocks, movements = _silver(spark, sf_dir)
     return marts.weekly_mart(
-        star.market_fact(prices, stocks, movements, EXACT),
-        star.dim_date(prices, stocks),
-        star.dim_product(prices, stocks, movements),
-        star.dim_area(stocks, movements),
+        gold_fact(spark, sf_dir),
+        gold_dim_date(spark, sf_dir),
+        gold_dim_product(spark, sf_dir),
+        gold_dim_area(spark, sf_dir),
         category="Distillate Fuel",
         scale=CENTS,
     )
@@ -422,9 +425,9 @@ def season_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    monthly = monthly_sum(roles.movement_lines(spark, sf_dir), "date", "amount", "monthly_value", scale=CENTS)
     prices = roles.first_prices(roles.order_prices(spark, sf_dir))
-    rows = attach_month(prices, monthly, "date", "monthly_value", fill=None)
+    monthly = _monthly_returns(spark, sf_dir)
+    rows = attach_month(prices, monthly, "date", "monthly_value", fill=None, one_per_period=True)
     return marts.carry_forward(rows, "date", "monthly_value", ["product"])
 
 

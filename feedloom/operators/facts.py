@@ -1,9 +1,13 @@
 """Fact assembly: sum feeds to a period, line them up on calendar keys, swap names for keys.
 
-No join here carries a broadcast hint. A side is broadcast when Spark's own estimate, or its measured
-size at run time, is under the session's threshold, and otherwise both sides are shuffled; the summed
-sides have one row per period and area, so a skewed feed side can be split by adaptive execution
-against a copy of a small partition.
+A long feed should meet a short sum without being shuffled by week or month, since a few hundred such
+keys would make a few hundred, uneven, reducers. Two ways give that, both safe at any size:
+
+* a sum kept per period only has at most one row per week or month a date can name, some 530,000 weeks
+  of a few bytes, however much was summed. Joins take ``one_per_period=True`` for it and broadcast it;
+* a sum with more grouping columns has no such bound. Write it with ``scratch.materialize`` first: the
+  planner then knows its size, broadcasts it if that is under the session's threshold, and otherwise
+  shuffles both sides, where adaptive execution splits the weeks that are too big.
 """
 
 from __future__ import annotations
@@ -37,16 +41,25 @@ def monthly_sum(
     )
 
 
-def join_on_week(left: DataFrame, weekly: DataFrame, day: str, mode: str = "iso") -> DataFrame:
+def join_on_week(
+    left: DataFrame, weekly: DataFrame, day: str, mode: str = "iso", one_per_period: bool = False
+) -> DataFrame:
     """Rows of ``left`` that have a matching week, once per row ``weekly`` holds for it.
 
     If ``weekly`` is kept per area, a row meets every area of its week: area is not part of the key.
     """
-    return with_week_key(left, day, mode).join(weekly, WEEK_KEY, "inner").drop(*WEEK_KEY)
+    side = F.broadcast(weekly) if one_per_period else weekly
+    return with_week_key(left, day, mode).join(side, WEEK_KEY, "inner").drop(*WEEK_KEY)
 
 
 def attach_month(
-    left: DataFrame, monthly: DataFrame, day: str, value: str, fill: float | None = 0.0, found: str | None = None
+    left: DataFrame,
+    monthly: DataFrame,
+    day: str,
+    value: str,
+    fill: float | None = 0.0,
+    found: str | None = None,
+    one_per_period: bool = False,
 ) -> DataFrame:
     """Carry a monthly value onto every row of its month.
 
@@ -54,6 +67,8 @@ def attach_month(
     tells a filled zero from a reported one.
     """
     marked = monthly.withColumn("_found", F.lit(True))
+    if one_per_period:
+        marked = F.broadcast(marked)
     joined = left.withColumn(MONTH_KEY, month_start(F.col(day))).join(marked, MONTH_KEY, "left")
     columns = {}
     if fill is not None:

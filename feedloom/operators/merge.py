@@ -21,14 +21,15 @@ def upsert(
     """``target`` with each staged row inserted, or put in place of the row that has its key.
 
     Staged duplicates are first reduced to one row per key under ``order``. Rows of ``target`` that
-    are not staged survive. The anti join keeps the target's rows where they lie when the staged keys
-    are small enough to broadcast, and otherwise shuffles both sides on the key once; keys are unique
-    on both sides, so neither can be skewed. NULL keys match each other, so re-running stays harmless.
+    are not staged survive. The anti join reads only the staged key columns. It leaves the target's
+    rows where they lie when those keys are small enough to broadcast, and otherwise shuffles both
+    sides on the key once; keys are unique on both sides, so neither can be skewed. NULL keys match
+    each other, so re-running stays harmless.
     """
     one = keep_one(staged, keys, order)
     if target is None:
         return one
-    new = one.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    new = staged.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
     return target.join(new, same, "left_anti").unionByName(one)
 

@@ -70,7 +70,8 @@ def market_fact(
 
     The product is the price's own; stock and flow are those of the distillate total. Both names come
     from the feeds the dimensions are built from and a key is a hash of its name, so the keys are
-    computed in place; joining the dimensions to fetch them would shuffle to learn nothing.
+    computed in place; joining the dimensions to fetch them would shuffle to learn nothing. Stock and
+    flow cover one area, so they have one row per period and are broadcast under that bound.
     """
     name = F.col("product_name")
     price = prices.filter(name.contains(PRICE_PRODUCT)).select("date", "product_name", "price_usd_per_gal")
@@ -81,10 +82,9 @@ def market_fact(
         "date",
         "volume_k_barrels",
         "total_stock_k_barrels",
-        by=("area",),
         mode=options.week_key,
         scale=options.value_scale,
-    )
+    ).withColumn("area", F.lit(NATION))
     flow = monthly_sum(
         movements.filter(
             (F.col("country_code") == NATION)
@@ -96,8 +96,10 @@ def market_fact(
         "monthly_net_imports_k_bpd",
         scale=options.value_scale,
     )
-    rows = join_on_week(price, stock, "date", options.week_key)
-    rows = attach_month(rows, flow, "date", "monthly_net_imports_k_bpd", 0.0, options.has_macro)
+    rows = join_on_week(price, stock, "date", options.week_key, one_per_period=True)
+    rows = attach_month(
+        rows, flow, "date", "monthly_net_imports_k_bpd", 0.0, options.has_macro, one_per_period=True
+    )
     flag = [options.has_macro] if options.has_macro else []
     return rows.select(
         "date",
