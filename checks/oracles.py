@@ -243,7 +243,7 @@ FROM (
            l_linestatus AS area,
            ROW_NUMBER() OVER (
                PARTITION BY l_shipdate, l_returnflag, l_linestatus
-               ORDER BY CAST(l_linenumber AS VARCHAR) DESC, l_quantity DESC) AS rn
+               ORDER BY l_linenumber DESC, l_quantity DESC) AS rn
     FROM lineitem)
 WHERE rn = 1""",
     "clean_movement_feed": """
@@ -257,7 +257,7 @@ FROM (
         SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_date,
                CASE WHEN l_discount > 0 THEN l_extendedprice END AS volume_k_barrels_per_day,
                l_returnflag AS product_name, l_linestatus AS country_code,
-               'Net Imports ' || l_linenumber AS description, CAST(l_suppkey AS VARCHAR) AS snapshot
+               'Net Imports ' || l_tax AS description, l_linenumber AS snapshot
         FROM lineitem))
 WHERE rn = 1""",
     "dim_date": _dates(

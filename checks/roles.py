@@ -121,7 +121,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "orders").select(
         _document(F.array(record)).alias("document"),
-        F.make_date(F.year("o_orderdate") + years_later, F.lit(1), F.lit(1)).alias("load_date"),
+        F.make_date(F.year("o_orderdate") + years_later, F.lit(1), F.lit(1)).alias("snapshot"),
     )
 
 
@@ -156,8 +156,8 @@ def movement_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") > 0, F.col("l_extendedprice")),
         product_name=F.col("l_returnflag"),
         area_name=F.col("l_linestatus"),
-        series_description=F.concat(F.lit("Net Imports "), F.col("l_linenumber")),
+        series_description=F.concat(F.lit("Net Imports "), F.col("l_tax")),
     )
     return lines(spark, sf_dir).select(
-        _document(F.array(record)).alias("document"), F.col("l_suppkey").alias("snapshot")
+        _document(F.array(record)).alias("document"), F.col("l_linenumber").alias("snapshot")
     )

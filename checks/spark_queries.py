@@ -24,15 +24,7 @@ from feedloom.operators.sinks import land_snapshot
 from feedloom.plans import marts, star
 from feedloom.plans.clean import clean_feed, tagged_feed
 from feedloom.scratch import materialize, scratch_path
-from feedloom.sources.feeds import (
-    MOVEMENTS,
-    PRICES,
-    STOCKS,
-    keep_facets,
-    parse_documents,
-    read_documents,
-    unnest,
-)
+from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS, FeedSpec, keep_facets, read_documents, unnest
 from feedloom.sources.tables import date_range
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,8 +194,15 @@ def typed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _landed(spark: SparkSession, spec: FeedSpec, documents: DataFrame) -> DataFrame:
+    """Documents landed as files by snapshot and read back."""
+    path = scratch_path(spark, f"landed-{spec.name}")
+    land_snapshot(documents, path, "snapshot", fmt="text")
+    return read_documents(spark, spec, path, multi_line=False, stamp="snapshot")
+
+
 def explode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = parse_documents(roles.stock_documents(spark, sf_dir), STOCKS, "document", "snapshot")
+    documents = _landed(spark, STOCKS, roles.stock_documents(spark, sf_dir))
     record = "record.`{}`".format
     return unnest(documents).select(
         parse_day(F.col(record("period"))).alias("date"),
@@ -221,10 +220,9 @@ def month_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written to files, read back, cleaned into silver and quarantine; both are returned."""
+    """The whole job, from landed files to silver and quarantine tables; both are returned."""
     work = scratch_path(spark, "clean-prices")
-    roles.price_documents(spark, sf_dir).write.partitionBy("load_date").text(f"{work}/bronze")
-    documents = read_documents(spark, PRICES, f"{work}/bronze", multi_line=False, stamp="load_date")
+    documents = _landed(spark, PRICES, roles.price_documents(spark, sf_dir))
     clean_feed(spark, documents, PRICES, f"{work}/silver", f"{work}/quarantine", batch_id="1")
     silver = spark.read.parquet(f"{work}/silver/{PRICES.name}")
     bad = spark.read.parquet(f"{work}/quarantine/{PRICES.name}")
@@ -233,12 +231,12 @@ def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = parse_documents(roles.stock_documents(spark, sf_dir), STOCKS, "document", "snapshot")
+    documents = _landed(spark, STOCKS, roles.stock_documents(spark, sf_dir))
     return tagged_feed(documents, STOCKS).select(*STOCKS.columns, "error_reason")
 
 
 def clean_movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = parse_documents(roles.movement_documents(spark, sf_dir), MOVEMENTS, "document", "snapshot")
+    documents = _landed(spark, MOVEMENTS, roles.movement_documents(spark, sf_dir))
     return tagged_feed(documents, MOVEMENTS).select(*MOVEMENTS.columns, "error_reason")
 
 

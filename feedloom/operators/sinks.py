@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame
 STAGING_SUFFIX = "_staging"
 
 
-def land_snapshot(df: DataFrame, path: str, stamp: str = "load_date") -> None:
+def land_snapshot(df: DataFrame, path: str, stamp: str = "load_date", fmt: str = "parquet") -> None:
     """Write each load date to its own folder: landing a date again replaces it, a new date adds.
 
-    The rebalance shuffles rows towards few files per date but splits a date too big for one task.
+    ``fmt="text"`` lands documents as they came, one per line, which unlike one document per file can
+    be split among readers. The rebalance shuffles rows towards few files per date but splits a date
+    too big for one task.
     """
     (
         df.hint("rebalance", stamp)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(stamp)
-        .parquet(path)
+        .format(fmt)
+        .save(path)
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from feedloom.functions.parsing import parse_day, parse_month, parse_number
 from feedloom.operators.quality import Rule
 
+DOCUMENT = "_document"
 CORRUPT = "_corrupt_record"
 SNAPSHOT = "_snapshot"
 REJECT_ID = "_reject_id"
@@ -89,24 +90,20 @@ def read_documents(
         .json(path)
     )
     snapshot = F.col("_metadata.file_name" if stamp is None else stamp)
-    return raw.select("response", CORRUPT, snapshot.alias(SNAPSHOT))
-
-
-def parse_documents(df: DataFrame, spec: FeedSpec, text: str, snapshot: str) -> DataFrame:
-    """The same shape from documents already held as text in a column, such as a landed table."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.select(
-        F.from_json(F.col(text), document_schema(spec), options).alias("doc"),
-        F.col(snapshot).cast("string").alias(SNAPSHOT),
-    ).select("doc.response", f"doc.{CORRUPT}", SNAPSHOT)
+    return raw.select(F.struct("response", CORRUPT).alias(DOCUMENT), snapshot.alias(SNAPSHOT))
 
 
 def unnest(documents: DataFrame) -> DataFrame:
-    """One row per record. Empty documents vanish; unreadable ones stay as one row for quarantine."""
-    data = F.col("response.data")
-    return (
-        documents.filter((F.size(data) > 0) | F.col(CORRUPT).isNotNull())
-        .select(F.explode_outer(data).alias("record"), CORRUPT, SNAPSHOT)
+    """One row per record; empty documents vanish.
+
+    A document that breaks its schema anywhere gives a single row that carries its whole text to
+    quarantine. There is no filter here: one would be pushed below the parse, by repeating the parse.
+    The text gets a column of its own first, or every record would drag its whole document along.
+    """
+    data, corrupt = F.col(f"{DOCUMENT}.response.data"), F.col(CORRUPT)
+    records = F.when(corrupt.isNotNull(), F.array(F.lit(None))).otherwise(data)
+    return documents.withColumn(CORRUPT, F.col(f"{DOCUMENT}.{CORRUPT}")).select(
+        F.explode(records).alias("record"), CORRUPT, SNAPSHOT
     )
 
 
