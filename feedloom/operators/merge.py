@@ -34,8 +34,6 @@ def upsert(
     return target.join(new, same, "left_anti").unionByName(one)
 
 
-def require_keys(staged: DataFrame, keys: Sequence[str], table: str) -> None:
-    """A key column may not be NULL, as in any table with a primary key."""
-    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    if staged.filter(missing).limit(1).count():
-        raise MissingKeyError(f"{table}: staged rows with a NULL in {', '.join(keys)}")
+def null_key(keys: Sequence[str]) -> Column:
+    """True for a row that lacks part of its key, which no table with a primary key accepts."""
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])

@@ -5,7 +5,6 @@ last, says which folders make up each table now. A table may be cut into periods
 upsert then rewrites only the periods it touches and the pointer carries the others over, so a weekly
 load costs what the week's periods cost rather than what the table's history costs.
 
-    <root>/<table>/version=<n>/part-*.parquet
     <root>/<table>/version=<n>/period=<p>/part-*.parquet
     <root>/_published/<n>.json
 """
@@ -19,12 +18,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.operators.merge import require_keys, upsert
+from feedloom.operators.dedup import keep_latest
+from feedloom.operators.merge import MissingKeyError, null_key, upsert
 from feedloom.scratch import hadoop_path, path_exists
 
 POINTERS = "_published"
 PERIOD = "period"
-WHOLE = ""
+WHOLE = "all"
 
 
 @dataclass(frozen=True)
@@ -32,52 +32,64 @@ class ServedTable:
     """``period``, if given, is SQL over key columns, so that a key never moves between periods.
 
     It must be calendar-bounded (years, months): its distinct staged values are listed in the pointer.
+    Normally a staged row replaces the one that has its key, and no key column may be NULL. With
+    ``newest`` the row with the greater value of that column stays, wherever it comes from, so that
+    staging may arrive in any order; NULL is then a key value like any other.
     """
 
     name: str
     keys: Sequence[str]
     period: str | None = None
+    newest: str | None = None
 
 
 def publish(spark: SparkSession, root: str, staged: Mapping[str, DataFrame], tables: Sequence[ServedTable]) -> int:
-    """Upsert every staged table, then switch the pointer. Tables not staged keep what they have.
+    """Merge every staged table, then switch the pointer. Tables not staged keep what they have.
 
-    A failure before the switch leaves the old publish in force, and a retry overwrites the leftovers.
-    Two publishes at once are not merged: the second to switch fails, because its pointer exists.
+    Staged rows are read more than once; materialize them if they are costly. A failure before the
+    switch leaves the old publish in force, and a retry overwrites the leftovers. Two publishes at
+    once are not merged: the second to switch fails, because its pointer exists.
     """
     version, parts = _latest(spark, root)
     new = version + 1
     for table in tables:
         if table.name not in staged:
             continue
-        rows = staged[table.name]
-        require_keys(rows, table.keys, table.name)
+        period = F.lit(WHOLE) if table.period is None else F.expr(table.period).cast("string")
+        rows = staged[table.name].withColumn(PERIOD, period)
+        touched = _check_keys(rows, table)
         old = parts.get(table.name, {})
-        if table.period is None:
-            merged = upsert(_read(spark, root, table.name, old), rows, table.keys)
-            merged.write.mode("overwrite").parquet(_folder(root, table.name, new))
-            parts[table.name] = {WHOLE: new}
-            continue
-        rows = rows.withColumn(PERIOD, F.expr(table.period).cast("string"))
-        touched = [r[0] for r in rows.select(PERIOD).distinct().collect()]
         current = _read(spark, root, table.name, {p: v for p, v in old.items() if p in touched})
-        merged = upsert(current, rows, [*table.keys, PERIOD])
-        (
-            merged.hint("rebalance", PERIOD)
-            .write.mode("overwrite")
-            .partitionBy(PERIOD)
-            .parquet(_folder(root, table.name, new))
-        )
+        writer = _merged(current, rows, table).write.mode("overwrite").partitionBy(PERIOD)
+        writer.parquet(_folder(root, table.name, new))
         parts[table.name] = {**old, **{p: new for p in touched}}
     _switch(spark, root, new, parts)
     return new
 
 
+def _check_keys(rows: DataFrame, table: ServedTable) -> list[str]:
+    """The periods staged, in one pass that also refuses NULL keys. One row per period comes back."""
+    periods = rows.groupBy(PERIOD).agg(F.count_if(null_key(table.keys)).alias("_null_keys")).collect()
+    if table.newest is None and any(p["_null_keys"] for p in periods):
+        raise MissingKeyError(f"{table.name}: staged rows with a NULL in {', '.join(table.keys)}")
+    return [p[PERIOD] for p in periods]
+
+
+def _merged(current: DataFrame | None, rows: DataFrame, table: ServedTable) -> DataFrame:
+    keys = [*table.keys, PERIOD]
+    if table.newest is None:
+        merged = upsert(current, rows, keys)
+    else:
+        both = rows if current is None else current.unionByName(rows)
+        merged = keep_latest(both, keys, table.newest)
+    return merged if table.period is None else merged.hint("rebalance", PERIOD)
+
+
 def current_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The table as last published, or ``None`` if it never was."""
     _, parts = _latest(spark, root)
     df = _read(spark, root, table, parts.get(table, {}))
-    return df.drop(PERIOD) if df is not None and WHOLE not in parts[table] else df
+    return None if df is None else df.drop(PERIOD)
 
 
 def _folder(root: str, table: str, version: int) -> str:
@@ -85,10 +97,9 @@ def _folder(root: str, table: str, version: int) -> str:
 
 
 def _read(spark: SparkSession, root: str, table: str, parts: Mapping[str, int]) -> DataFrame | None:
+    """The given periods, each from the version that wrote it last."""
     if not parts:
         return None
-    if WHOLE in parts:
-        return spark.read.parquet(_folder(root, table, parts[WHOLE]))
     paths = [f"{_folder(root, table, v)}/{PERIOD}={p}" for p, v in sorted(parts.items())]
     df = spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("version")
     return df.withColumn(PERIOD, F.col(PERIOD).cast("string"))

@@ -70,20 +70,27 @@ def document_schema(spec: FeedSpec) -> T.StructType:
 
 
 def read_documents(
-    spark: SparkSession, spec: FeedSpec, path: str, multi_line: bool = True, stamp: str | None = None
+    spark: SparkSession,
+    spec: FeedSpec,
+    path: str,
+    multi_line: bool = True,
+    stamp: str | None = None,
+    stream: dict[str, str] | None = None,
 ) -> DataFrame:
     """Documents under ``path`` (a glob is fine) with the snapshot each came from.
 
     The file name carries the snapshot's date stamp, so names order snapshots; for landed documents
     ``stamp`` names the folder column (such as ``load_date``) that does. A multi-line document
     cannot be split: one task parses one file. That suits many bounded API responses; land anything
-    larger as one document per line and read it with ``multi_line=False``, which splits.
+    larger as one document per line and read it with ``multi_line=False``, which splits. ``stream``,
+    the options of a file stream, makes the result a streaming one.
     """
     schema = document_schema(spec)
     if stamp is not None:
         schema = schema.add(stamp, T.StringType())
+    reader = spark.read if stream is None else spark.readStream.options(**stream)
     raw = (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
