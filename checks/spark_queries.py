@@ -23,7 +23,7 @@ from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_ab
 from feedloom.operators.sinks import land_snapshot
 from feedloom.plans import marts, star
 from feedloom.plans.clean import clean_feed, tagged_feed
-from feedloom.scratch import materialize, scratch_path
+from feedloom.scratch import drop_path, materialize, scratch_root
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS, FeedSpec, keep_facets, read_documents, unnest
 from feedloom.sources.tables import date_range
 
@@ -37,6 +37,13 @@ def _day(column: str) -> Column:
     return F.col(column).cast("date")
 
 
+def _work_path(spark: SparkSession, label: str) -> str:
+    """A shared folder per session and query, emptied before each run so that reruns do not pile up."""
+    path = f"{scratch_root(spark)}/feedloom-checks/{spark.sparkContext.applicationId}/{label}"
+    drop_path(spark, path)
+    return path
+
+
 # Facts
 
 
@@ -90,7 +97,7 @@ def inner_week(spark: SparkSession, sf_dir: str) -> DataFrame:
         by=("l_linestatus",),
         scale=CENTS,
     )
-    stock = materialize(stock, scratch_path(spark, "weekly-stock"))
+    stock = materialize(stock, _work_path(spark, "weekly-stock"))
     return join_on_week(roles.order_prices(spark, sf_dir), stock, "date")
 
 
@@ -196,7 +203,7 @@ def typed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed(spark: SparkSession, spec: FeedSpec, documents: DataFrame) -> DataFrame:
     """Documents landed as files by snapshot and read back."""
-    path = scratch_path(spark, f"landed-{spec.name}")
+    path = _work_path(spark, f"landed-{spec.name}")
     land_snapshot(documents, path, "snapshot", fmt="text")
     return read_documents(spark, spec, path, multi_line=False, stamp="snapshot")
 
@@ -221,7 +228,7 @@ def month_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, from landed files to silver and quarantine tables; both are returned."""
-    work = scratch_path(spark, "clean-prices")
+    work = _work_path(spark, "clean-prices")
     documents = _landed(spark, PRICES, roles.price_documents(spark, sf_dir))
     clean_feed(spark, documents, PRICES, f"{work}/silver", f"{work}/quarantine", batch_id="1")
     silver = spark.read.parquet(f"{work}/silver/{PRICES.name}")
@@ -365,7 +372,7 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def publish_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three publishes of a table cut by year: everything, the new slice, the new slice again."""
-    root = scratch_path(spark, "serving")
+    root = _work_path(spark, "serving")
     served = [ServedTable("orders", ("o_orderkey", "order_day"), period="year(order_day)")]
     old, new = _old_and_new_orders(spark, sf_dir)
     for staged in (old, new, new):
@@ -375,7 +382,7 @@ def publish_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All load dates landed, then the later ones landed again with other prices."""
-    path = scratch_path(spark, "landing")
+    path = _work_path(spark, "landing")
     day = F.trunc(_day("o_orderdate"), "year")
     snapshots = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", day.alias("load_date"))
     again = snapshots.filter(F.col("load_date") >= F.lit("1999-01-01").cast("date"))

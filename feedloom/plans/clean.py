@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from feedloom.operators.dedup import keep_latest
 from feedloom.operators.quality import (
     REASON,
+    bad_rows,
+    quality_counts,
     require_rows,
     require_survivors,
     tag_errors,
@@ -29,8 +31,6 @@ from feedloom.sources.feeds import (
     unnest,
 )
 
-_IS_BAD = "_is_bad"
-
 
 @dataclass(frozen=True)
 class CleanCounts:
@@ -56,20 +56,17 @@ def clean_feed(
 ) -> CleanCounts:
     """Replace ``silver``/<feed> with the valid rows and store the bad ones under this batch.
 
-    The tagged rows are written once, split by outcome, to shared scratch. Counts then come from file
-    footers, and neither output recomputes the parse or the dedup or can disagree with the other. A
-    batch that is bad throughout still leaves its quarantine rows before the job fails.
+    The tagged rows are written once to shared scratch, so neither output recomputes the parse or the
+    dedup and the two cannot disagree. Reading them back is cheap: the counts need one column, and the
+    quarantine skips every row group whose reasons are all NULL. A batch that is bad throughout still
+    leaves its quarantine rows before the job fails.
     """
     work = scratch_path(spark, spec.name)
     try:
-        tagged = tagged_feed(documents, spec, dedup).withColumn(_IS_BAD, F.col(REASON).isNotNull())
-        stored = materialize(tagged, work, partition_by=(_IS_BAD,))
-        n = stored.agg(
-            F.count(F.lit(1)).alias("total"), F.count_if(F.col(_IS_BAD)).alias("bad")
-        ).first()
-        counts = CleanCounts(n.total, n.total - n.bad, n.bad)
-        require_rows(counts.total, spec.name)
-        bad = stored.filter(F.col(_IS_BAD)).select(
+        stored = materialize(tagged_feed(documents, spec, dedup), work)
+        n = quality_counts(stored).first()
+        require_rows(n.total_rows, spec.name)
+        bad = bad_rows(stored).select(
             *spec.columns,
             F.when(F.col(CORRUPT).isNull(), F.col(REJECT_ID)).alias("raw_period"),
             F.col(RAW_VALUE).alias("raw_value"),
@@ -78,10 +75,10 @@ def clean_feed(
             REASON,
         )
         write_quarantine(bad, f"{quarantine}/{spec.name}", batch_id)
-        require_survivors(counts.valid, spec.name)
-        good = stored.filter(~F.col(_IS_BAD)).select(*spec.columns)
+        require_survivors(n.valid_rows, spec.name)
+        good = valid_rows(stored).select(*spec.columns)
         replace_table(good, f"{silver}/{spec.name}", sort_by=(spec.date,))
-        return counts
+        return CleanCounts(n.total_rows, n.valid_rows, n.bad_rows)
     finally:
         drop_path(spark, work)
 

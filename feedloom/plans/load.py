@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.dims import require_unique_keys
-from feedloom.operators.publish import ServedTable, publish
+from feedloom.operators.publish import ServedTable, current_table, publish
 from feedloom.operators.sinks import stage_jdbc
 from feedloom.plans.star import DIM_AREA, DIM_DATE, DIM_PRODUCT, FACT
 from feedloom.scratch import drop_path, materialize, scratch_path
@@ -59,6 +59,20 @@ def load_star(spark: SparkSession, gold: str, serving: str) -> int | None:
         drop_path(spark, work)
 
 
+def register_served(spark: SparkSession, serving: str) -> list[str]:
+    """Make the published tables queryable by name in SQL; the names registered.
+
+    A view stays on the version it was registered at, so a long query never sees half a publish.
+    """
+    names = []
+    for table in SERVED:
+        df = current_table(spark, serving, table.name)
+        if df is not None:
+            df.createOrReplaceTempView(table.name)
+            names.append(table.name)
+    return names
+
+
 def stage_star(spark: SparkSession, gold: str, url: str, properties: Mapping[str, str]) -> list[str]:
     """Stage the gold tables that exist in a database; the names of the tables written."""
     rows = {table.name: serving_rows(spark, gold, table) for table in SERVED}

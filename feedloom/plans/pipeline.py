@@ -25,16 +25,20 @@ class Paths:
         return cls(*(f"{root}/{n}" for n in ("bronze", "silver", "quarantine", "gold", "serving")))
 
 
-def run(
-    spark: SparkSession, paths: Paths, batch_id: str, options: StarOptions = StarOptions()
-) -> dict[str, CleanCounts]:
-    """Run every step; any gate that fails stops the ones after it. Re-running a batch changes nothing."""
-    counts = {
+def clean_all(spark: SparkSession, paths: Paths, batch_id: str) -> dict[str, CleanCounts]:
+    return {
         spec.name: clean_files(
             spark, spec, f"{paths.bronze}/{FEED_FILES[spec.name]}", paths.silver, paths.quarantine, batch_id
         )
         for spec in (PRICES, STOCKS, MOVEMENTS)
     }
+
+
+def run(
+    spark: SparkSession, paths: Paths, batch_id: str, options: StarOptions = StarOptions()
+) -> dict[str, CleanCounts]:
+    """Run every step; any gate that fails stops the ones after it. Re-running a batch changes nothing."""
+    counts = clean_all(spark, paths, batch_id)
     build_star(spark, paths.silver, paths.gold, options)
     load_star(spark, paths.gold, paths.serving)
     return counts

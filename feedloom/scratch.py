@@ -46,19 +46,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts lineage without executor-local state, computes the plan once however often the result is
     used, and gives the planner real file sizes to choose join strategies from.
     """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(_read_schema(df, partition_by)).parquet(path)
-
-
-def _read_schema(df: DataFrame, partition_by: tuple[str, ...]):
-    fields = {f.name: f for f in df.schema.fields}
-    schema = type(df.schema)()
-    for name in [n for n in fields if n not in partition_by] + list(partition_by):
-        schema = schema.add(name, fields[name].dataType, True)
-    return schema
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

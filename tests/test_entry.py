@@ -26,5 +26,4 @@ def test_entry(spark):
 def test_query_matches_sql(spark, oracle, name):
     count, problems = differences(spark, oracle, name, SMALL)
     assert not problems
-    # Only a table without a gap in any series has nothing to report.
     assert count > 0

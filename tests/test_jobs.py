@@ -9,7 +9,8 @@ from feedloom.operators.dims import KeyCollisionError
 from feedloom.operators.publish import current_table
 from feedloom.operators.quality import FeedQualityError
 from feedloom.plans.clean import tagged_feed
-from feedloom.plans.load import load_star, stage_star
+from feedloom.__main__ import main
+from feedloom.plans.load import load_star, register_served, stage_star
 from feedloom.plans.pipeline import Paths, run
 from feedloom.plans.star import StarOptions, build_star, market_fact
 from feedloom.sources.feeds import PRICES, STOCKS, read_documents
@@ -142,6 +143,30 @@ def test_colliding_products_stop_the_build(spark, paths, land):
     assert current_table(spark, paths.serving, "dim_product").count() == 7
 
 
+def test_served_tables_answer_sql(spark, paths):
+    run(spark, paths, "1")
+    assert len(register_served(spark, paths.serving)) == 4
+    got = spark.sql("""
+        SELECT d.week_of_year, p.product_category, a.area_name, avg(f.price_usd_per_gal), sum(f.total_stock_k_barrels)
+        FROM fact_diesel_market f
+        JOIN dim_date d ON f.date = d.date
+        JOIN dim_product p ON f.product_id = p.product_id
+        JOIN dim_area a ON f.area_id = a.area_id
+        WHERE d.year = 2024 AND p.product_category = 'Distillate Fuel'
+        GROUP BY ALL ORDER BY 1""").collect()
+    assert [(r[0], r[1], r[2], float(r[3]), r[4]) for r in got] == [
+        (19, "Distillate Fuel", "U.S.", 3.123, 117.0),
+        (20, "Distillate Fuel", "U.S.", 3.2, 120.0),
+    ]
+
+
+def test_command_line(spark, paths, tmp_path):
+    main(["run", "--root", str(tmp_path), "--batch-id", "7"])
+    assert current_table(spark, paths.serving, "fact_diesel_market").count() == 2
+    with pytest.raises(SystemExit):
+        main(["run"])
+
+
 def test_stage_star_names(spark, paths, monkeypatch):
     run(spark, paths, "1")
     staged = []
