@@ -22,7 +22,7 @@ from feedloom.operators.publish import ServedTable, current_table, publish
 from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, split_valid, tag_errors
 from feedloom.operators.sinks import land_snapshot
 from feedloom.plans import marts, star
-from feedloom.plans.clean import clean_feed, tagged_feed
+from feedloom.plans.clean import store_feed, tagged_feed
 from feedloom.scratch import drop_path, materialize, scratch_root
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS, FeedSpec, keep_facets, read_documents, unnest
 from feedloom.sources.tables import date_range
@@ -230,7 +230,7 @@ def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, from landed files to silver and quarantine tables; both are returned."""
     work = _work_path(spark, "clean-prices")
     documents = _landed(spark, PRICES, roles.price_documents(spark, sf_dir))
-    clean_feed(spark, documents, PRICES, f"{work}/silver", f"{work}/quarantine", batch_id="1")
+    store_feed(spark, tagged_feed(documents, PRICES), PRICES, f"{work}/silver", f"{work}/quarantine", batch_id="1")
     silver = spark.read.parquet(f"{work}/silver/{PRICES.name}")
     bad = spark.read.parquet(f"{work}/quarantine/{PRICES.name}")
     kept = [*PRICES.columns, "error_reason"]

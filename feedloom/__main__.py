@@ -1,7 +1,7 @@
 """Run the jobs with ``spark-submit``: ``feedloom/__main__.py STEP --root ROOT [--batch-id ID]``.
 
-Steps: ``clean`` (three feeds), ``star``, ``load``, or ``run`` for all of them. ROOT holds the bronze,
-silver, quarantine, gold and serving folders. Memory, cores and shuffle settings come from the submit.
+Steps: ``clean`` (three feeds), ``star``, ``load``, or ``run`` for all of them. ROOT, on storage that
+every executor can reach, holds the bronze, silver, quarantine, gold and serving folders. Memory, cores and shuffle settings come from the submit.
 """
 
 from __future__ import annotations
@@ -23,14 +23,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--batch-id", default="manual")
     parser.add_argument("--week-key", choices=("iso", "calendar"), default="iso")
     parser.add_argument("--key-method", choices=("crc32", "xxhash64"), default="crc32")
+    parser.add_argument("--incremental", action="store_true", help="read only snapshots not yet seen")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"feedloom-{args.step}").getOrCreate()
     paths = Paths.under(args.root.rstrip("/"))
     options = StarOptions(week_key=args.week_key, key_method=args.key_method)
     if args.step == "run":
-        run(spark, paths, args.batch_id, options)
+        run(spark, paths, args.batch_id, options, args.incremental)
     elif args.step == "clean":
-        clean_all(spark, paths, args.batch_id)
+        clean_all(spark, paths, args.batch_id, args.incremental)
     elif args.step == "star":
         build_star(spark, paths.silver, paths.gold, options)
     else:

@@ -51,8 +51,8 @@ def tagged_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> Dat
     return tag_errors(rows, spec.all_rules)
 
 
-def clean_feed(
-    spark: SparkSession, documents: DataFrame, spec: FeedSpec, silver: str, quarantine: str, batch_id: str, dedup: bool = True
+def store_feed(
+    spark: SparkSession, tagged: DataFrame, spec: FeedSpec, silver: str, quarantine: str, batch_id: str
 ) -> CleanCounts:
     """Replace ``silver``/<feed> with the valid rows and store the bad ones under this batch.
 
@@ -63,7 +63,7 @@ def clean_feed(
     """
     work = scratch_path(spark, spec.name)
     try:
-        stored = materialize(tagged_feed(documents, spec, dedup), work)
+        stored = materialize(tagged, work)
         n = quality_counts(stored).first()
         require_rows(n.total_rows, spec.name)
         bad = bad_rows(stored).select(
@@ -91,4 +91,6 @@ def valid_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> Data
 def clean_files(
     spark: SparkSession, spec: FeedSpec, path: str, silver: str, quarantine: str, batch_id: str, multi_line: bool = True
 ) -> CleanCounts:
-    return clean_feed(spark, read_documents(spark, spec, path, multi_line), spec, silver, quarantine, batch_id)
+    """Clean every snapshot under ``path``."""
+    tagged = tagged_feed(read_documents(spark, spec, path, multi_line), spec)
+    return store_feed(spark, tagged, spec, silver, quarantine, batch_id)

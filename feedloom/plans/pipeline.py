@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import SparkSession
 
@@ -10,6 +10,7 @@ from feedloom.plans.clean import CleanCounts, clean_files
 from feedloom.plans.load import load_star
 from feedloom.plans.star import StarOptions, build_star
 from feedloom.sources.feeds import FEED_FILES, MOVEMENTS, PRICES, STOCKS
+from feedloom.streaming.incremental import clean_arrivals
 
 
 @dataclass(frozen=True)
@@ -19,26 +20,38 @@ class Paths:
     quarantine: str
     gold: str
     serving: str
+    arrivals: str
+    checkpoints: str
 
     @classmethod
     def under(cls, root: str) -> Paths:
-        return cls(*(f"{root}/{n}" for n in ("bronze", "silver", "quarantine", "gold", "serving")))
-
-
-def clean_all(spark: SparkSession, paths: Paths, batch_id: str) -> dict[str, CleanCounts]:
-    return {
-        spec.name: clean_files(
-            spark, spec, f"{paths.bronze}/{FEED_FILES[spec.name]}", paths.silver, paths.quarantine, batch_id
-        )
-        for spec in (PRICES, STOCKS, MOVEMENTS)
-    }
+        return cls(*(f"{root}/{field.name}" for field in fields(cls)))
+
+
+def clean_all(spark: SparkSession, paths: Paths, batch_id: str, incremental: bool = False) -> dict[str, CleanCounts]:
+    """Clean the three feeds from every snapshot in bronze, or from those not yet seen."""
+    counts = {}
+    for spec in (PRICES, STOCKS, MOVEMENTS):
+        source = f"{paths.bronze}/{FEED_FILES[spec.name]}"
+        outputs = (paths.silver, paths.quarantine, batch_id)
+        if incremental:
+            checkpoint = f"{paths.checkpoints}/{spec.name}"
+            store = f"{paths.arrivals}/{spec.name}"
+            counts[spec.name] = clean_arrivals(spark, spec, source, store, checkpoint, *outputs)
+        else:
+            counts[spec.name] = clean_files(spark, spec, source, *outputs)
+    return counts
 
 
 def run(
-    spark: SparkSession, paths: Paths, batch_id: str, options: StarOptions = StarOptions()
+    spark: SparkSession,
+    paths: Paths,
+    batch_id: str,
+    options: StarOptions = StarOptions(),
+    incremental: bool = False,
 ) -> dict[str, CleanCounts]:
     """Run every step; any gate that fails stops the ones after it. Re-running a batch changes nothing."""
-    counts = clean_all(spark, paths, batch_id)
+    counts = clean_all(spark, paths, batch_id, incremental)
     build_star(spark, paths.silver, paths.gold, options)
     load_star(spark, paths.gold, paths.serving)
     return counts

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.operators.publish import ServedTable, current_table, publish
-from feedloom.operators.quality import tag_errors
+from feedloom.operators.quality import FeedQualityError, tag_errors
+from feedloom.plans.clean import CleanCounts, store_feed
 from feedloom.scratch import drop_path, materialize, scratch_path
 from feedloom.sources.feeds import REJECT_ID, SNAPSHOT, FeedSpec, read_documents, shape, unnest
 
@@ -35,7 +36,7 @@ def merge_arrivals(
     """Merge the snapshots that arrived under ``source`` since the last run, then stop.
 
     ``checkpoint`` must be shared storage. A batch replayed after a failure changes nothing, because a
-    row never replaces itself.
+    row never replaces itself. The first run needs at least one snapshot to be there.
     """
     documents = read_documents(
         spark, spec, source, multi_line, stream={"maxFilesPerTrigger": str(files_per_batch)}
@@ -63,3 +64,22 @@ def arrived_feed(spark: SparkSession, spec: FeedSpec, store: str) -> DataFrame |
     """Everything that has arrived, one row per key, with its error reason or NULL."""
     rows = current_table(spark, store, spec.name)
     return None if rows is None else tag_errors(rows, spec.all_rules)
+
+
+def clean_arrivals(
+    spark: SparkSession,
+    spec: FeedSpec,
+    source: str,
+    store: str,
+    checkpoint: str,
+    silver: str,
+    quarantine: str,
+    batch_id: str,
+    multi_line: bool = True,
+) -> CleanCounts:
+    """The batch cleaning job's outputs and gates, without reading old snapshots again."""
+    merge_arrivals(spark, spec, source, store, checkpoint, multi_line)
+    tagged = arrived_feed(spark, spec, store)
+    if tagged is None:
+        raise FeedQualityError(f"{spec.name}: no snapshot has arrived yet")
+    return store_feed(spark, tagged, spec, silver, quarantine, batch_id)

@@ -13,7 +13,10 @@ from checks.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
+    """Many tiny plans: compiling them and spreading them over partitions would be most of the time."""
     session = local_session(4, memory="4g")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 

@@ -1,6 +1,7 @@
 """Whole jobs on small hand-made feeds."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -239,5 +240,18 @@ def test_incremental_equals_batch(spark, tmp_path, land, arrival):
     assert got.count() == 4
 
 
+def test_incremental_pipeline_equals_batch(spark, paths, land, tmp_path):
+    """Two incremental runs over growing bronze serve what one batch run over all of it serves."""
+    run(spark, paths, "1", incremental=True)
+    land("prices_20240520.json", [price("2024-05-20", 3.3), price("2024-05-13", -1), price("2024-05-06", 3.5)])
+    land("supply_20240520.json", [stock("2024-05-24", 130)])
+    counts = run(spark, paths, "2", incremental=True)
+    batch = replace(Paths.under(str(tmp_path / "batch")), bronze=paths.bronze)
+    assert counts == run(spark, batch, "2")
+    for layer in ("silver/petroleum_prices", "silver/supply_estimates", "gold/fact_diesel_market", "gold/dim_date"):
+        got, want = (spark.read.parquet(f"{root}/{layer}") for root in (tmp_path, tmp_path / "batch"))
+        assert rows(got) == rows(want)
+
+
 def test_nothing_arrived(spark, tmp_path):
     assert arrived_feed(spark, PRICES, str(tmp_path / "store")) is None
