@@ -100,6 +100,9 @@ def silver_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Documents are made after the shuffle that spreads their rows by snapshot: rows are narrower than text.
+
+
 def _document(records: Column) -> Column:
     return F.to_json(F.struct(F.struct(records.alias("data")).alias("response")))
 
@@ -119,7 +122,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         product_name=F.col("o_orderpriority"),
         process_name=status,
     )
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").hint("rebalance", "o_orderstatus").select(
         _document(F.array(record)).alias("document"),
         F.make_date(F.year("o_orderdate") + years_later, F.lit(1), F.lit(1)).alias("snapshot"),
     )
@@ -144,7 +147,7 @@ def stock_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for process, value in measures.items()
     ]
-    return lines(spark, sf_dir).select(
+    return lines(spark, sf_dir).hint("rebalance", "l_linenumber").select(
         _document(F.array(*records)).alias("document"), F.col("l_linenumber").alias("snapshot")
     )
 
@@ -158,6 +161,6 @@ def movement_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         area_name=F.col("l_linestatus"),
         series_description=F.concat(F.lit("Net Imports "), F.col("l_tax")),
     )
-    return lines(spark, sf_dir).select(
+    return lines(spark, sf_dir).hint("rebalance", "l_linenumber").select(
         _document(F.array(record)).alias("document"), F.col("l_linenumber").alias("snapshot")
     )

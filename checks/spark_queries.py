@@ -204,7 +204,7 @@ def typed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, spec: FeedSpec, documents: DataFrame) -> DataFrame:
     """Documents landed as files by snapshot and read back."""
     path = _work_path(spark, f"landed-{spec.name}")
-    land_snapshot(documents, path, "snapshot", fmt="text")
+    land_snapshot(documents, path, "snapshot", fmt="text", rebalance=False)
     return read_documents(spark, spec, path, multi_line=False, stamp="snapshot")
 
 

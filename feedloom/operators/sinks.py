@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame
 STAGING_SUFFIX = "_staging"
 
 
-def land_snapshot(df: DataFrame, path: str, stamp: str = "load_date", fmt: str = "parquet") -> None:
+def land_snapshot(
+    df: DataFrame, path: str, stamp: str = "load_date", fmt: str = "parquet", rebalance: bool = True
+) -> None:
     """Write each load date to its own folder: landing a date again replaces it, a new date adds.
 
     ``fmt="text"`` lands documents as they came, one per line, which unlike one document per file can
     be split among readers. The rebalance shuffles rows towards few files per date but splits a date
-    too big for one task.
+    too big for one task; leave it out for rows that are spread by date already.
     """
+    rows = df.hint("rebalance", stamp) if rebalance else df
     (
-        df.hint("rebalance", stamp)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(stamp)
         .format(fmt)
