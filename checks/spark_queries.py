@@ -16,7 +16,15 @@ from feedloom.functions.parsing import parse_day, parse_month, parse_number
 from feedloom.functions.sums import mean, total
 from feedloom.operators.dedup import keep_latest, keep_one, latest_n, latest_n_per_series
 from feedloom.operators.dims import conform, date_dimension, named_dimension
-from feedloom.operators.facts import attach_month, join_on_week, lookup_key, monthly_sum, round_to, weekly_sum
+from feedloom.operators.facts import (
+    add_monthly_total,
+    add_weekly_total,
+    join_on_week,
+    lookup_key,
+    monthly_sum,
+    round_to,
+    weekly_sum,
+)
 from feedloom.operators.merge import upsert
 from feedloom.operators.publish import ServedTable, current_table, publish
 from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, split_valid, tag_errors
@@ -49,23 +57,25 @@ def _work_path(spark: SparkSession, label: str) -> str:
 
 def _weekly_fact(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     urgent = roles.order_prices(spark, sf_dir).filter(F.col("product").contains("URGENT"))
-    stock = weekly_sum(
-        roles.stock_lines(spark, sf_dir), "date", "quantity", "total_stock", mode=mode, scale=CENTS
-    ).withColumn("area", F.lit(roles.STOCK_AREA))
-    rows = join_on_week(roles.first_prices(urgent), stock, "date", mode, one_per_period=True)
-    monthly = _monthly_returns(spark, sf_dir)
-    return attach_month(rows, monthly, "date", "monthly_value", one_per_period=True).select(
+    stock = roles.stock_lines(spark, sf_dir)
+    rows = add_weekly_total(
+        roles.first_prices(urgent), "date", stock, "date", "quantity", "total_stock", mode, CENTS
+    )
+    return _with_returns(rows, spark, sf_dir).select(
         "date",
         "product",
-        "area",
+        F.lit(roles.STOCK_AREA).alias("area"),
         round_to("price", 3).alias("price"),
         "total_stock",
         round_to("monthly_value", 2).alias("monthly_value"),
     )
 
 
-def _monthly_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_sum(roles.movement_lines(spark, sf_dir), "date", "amount", "monthly_value", scale=CENTS)
+def _with_returns(
+    rows: DataFrame, spark: SparkSession, sf_dir: str, fill: float | None = 0.0, found: str | None = None
+) -> DataFrame:
+    returns = roles.movement_lines(spark, sf_dir)
+    return add_monthly_total(rows, "date", returns, "date", "amount", "monthly_value", fill, found, CENTS)
 
 
 def weekly_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,8 +112,7 @@ def inner_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def left_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices, monthly = roles.order_prices(spark, sf_dir), _monthly_returns(spark, sf_dir)
-    return attach_month(prices, monthly, "date", "monthly_value", found="has_macro", one_per_period=True)
+    return _with_returns(roles.order_prices(spark, sf_dir), spark, sf_dir, found="has_macro")
 
 
 def weekly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -430,9 +439,7 @@ def season_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = roles.first_prices(roles.order_prices(spark, sf_dir))
-    monthly = _monthly_returns(spark, sf_dir)
-    rows = attach_month(prices, monthly, "date", "monthly_value", fill=None, one_per_period=True)
+    rows = _with_returns(roles.first_prices(roles.order_prices(spark, sf_dir)), spark, sf_dir, fill=None)
     return marts.carry_forward(rows, "date", "monthly_value", ["product"])
 
 

@@ -23,13 +23,12 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -
     The order is total up to identical rows, so the survivor does not depend on file order, on
     partitioning, or on how often the plan is evaluated.
     """
-    rest = [F.col(f"`{c}`").desc_nulls_last() for c in df.columns if c not in keys]
-    return _first_rows(df, keys, [*order, *rest], 1)
+    return _first_rows(df, keys, [*order, *_descending(df, keys)], 1)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], newest: str) -> DataFrame:
-    """Per key, the row with the greatest ``newest``."""
-    return keep_one(df, keys, [F.col(newest).desc_nulls_last()])
+    """Per key, the row with the greatest ``newest``, ties broken as in ``keep_one``."""
+    return _first_rows(df, keys, [F.col(newest).desc_nulls_last(), *_descending(df, [*keys, newest])], 1)
 
 
 def latest_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
@@ -51,6 +50,10 @@ def latest_n_per_series(
     return _first_rows(df, series, order, n)
 
 
+def _descending(df: DataFrame, besides: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`").desc_nulls_last() for c in df.columns if c not in besides]
+
+
 def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     # A row that is nothing but its key has no order of its own; any constant will do.
     window = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))

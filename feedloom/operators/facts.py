@@ -3,8 +3,9 @@
 A long feed should meet a short sum without being shuffled by week or month, since a few hundred such
 keys would make a few hundred, uneven, reducers. Two ways give that, both safe at any size:
 
-* a sum kept per period only has at most one row per week or month a date can name, some 530,000 weeks
-  of a few bytes, however much was summed. Joins take ``one_per_period=True`` for it and broadcast it;
+* a sum kept per period only has at most one row per week or month that a four-digit year can name, some
+  530,000 weeks of a few bytes, however much was summed. ``add_weekly_total`` and ``add_monthly_total``
+  make that sum themselves, so the bound holds by construction, and broadcast it;
 * a sum with more grouping columns has no such bound. Write it with ``scratch.materialize`` first: the
   planner then knows its size, broadcasts it if that is under the session's threshold, and otherwise
   shuffles both sides, where adaptive execution splits the weeks that are too big.
@@ -41,15 +42,27 @@ def monthly_sum(
     )
 
 
-def join_on_week(
-    left: DataFrame, weekly: DataFrame, day: str, mode: str = "iso", one_per_period: bool = False
-) -> DataFrame:
+def join_on_week(left: DataFrame, weekly: DataFrame, day: str, mode: str = "iso") -> DataFrame:
     """Rows of ``left`` that have a matching week, once per row ``weekly`` holds for it.
 
     If ``weekly`` is kept per area, a row meets every area of its week: area is not part of the key.
     """
-    side = F.broadcast(weekly) if one_per_period else weekly
-    return with_week_key(left, day, mode).join(side, WEEK_KEY, "inner").drop(*WEEK_KEY)
+    return with_week_key(left, day, mode).join(weekly, WEEK_KEY, "inner").drop(*WEEK_KEY)
+
+
+def add_weekly_total(
+    left: DataFrame,
+    day: str,
+    feed: DataFrame,
+    feed_day: str,
+    value: str,
+    out: str,
+    mode: str = "iso",
+    scale: int | None = None,
+) -> DataFrame:
+    """Rows of ``left`` whose week occurs in ``feed``, with that week's total."""
+    weekly = weekly_sum(feed, feed_day, value, out, mode=mode, scale=scale)
+    return join_on_week(left, F.broadcast(weekly), day, mode)
 
 
 def attach_month(
@@ -59,7 +72,6 @@ def attach_month(
     value: str,
     fill: float | None = 0.0,
     found: str | None = None,
-    one_per_period: bool = False,
 ) -> DataFrame:
     """Carry a monthly value onto every row of its month.
 
@@ -67,8 +79,6 @@ def attach_month(
     tells a filled zero from a reported one.
     """
     marked = monthly.withColumn("_found", F.lit(True))
-    if one_per_period:
-        marked = F.broadcast(marked)
     joined = left.withColumn(MONTH_KEY, month_start(F.col(day))).join(marked, MONTH_KEY, "left")
     columns = {}
     if fill is not None:
@@ -78,6 +88,22 @@ def attach_month(
     return joined.withColumns(columns).drop("_found", MONTH_KEY) if columns else joined.drop("_found", MONTH_KEY)
 
 
+def add_monthly_total(
+    left: DataFrame,
+    day: str,
+    feed: DataFrame,
+    feed_day: str,
+    value: str,
+    out: str,
+    fill: float | None = 0.0,
+    found: str | None = None,
+    scale: int | None = None,
+) -> DataFrame:
+    """Every row of ``left`` with its month's total from ``feed``."""
+    monthly = monthly_sum(feed, feed_day, value, out, scale=scale)
+    return attach_month(left, F.broadcast(monthly), day, out, fill, found)
+
+
 def lookup_key(df: DataFrame, dim: DataFrame, name: str, dim_name: str, key: str) -> DataFrame:
     """Replace nothing, add ``key`` from the dimension row whose name matches; NULL without a match."""
     members = dim.select(F.col(dim_name).alias("_member"), F.col(key))

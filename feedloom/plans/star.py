@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.classify import AREA_CLASSES, AREA_OTHERWISE, PRODUCT_CLASSES, PRODUCT_OTHERWISE
 from feedloom.functions.keys import surrogate_key
 from feedloom.operators.dims import date_dimension, named_dimension, require_unique_keys
-from feedloom.operators.facts import attach_month, join_on_week, monthly_sum, round_to, weekly_sum
+from feedloom.operators.facts import add_monthly_total, add_weekly_total, round_to
 from feedloom.operators.sinks import replace_table
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS
 
@@ -71,40 +71,41 @@ def market_fact(
     The product is the price's own; stock and flow are those of the distillate total. Both names come
     from the feeds the dimensions are built from and a key is a hash of its name, so the keys are
     computed in place; joining the dimensions to fetch them would shuffle to learn nothing. Stock and
-    flow cover one area, so they have one row per period and are broadcast under that bound.
+    flow cover one area, so a total per period is all there is to join.
     """
     name = F.col("product_name")
     price = prices.filter(name.contains(PRICE_PRODUCT)).select("date", "product_name", "price_usd_per_gal")
-    stock = weekly_sum(
-        stocks.filter(
-            (F.col("process_name") == STOCK_PROCESS) & (F.col("area") == NATION) & name.contains(STOCK_PRODUCT)
-        ),
+    stock = stocks.filter(
+        (F.col("process_name") == STOCK_PROCESS) & (F.col("area") == NATION) & name.contains(STOCK_PRODUCT)
+    )
+    flow = movements.filter(
+        (F.col("country_code") == NATION) & name.contains(STOCK_PRODUCT) & F.col("description").contains(FLOW)
+    )
+    rows = add_weekly_total(
+        price,
+        "date",
+        stock,
         "date",
         "volume_k_barrels",
         "total_stock_k_barrels",
-        mode=options.week_key,
-        scale=options.value_scale,
-    ).withColumn("area", F.lit(NATION))
-    flow = monthly_sum(
-        movements.filter(
-            (F.col("country_code") == NATION)
-            & name.contains(STOCK_PRODUCT)
-            & F.col("description").contains(FLOW)
-        ),
+        options.week_key,
+        options.value_scale,
+    )
+    rows = add_monthly_total(
+        rows,
+        "date",
+        flow,
         "month_date",
         "volume_k_barrels_per_day",
         "monthly_net_imports_k_bpd",
+        found=options.has_macro,
         scale=options.value_scale,
     )
-    rows = join_on_week(price, stock, "date", options.week_key, one_per_period=True)
-    rows = attach_month(
-        rows, flow, "date", "monthly_net_imports_k_bpd", 0.0, options.has_macro, one_per_period=True
-    )
     flag = [options.has_macro] if options.has_macro else []
     return rows.select(
         "date",
         surrogate_key(name, options.key_method).alias("product_id"),
-        surrogate_key(F.col("area"), options.key_method).alias("area_id"),
+        surrogate_key(F.lit(NATION), options.key_method).alias("area_id"),
         round_to("price_usd_per_gal", 3).alias("price_usd_per_gal"),
         "total_stock_k_barrels",
         round_to("monthly_net_imports_k_bpd", 2).alias("monthly_net_imports_k_bpd"),

@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.dedup import keep_latest, keep_one, latest_n, latest_n_per_series
 from feedloom.operators.dims import KeyCollisionError, conform, named_dimension, require_unique_keys
-from feedloom.operators.facts import attach_month, join_on_week, lookup_key, monthly_sum, weekly_sum
+from feedloom.operators.facts import (
+    add_monthly_total,
+    add_weekly_total,
+    attach_month,
+    join_on_week,
+    lookup_key,
+    monthly_sum,
+    weekly_sum,
+)
 from feedloom.operators.merge import upsert
 from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, split_valid, tag_errors
 from feedloom.operators.sinks import append_table, land_snapshot, replace_table, stage_jdbc
@@ -126,9 +134,13 @@ def test_week_join_at_year_end(spark):
         ("iso", "2024-01-05", False),
         ("calendar", "2024-01-05", True),
     ):
-        weekly = weekly_sum(feed(spark, (date, 10)), "date", "v", "stock", mode=mode)
-        for bounded in (True, False):
-            assert (join_on_week(price, weekly, "date", mode, bounded).count() == 1) is joins
+        stock = feed(spark, (date, 10))
+        weekly = weekly_sum(stock, "date", "v", "stock", mode=mode)
+        for joined in (
+            join_on_week(price, weekly, "date", mode),
+            add_weekly_total(price, "date", stock, "date", "v", "stock", mode),
+        ):
+            assert (joined.count() == 1) is joins
 
 
 def test_week_join_fans_out_over_areas(spark):
@@ -139,9 +151,11 @@ def test_week_join_fans_out_over_areas(spark):
 
 
 def test_missing_month_is_zero_with_a_flag(spark):
-    monthly = monthly_sum(feed(spark, ("2024-05-01", 0), ("2024-06-01", -4)), "date", "v", "flow")
+    flow = feed(spark, ("2024-05-01", 0), ("2024-06-01", -4))
+    monthly = monthly_sum(flow, "date", "v", "flow")
     left = feed(spark, ("2024-05-06", 1), ("2024-06-03", 1), ("2024-07-01", 1)).drop("v")
-    got = rows(attach_month(left, monthly, "date", "flow", found="has_macro", one_per_period=True))
+    got = rows(add_monthly_total(left, "date", flow, "date", "v", "flow", found="has_macro"))
+    assert got == rows(attach_month(left, monthly, "date", "flow", found="has_macro"))
     assert [r[1:] for r in got] == [(0.0, True), (-4.0, True), (0.0, False)]
     assert [r[1] for r in rows(attach_month(left, monthly, "date", "flow", fill=None))] == [0.0, -4.0, None]
 
