@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,9 @@ from feedloom.operators.dedup import keep_one
 STOCK_AREA = "O"
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Its schema and file list are looked up once per session; its rows never are."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -339,13 +339,12 @@ def gold_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, stocks, movements = _silver(spark, sf_dir)
-    return star.dim_product(roles.price_members(spark, sf_dir), stocks, movements)
+    prices = roles.price_members(spark, sf_dir)
+    return star.dim_product(prices, roles.silver_stocks(spark, sf_dir), roles.silver_movements(spark, sf_dir))
 
 
 def gold_dim_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, stocks, movements = _silver(spark, sf_dir)
-    return star.dim_area(stocks, movements)
+    return star.dim_area(roles.silver_stocks(spark, sf_dir), roles.silver_movements(spark, sf_dir))
 
 
 def star_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
