@@ -31,7 +31,7 @@ from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_ab
 from feedloom.operators.sinks import land_snapshot
 from feedloom.plans import marts, star
 from feedloom.plans.clean import store_feed, tagged_feed
-from feedloom.scratch import drop_path, materialize, scratch_root
+from feedloom.scratch import drop_path, materialize, scratch_path
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS, FeedSpec, keep_facets, read_documents, unnest
 from feedloom.sources.tables import date_range
 
@@ -45,11 +45,19 @@ def _day(column: str) -> Column:
     return F.col(column).cast("date")
 
 
+_work_paths: dict[str, list[str]] = {}
+
+
 def _work_path(spark: SparkSession, label: str) -> str:
-    """A shared folder per session and query, emptied before each run so that reruns do not pile up."""
-    path = f"{scratch_root(spark)}/feedloom-checks/{spark.sparkContext.applicationId}/{label}"
-    drop_path(spark, path)
-    return path
+    """A new shared folder for a query's own tables.
+
+    The one before it stays, since a result that reads it may be in use; older ones are removed.
+    """
+    paths = _work_paths.setdefault(label, [])
+    paths.append(scratch_path(spark, label))
+    while len(paths) > 2:
+        drop_path(spark, paths.pop(0))
+    return paths[-1]
 
 
 # Facts
@@ -210,15 +218,15 @@ def typed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed(spark: SparkSession, spec: FeedSpec, documents: DataFrame) -> DataFrame:
+def _landed(spark: SparkSession, label: str, spec: FeedSpec, documents: DataFrame) -> DataFrame:
     """Documents landed as files by snapshot and read back."""
-    path = _work_path(spark, f"landed-{spec.name}")
+    path = _work_path(spark, f"{label}-landed")
     land_snapshot(documents, path, "snapshot", fmt="text", rebalance=False)
     return read_documents(spark, spec, path, multi_line=False, stamp="snapshot")
 
 
 def explode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _landed(spark, STOCKS, roles.stock_documents(spark, sf_dir))
+    documents = _landed(spark, "explode-nested", STOCKS, roles.stock_documents(spark, sf_dir))
     record = "record.`{}`".format
     return unnest(documents).select(
         parse_day(F.col(record("period"))).alias("date"),
@@ -238,7 +246,7 @@ def month_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, from landed files to silver and quarantine tables; both are returned."""
     work = _work_path(spark, "clean-prices")
-    documents = _landed(spark, PRICES, roles.price_documents(spark, sf_dir))
+    documents = _landed(spark, "clean-prices", PRICES, roles.price_documents(spark, sf_dir))
     store_feed(spark, tagged_feed(documents, PRICES), PRICES, f"{work}/silver", f"{work}/quarantine", batch_id="1")
     silver = spark.read.parquet(f"{work}/silver/{PRICES.name}")
     bad = spark.read.parquet(f"{work}/quarantine/{PRICES.name}")
@@ -247,12 +255,12 @@ def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _landed(spark, STOCKS, roles.stock_documents(spark, sf_dir))
+    documents = _landed(spark, "clean-stocks", STOCKS, roles.stock_documents(spark, sf_dir))
     return tagged_feed(documents, STOCKS).select(*STOCKS.columns, "error_reason")
 
 
 def clean_movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _landed(spark, MOVEMENTS, roles.movement_documents(spark, sf_dir))
+    documents = _landed(spark, "clean-movements", MOVEMENTS, roles.movement_documents(spark, sf_dir))
     return tagged_feed(documents, MOVEMENTS).select(*MOVEMENTS.columns, "error_reason")
 
 
