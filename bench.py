@@ -1,8 +1,8 @@
 """Headline queries on one machine; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3), BENCH_QUERIES
-(default the list below). Each query is run once to warm up and then BENCH_RUNS times; the median counts. Results go to the no-op sink, so a
-query is computed whole and nothing is collected.
+(default the list below). Each query is run once to warm up and then BENCH_RUNS times; the median
+counts. Results go to the no-op sink, so a query is computed whole and nothing is collected.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Run the jobs with ``spark-submit``: ``feedloom/__main__.py STEP --root ROOT [--batch-id ID]``.
 
 Steps: ``clean`` (three feeds), ``star``, ``load``, or ``run`` for all of them. ROOT, on storage that
-every executor can reach, holds the bronze, silver, quarantine, gold and serving folders. Memory, cores and shuffle settings come from the submit.
+every executor can reach, holds the bronze, silver, quarantine, gold and serving folders. Memory, cores
+and shuffle settings come from the submit.
 """
 
 from __future__ import annotations
