@@ -1,29 +1,38 @@
-"""Shared-storage helpers: intermediate tables that outlive an executor, and path checks."""
+"""Shared-storage helpers: intermediate tables that outlive an executor, and path checks.
+
+The file-system calls go through the driver's JVM, so jobs run in a classic session, not over a remote client session.
+"""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: list[str] = []
+_own_root: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting (a test) gets a folder of its own; on a cluster
-    a machine-local folder would be invisible to the other machines, so that is an error.
+    Where it is unset, a folder of this session on the default Hadoop file system, deleted when the process ends. If that is
+    the machine's own disk while tasks run elsewhere, other machines would not see it, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if not _local_scratch:
-        _local_scratch.append(tempfile.mkdtemp(prefix="feedloom-"))
-    return _local_scratch[0]
+    app = spark.sparkContext.applicationId
+    if app not in _own_root:
+        temporary = spark._jsc.hadoopConfiguration().get("hadoop.tmp.dir")
+        fs, path = hadoop_path(spark, f"{temporary}/feedloom-{uuid.uuid4().hex}")
+        if fs.getUri().getScheme() == "file" and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        path = fs.makeQualified(path)
+        atexit.register(lambda: fs.delete(path, True))
+        _own_root[app] = path.toString()
+    return _own_root[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
