@@ -5,7 +5,7 @@ the largest entropy around one copy each are r = 2 / (1 + exp(-t * size / mean s
 exponentially by size, with one dual variable t per source. The dual is convex; Newton steps for all sources at once
 solve it, each an aggregation over the (source, size) counts, kept inside a shrinking bracket. Rates become copies per
 (source, size): cumulated rates, from the largest size to the smallest, are rounded and differenced, so that the words
-taken miss a target by no more than about one document. Which documents of one size get the further copy is told by a hash.
+taken miss a target by no more than about one document, and a few documents that fit into the gap then close it. Which documents of one size get the further copy is told by a hash.
 
 Defined results: a NULL text has size 0. A NULL source is a source of its own, the last. A source without words has target
 0. Rows repeated with the same doc_id and text are interchangeable: as many of them get the copy as the plan says. An empty table
@@ -25,6 +25,7 @@ SHARE = 1.5
 MOST = 2
 ROUNDS = 60
 TOLERANCE = 1e-7
+REPAIRS = 3
 
 
 def words_in(text: Column) -> Column:
@@ -110,6 +111,18 @@ def rate_of(size: Column, tilt: Column, mean: Column) -> Column:
     return F.when(mean > 0, float(MOST) / (1 + F.exp(-tilt * size / mean))).otherwise(1.0)
 
 
+def repaired(planned: DataFrame) -> DataFrame:
+    """``taken`` with what a source still misses made up by documents of the largest size that fits into the gap."""
+    whole = Window.partitionBy("source")
+    gap = F.col("target") - F.sum(F.col("taken") * F.col("size")).over(whole)
+    gapped = planned.withColumn("gap", gap)
+    room = F.when(F.col("gap") > 0, MOST * F.col("n") - F.col("taken")).otherwise(F.col("taken"))
+    fits = F.when((F.col("size") > 0) & (F.col("size") <= F.abs("gap")) & (room > 0), F.col("size"))
+    change = F.least(room, F.floor(F.abs("gap") / F.col("size"))) * F.signum("gap").cast("long")
+    chosen = F.col("size") == F.max(fits).over(whole)
+    return gapped.withColumn("taken", F.col("taken") + F.when(chosen, change).otherwise(0)).drop("gap")
+
+
 def copy_plan(slim: DataFrame) -> DataFrame:
     """(source, size, source_size, target, copies, more, n): every document of the group is taken ``copies`` times, and ``more``
     of its ``n`` documents once more."""
@@ -126,6 +139,8 @@ def copy_plan(slim: DataFrame) -> DataFrame:
     summed = joined.withColumn("upto", F.floor(F.sum(F.col("n") * rate).over(upto) + 0.5))
     before = F.lag("upto", 1, 0).over(Window.partitionBy("source").orderBy(F.col("size").desc()))
     planned = summed.withColumn("taken", F.least(F.greatest(F.col("upto") - before, F.lit(0)), MOST * F.col("n")))
+    for _ in range(REPAIRS):
+        planned = repaired(planned)
     copies = F.floor(F.col("taken") / F.col("n"))
     return planned.select(
         "source", "size", "source_size", "target", "n", copies.cast("int").alias("copies"), (F.col("taken") - copies * F.col("n")).cast("long").alias("more")

@@ -7,7 +7,11 @@ from feedloom.llm.exact_dedup import exact_dedup
 from feedloom.llm.line_dedup import line_dedup
 from feedloom.llm.mixing import mix_sources
 from feedloom.llm.quality import quality_rules
+from feedloom.llm.sentence_pieces import encode_and_decode
+from feedloom.llm.sharding import shard_documents
 from feedloom.llm.simhash import near_dedup
+from feedloom.llm.token_counts import token_counts
+from feedloom.llm.token_files import token_files
 
 
 def on_documents(operator):
@@ -18,11 +22,15 @@ def on_documents(operator):
 
 
 QUERIES = {
+    "op1_sentence_pieces": on_documents(encode_and_decode),
     "op2_exact_dedup": on_documents(exact_dedup),
     "op3_quality_rules": on_documents(quality_rules),
+    "op4_token_counts": on_documents(token_counts),
+    "op5_token_files": on_documents(token_files),
     "op6_near_dedup": on_documents(near_dedup),
     "op7_mix_sources": on_documents(mix_sources),
     "op8_line_dedup": on_documents(line_dedup),
+    "op9_sharding": on_documents(shard_documents),
 }
 
 ORACLES = {
