@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from feedloom.llm.common import table
 from feedloom.llm.exact_dedup import exact_dedup
+from feedloom.llm.language import identify
 from feedloom.llm.line_dedup import line_dedup
 from feedloom.llm.mixing import mix_sources
 from feedloom.llm.quality import quality_rules
@@ -21,6 +22,11 @@ def on_documents(operator):
     return query
 
 
+def page_languages(spark, sf_dir):
+    labelled = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return identify(table(spark, sf_dir, "pages"), labelled)
+
+
 QUERIES = {
     "op1_sentence_pieces": on_documents(encode_and_decode),
     "op2_exact_dedup": on_documents(exact_dedup),
@@ -31,6 +37,7 @@ QUERIES = {
     "op7_mix_sources": on_documents(mix_sources),
     "op8_line_dedup": on_documents(line_dedup),
     "op9_sharding": on_documents(shard_documents),
+    "op10_page_languages": page_languages,
 }
 
 ORACLES = {

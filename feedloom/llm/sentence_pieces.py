@@ -116,6 +116,28 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
 
 
+def encode_whole(docs: DataFrame, model: str | None = None) -> DataFrame:
+    """doc_id, source, n_pieces, ids and round_trip of each row. One pass, no shuffle."""
+    model = model or default_model()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(model)
+        for batch in batches:
+            ids, same = [], []
+            for t in batch.column(2):
+                text = t.as_py()
+                found = encoder.encode(text)
+                ids.append(found.astype(np.int32))
+                same.append(encoder.decode(found) == text.replace(SPACE, " "))
+            counts = pa.array([len(i) for i in ids], pa.int64())
+            arrays = [batch.column(0), batch.column(1), counts, pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "source", "n_pieces", "ids", "round_trip"])
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text.alias("text"))
+    return whole.mapInArrow(run, "doc_id long, source string, n_pieces long, ids array<int>, round_trip boolean")
+
+
 def encode_and_decode(docs: DataFrame, model: str | None = None) -> DataFrame:
     """doc_id, n_pieces, n_bytes (pieces that are single bytes), ids_crc32 (of the ids as unsigned 32-bit little-endian), and
     whether decoding gave the text back. Both directions in one pass."""
