@@ -191,7 +191,7 @@ def drop_lines(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int = P
             columns = doc.flatten()
             texts = columns[at].to_pylist()
             for i, k in enumerate(keys.to_pylist()):
-                if k:
+                if k and texts[i] is not None:
                     texts[i] = split_lines(texts[i].encode(), k)[2].decode()
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in doc.type])

@@ -95,7 +95,8 @@ def forest(a: np.ndarray, b: np.ndarray, same: bool) -> tuple[np.ndarray, np.nda
     Links go from each fingerprint to its first partner; partners that this leaves apart are then joined by further
     links until every pair lies within one tree.
     """
-    hit = np.bitwise_count(a[:, None] ^ b[None, :]) <= RADIUS
+    # Unsigned: of a negative number numpy counts the bits of its absolute value.
+    hit = np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) <= RADIUS
     if same:
         hit = np.triu(hit, 1)
     rows, columns = np.nonzero(hit)
