@@ -12,7 +12,7 @@ language, ``vocabulary`` trigrams and at most ``most_languages`` languages, thos
 over all pages: every page adds its text posterior to the counts of its declared language, suffix, host and domain, so
 that a declaration or a suffix is worth as much as it agrees with the texts. A page's own share is taken out of its counts.
 
-Defined results: a page without text, declaration or address has the prior alone. NULL url or html is the empty one. A table without
+Defined results: a page without text, declaration or address has the prior of all pages alone; what is missing is no evidence. NULL url or html is the empty one. A table without
 pages gives no rows; without labelled documents every page has a NULL language. Repeated rows are judged alike. Other columns
 are not read.
 """
@@ -182,19 +182,21 @@ def identify(pages: DataFrame, labelled: DataFrame, per_language: int = PER_LANG
     pages_seen = sum(everything)
     overall = F.array(*[F.lit((c + 1.0) / (pages_seen + n)) for c in everything])
     spread = F.array(*[F.lit(max(c, 1e-9)) for c in everything])
+    nothing = F.array(*[F.lit(1.0)] * n)
     tables = {k: materialize(counts_by(rows, k, n), scratch_path(spark, f"lang-{k}")) for k in ("host", "domain", "declared", "suffix")}
     joined = rows
     for key, counted in tables.items():
         joined = joined.join(counted, key)
     own = F.col("p")
     domain = smoothed(without(F.col("domain_c"), own), overall, KAPPA)
-    host = smoothed(without(F.col("host_c"), own), domain, KAPPA)
+    host = F.when(F.col("host") == "", overall).otherwise(smoothed(without(F.col("host_c"), own), domain, KAPPA))
 
     def told_by(key: str) -> Column:
         """P(value | language), the value's share among all pages as its prior."""
         counts = without(F.col(f"{key}_c"), own)
         share = (total_of(counts) + 1.0) / (pages_seen + 1.0)
-        return F.zip_with(counts, spread, lambda c, whole: (c + SMOOTH * share) / (whole + SMOOTH))
+        told = F.zip_with(counts, spread, lambda c, whole: (c + SMOOTH * share) / (whole + SMOOTH))
+        return F.when(F.col(key) == "", nothing).otherwise(told)
 
     fused = F.col("ll")
     for factor in (host, told_by("declared"), told_by("suffix")):

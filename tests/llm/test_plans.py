@@ -1,0 +1,212 @@
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import zstandard
+
+import corpus_pipeline
+from feedloom.llm import language, mixing, quality, sharding
+from feedloom.llm.common import repeat_rows, running_sum
+from feedloom.llm.sentence_pieces import encoder_of
+from feedloom.llm.lexicon import SPACE, default_model
+from tests.llm import brute
+from tests.llm.conftest import edge_rows, ordered, prose, tuples
+
+
+def test_running_sum_is_exact(spark):
+    rows = [(g, (i * 2654435761 % 2**64) - 2**63, i % 5) for g in "ab" for i in range(300)] + [("a", 7, 1)] * 3
+    df = spark.createDataFrame(rows, "g string, h long, v long")
+    found = defaultdict(list)
+    for r in running_sum(df, ["g"], "h", df.v, "before", bits=4).collect():
+        found[r["g"]].append((r["before"], r["v"], r["h"] % 2**64))
+    for got in found.values():
+        got.sort(key=lambda x: (x[2], x[0]))
+        total = 0
+        for before, v, _ in got:
+            assert before == total
+            total += v
+
+
+def test_repeat_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 25_003)], "k string, n long")
+    out = repeat_rows(df, "n", "i").groupBy("k").agg({"i": "max", "*": "count"})
+    assert tuples(out, "k", "max(i)", "count(1)") == [("a", 0, 1), ("b", 25_002, 25_003)]
+
+
+def test_mix_meets_its_targets(edge):
+    rows = edge_rows()
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += brute.base_measures(r[1])[0]
+    aims = brute.targets({s: sizes[s] for s in brute.in_order(r[3] for r in rows)})
+    out = mixing.mix_sources(edge).collect()
+    assert ordered((r["doc_id"], r["size"]) for r in out) == ordered((r[0], brute.base_measures(r[1])[0]) for r in rows)
+    taken, target = Counter(), {}
+    for r in out:
+        source = next(s for s in sizes if sizes[s] == r["source_size"])
+        taken[source] += r["taken"]
+        target[source] = r["target"]
+        assert 0 <= r["taken"] <= 2 * r["size"] and (r["size"] == 0 or r["taken"] % r["size"] == 0)
+    for source, aim in aims.items():
+        assert target[source] == pytest.approx(aim)
+        # A text of 20,000 words is taken whole or not.
+        assert abs(taken[source] - aim) <= 0.02 * aim + max(r["size"] for r in out if r["source_size"] == sizes[source]) / 2
+    again = mixing.mix_sources(edge.repartition(5)).collect()
+    assert ordered(tuple(r) for r in again) == ordered(tuple(r) for r in out)
+
+
+def test_rates_are_those_of_the_largest_entropy(spark):
+    """The dual variable against bisection."""
+    sizes = {"a": {3: 5, 10: 7, 200: 1}, "b": {1: 100, 50: 2}, "c": {5: 1}}
+    rows = [(s, n, c) for s, by in sizes.items() for n, c in by.items()]
+    totals = {s: sum(n * c for n, c in by.items()) for s, by in sizes.items()}
+    aims = {"a": 1.7 * totals["a"], "b": 0.2 * totals["b"], "c": 1.0 * totals["c"]}
+    df = spark.createDataFrame([(s, n, c) for s, n, c in rows], "source string, size long, n long")
+    aim = spark.createDataFrame(list(aims.items()), "source string, target double")
+    for r in mixing.tilts(df, aim).collect():
+        by, mean = sizes[r["source"]], r["mean"]
+        low, high = -1000.0, 1000.0
+        for _ in range(200):
+            t = (low + high) / 2
+            got = sum(c * n * 2 / (1 + math.exp(min(700, -t * n / mean))) for n, c in by.items())
+            low, high = (t, high) if got < aims[r["source"]] else (low, t)
+        assert r["t"] == pytest.approx(low, abs=1e-4)
+
+
+def test_mixed_rows_are_the_copies_taken(edge, none):
+    out = mixing.mixed(edge)
+    assert out.schema.names == edge.schema.names
+    copies = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    words = sum(n * brute.base_measures(k[1])[0] for k, n in copies.items())
+    assert words == mixing.mix_sources(edge).agg({"taken": "sum"}).first()[0]
+    there = Counter((r[0], r[1]) for r in edge_rows())
+    assert all(n <= 2 * there[k] for k, n in copies.items())
+    assert mixing.mix_sources(none).collect() == [] and mixing.mixed(none).collect() == []
+
+
+def test_mix_runs_no_python(edge, spark):
+    plan = mixing.mix_sources(edge)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_shards_are_even_and_keep_groups_together(edge, none):
+    rows = edge_rows()
+    out = sharding.shard_documents(edge).collect()
+    expected = [(r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows]
+    assert ordered((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == ordered(expected)
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+        assert r["law"] == "rows" and r["grown_shard"] is None
+    counts = [len(slots[s]) for s in range(16)]
+    assert max(counts) - min(counts) <= 1
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert sharding.shard_documents(none).collect() == []
+
+
+def test_linked_documents_meet(spark):
+    """Forty groups of five among single ones: most end whole; one group larger than a shard fills some."""
+    docs = [(i, f"text {i // 5}") for i in range(200)] + [(200 + i, f"single {i}") for i in range(400)] + [(1000 + i, "hot") for i in range(300)]
+    out = sharding.shard_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    counts = Counter(r["shard"] for r in out)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    at = defaultdict(set)
+    for r in out:
+        at[r["text_crc32"]].add(r["shard"])
+    groups = [at[zlib.crc32(f"text {i}".encode())] for i in range(40)]
+    assert sum(len(g) == 1 for g in groups) >= 36
+    assert len(at[zlib.crc32(b"hot")]) < 16
+
+
+def test_quotas_are_never_exceeded():
+    allowed = sharding.allowances({(0, 1): 10, (1, 0): 4, (2, 1): 5}, [0, 3, 0])
+    assert allowed == {(0, 1): 7, (1, 0): 4, (2, 1): 0}
+
+
+def pages_of(spark, extra=()):
+    words = {"en": "the of and to in is that for it was with on".split(), "de": "der die und das ist nicht ein zu mit den von sich".split()}
+    rows, labelled = [], []
+    for i in range(120):
+        lang = "de" if i % 3 == 0 else "en"
+        text = " ".join(words[lang][(i * 7 + j * j) % 12] for j in range(40))
+        labelled.append((i, lang, text))
+        told = lang if i % 10 else "fr"
+        host = f"www.site{i % 6}.example.{'de' if lang == 'de' else 'com'}"
+        rows.append((i, f"https://{host}/x{i}?a=b", f'<html lang="{told}-X"><head><title>x</title><script>der die das</script></head><body><nav>der die</nav><p>{text}</p></body></html>'))
+    pages = spark.createDataFrame([*rows, *extra], "page_id long, url string, html string")
+    return pages, spark.createDataFrame(labelled, "doc_id long, lang string, text string"), rows
+
+
+def test_languages_by_all_evidence(spark):
+    extra = [
+        (1000, "http://www.site0.example.de/", ""),  # nothing but an address
+        (1001, None, '<html lang="de"></html>'),
+        (1002, "http://www.site1.example.com/", "<p>the</p>"),
+        (1003, None, None),
+        (None, "ht!tp:/bad", "<p>der die das und nicht ein mit den von sich ist zu</p><!-- the of -->"),
+        (1000, "http://www.site0.example.de/", ""),
+    ]
+    pages, labelled, _ = pages_of(spark, extra)
+    out = language.identify(pages, labelled, per_language=30)
+    found = defaultdict(list)
+    for r in out.collect():
+        found[r["page_id"]].append(r)
+    assert sum(map(len, found.values())) == 126
+    for i in range(120):
+        assert found[i][0]["lang"] == ("de" if i % 3 == 0 else "en")
+    assert [r["lang"] for r in found[1000]] == ["de", "de"] and found[1000][0]["text_lang"] is None
+    assert found[1001][0]["lang"] == "de" and found[1002][0]["lang"] == "en"
+    assert found[None][0]["lang"] == "de" and found[1003][0]["lang"] == "en"
+    assert found[5][0]["suffix"] == "com" and found[5][0]["host"] == "www.site5.example.com" and found[5][0]["declared"] == "en"
+
+
+def test_languages_held_out(spark):
+    """Trained on documents of even ids, tested on the text of the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.fit(docs.filter("doc_id % 2 = 0"), 200, 5000, 10)
+    held_out = docs.filter("doc_id % 2 = 1 AND n_chars > 200").collect()
+    hits = sum(model.languages[int(model.likelihood(r["text"])[0].argmax())] == r["lang"] for r in held_out)
+    assert hits >= 0.97 * len(held_out) > 20
+
+
+def test_languages_of_nothing(spark):
+    pages, labelled, _ = pages_of(spark)
+    assert language.identify(pages.limit(0), labelled).collect() == []
+    assert {r["lang"] for r in language.identify(pages, labelled.limit(0)).collect()} == {None}
+
+
+def test_pipeline_matches_brute_force(spark, edge, none):
+    """Exactly up to near-dedup; the mix by its laws; the ids by decoding."""
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "mix_sources", "sentence_pieces"]
+    many = [(500 + i, prose(900 + i // 2, 60 + i), "en", "abc"[i % 3], 1, *["x"] * 15) for i in range(40)]
+    docs = edge.unionByName(spark.createDataFrame(many, edge.schema))
+    rows = [r for r in edge_rows() + many]
+    kept = docs
+    steps = []
+    for _, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, kept, "").cache()
+        steps.append(kept)
+    good = [r for r in rows if r[1] and quality.judge(r[1].encode(), zstandard.ZstdCompressor(level=3))[-1]]
+    assert tuples(steps[0], "doc_id", "text") == ordered((r[0], r[1]) for r in good)
+    lined = [(i, t) for i, _, _, t in brute.after_line_dedup(good)]
+    assert tuples(steps[1], "doc_id", "text") == ordered(lined)
+    labels = brute.groups([brute.simhash(t) for _, t in lined])
+    first = {}
+    for (i, _), x in zip(lined, labels):
+        first[x] = i if x not in first or first[x] is None else first[x] if i is None else min(i, first[x])
+    assert tuples(steps[2], "doc_id") == ordered((i,) for i in first.values())
+    assert {tuple(r) for r in steps[2].select("doc_id", "text").collect()} <= set(lined)
+    assert all(s.schema.names == docs.schema.names for s in steps[:4])
+    before, after = (Counter(tuple(r) for r in s.select("doc_id", "text").collect()) for s in steps[2:4])
+    assert set(after) <= set(before) and max(after.values()) <= 2
+    encoder = encoder_of(default_model())
+    decoded = Counter((r["doc_id"], encoder.decode(np.array(r["ids"]))) for r in steps[4].collect())
+    assert decoded == Counter({(i, (t or "").replace(SPACE, " ")): n for (i, t), n in after.items()})
+    empty = none
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, "")
+    assert empty.collect() == []
