@@ -33,9 +33,9 @@ _PRICES = """
         FROM orders)
     WHERE rn = 1"""
 _MONTHLY = f"""
-    SELECT date_trunc('month', l_shipdate) AS month_start, {_money('l_extendedprice')} AS monthly_value
+    SELECT date_trunc('month', l_shipdate) + INTERVAL 12 MONTH AS month_start, {_money('l_extendedprice')} AS monthly_value
     FROM lineitem
-    WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_shipdate < TIMESTAMP '1999-01-01'
+    WHERE l_returnflag = 'R' AND l_linestatus = 'F'
     GROUP BY 1"""
 
 
@@ -66,11 +66,11 @@ silver_stocks AS (
            CASE l_linestatus WHEN 'O' THEN 'U.S.' ELSE 'PADD 1' END AS area
     FROM lineitem),
 silver_movements AS (
-    SELECT date_trunc('month', l_shipdate) AS month_start, l_extendedprice AS volume,
+    SELECT date_trunc('month', l_shipdate) + INTERVAL 12 MONTH AS month_start, l_extendedprice AS volume,
            CASE l_returnflag WHEN 'N' THEN 'Distillate Fuel Oil' ELSE 'Residual Fuel Oil' END AS product_name,
            CASE l_linestatus WHEN 'O' THEN 'U.S.' ELSE 'X' END AS country_code,
            CASE WHEN l_tax <= 0.04 THEN 'Net Imports' ELSE 'Exports' END AS description
-    FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01')"""
+    FROM lineitem)"""
 
 
 def _market(mode: str) -> str:
@@ -215,7 +215,7 @@ FROM lineitem""",
 SELECT CAST(l_shipdate AS DATE) AS date, value, l_returnflag AS product_name, process_name,
        l_linestatus AS area, CAST(l_linenumber AS VARCHAR) AS snapshot
 FROM (
-    SELECT *, l_quantity - 5 AS value, 'Ending Stocks' AS process_name FROM lineitem
+    SELECT *, l_quantity - 5 AS value, CASE WHEN l_tax <= 0.07 THEN 'Ending Stocks' END AS process_name FROM lineitem
     UNION ALL SELECT *, l_extendedprice, 'Net Imports' FROM lineitem
     UNION ALL SELECT *, l_discount, 'Refinery Inputs' FROM lineitem
     UNION ALL SELECT *, l_tax, 'Exports' FROM lineitem)""",
@@ -230,19 +230,21 @@ FROM (
         ORDER BY load_year DESC, price_usd_per_gal DESC NULLS LAST, process_name DESC) AS rn
     FROM (
         SELECT CAST(o_orderdate AS DATE) AS date,
-               CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price_usd_per_gal,
+               CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_custkey % 40 = 0 THEN 0 - o_totalprice
+                    ELSE o_totalprice END AS price_usd_per_gal,
                o_orderpriority AS product_name, o_orderstatus AS process_name,
                year(o_orderdate) + CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS load_year
         FROM orders))
 WHERE rn = 1""",
     "clean_stock_feed": """
-SELECT date, volume_k_barrels, product_name, 'Ending Stocks' AS process_name, area,
-       CASE WHEN volume_k_barrels >= 0 THEN NULL ELSE 'Negative Volume in Ending Stocks' END AS error_reason
+SELECT date, volume_k_barrels, product_name, process_name, area,
+       CASE WHEN process_name IS NULL THEN 'Undecided Filter' WHEN volume_k_barrels >= 0 THEN NULL
+            ELSE 'Negative Volume in Ending Stocks' END AS error_reason
 FROM (
     SELECT CAST(l_shipdate AS DATE) AS date, l_quantity - 5 AS volume_k_barrels, l_returnflag AS product_name,
-           l_linestatus AS area,
+           CASE WHEN l_tax <= 0.07 THEN 'Ending Stocks' END AS process_name, l_linestatus AS area,
            ROW_NUMBER() OVER (
-               PARTITION BY l_shipdate, l_returnflag, l_linestatus
+               PARTITION BY l_shipdate, l_returnflag, l_linestatus, l_tax <= 0.07
                ORDER BY l_linenumber DESC, l_quantity DESC) AS rn
     FROM lineitem)
 WHERE rn = 1""",
@@ -320,8 +322,8 @@ WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-04
     "missing_weeks": """
 WITH weeks AS (SELECT DISTINCT l_suppkey, CAST(date_trunc('week', l_shipdate) AS DATE) AS week_start FROM lineitem),
 spine AS (
-    SELECT l_suppkey, CAST(UNNEST(generate_series(MIN(week_start), MAX(week_start), INTERVAL 7 DAY)) AS DATE)
-           AS week_start
+    SELECT l_suppkey, CAST(UNNEST(generate_series(
+               MIN(week_start), (SELECT MAX(week_start) FROM weeks), INTERVAL 7 DAY)) AS DATE) AS week_start
     FROM weeks GROUP BY l_suppkey)
 SELECT l_suppkey, week_start FROM spine ANTI JOIN weeks USING (l_suppkey, week_start)""",
     "lag_corr": f"""
@@ -356,8 +358,8 @@ SELECT CAST(quarter(l_shipdate) AS INTEGER) AS quarter, CAST(dayofweek(l_shipdat
 FROM lineitem GROUP BY 1, 2""",
     "carry_forward": f"""
 WITH prices AS ({_PRICES}), monthly AS ({_MONTHLY})
-SELECT date, product, price,
-       LAST_VALUE(monthly_value IGNORE NULLS) OVER (
-           PARTITION BY product ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS monthly_value
-FROM prices LEFT JOIN monthly ON date_trunc('month', date) = month_start""",
+SELECT date, product, price, monthly_value
+FROM (SELECT *, date_trunc('month', date) AS own_month FROM prices
+      WHERE day(date) % 3 = 0 OR month(date) % 2 = 0 OR product LIKE '%URGENT%') AS thinned
+ASOF LEFT JOIN monthly ON own_month >= month_start""",
 }

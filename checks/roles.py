@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +12,7 @@ from feedloom.operators.dedup import keep_one
 STOCK_AREA = "O"
 
 
-@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Its schema and file list are looked up once per session; its rows never are."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,16 +39,18 @@ def stock_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).filter(kept).select(
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("l_quantity").alias("quantity"),
+        F.col("l_linestatus").alias("area"),
     )
 
 
+def booked(shipped: str) -> Column:
+    """Movements are booked a year after shipping, so that the first year's orders meet none."""
+    return F.add_months(F.col(shipped).cast("date"), 12)
+
+
 def movement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returned lines up to 1998, so that later months have no movement."""
     kept = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-    before_1999 = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
-    return lines(spark, sf_dir).filter(kept & before_1999).select(
-        F.col("l_shipdate").cast("date").alias("date"), F.col("l_extendedprice").alias("amount")
-    )
+    return lines(spark, sf_dir).filter(kept).select(booked("l_shipdate").alias("date"), F.col("l_extendedprice").alias("amount"))
 
 
 def _pick(column: str, choices: dict[str, str], otherwise: Column) -> Column:
@@ -94,9 +92,8 @@ def silver_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before_1999 = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
-    return lines(spark, sf_dir).filter(before_1999).select(
-        month_start(F.col("l_shipdate").cast("date")).alias("month_date"),
+    return lines(spark, sf_dir).select(
+        month_start(booked("l_shipdate")).alias("month_date"),
         F.col("l_extendedprice").alias("volume_k_barrels_per_day"),
         _pick("l_returnflag", {"N": "Distillate Fuel Oil"}, F.lit("Residual Fuel Oil")).alias("product_name"),
         _pick("l_linestatus", {"O": "U.S."}, F.lit("X")).alias("country_code"),
@@ -117,12 +114,12 @@ def _record(period: Column, value: Column, **names: Column) -> Column:
 
 
 def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per order; pending orders have no price yet and arrive in the latest snapshot."""
+    """One document per order; pending orders have no price yet and arrive in the latest snapshot; credits are negative."""
     status = F.col("o_orderstatus")
     years_later = F.when(status == "F", 1).when(status == "O", 2).otherwise(3)
     record = _record(
         F.date_format("o_orderdate", "yyyy-MM-dd"),
-        F.when(status != "P", F.col("o_totalprice")),
+        F.when(status != "P", F.when(F.col("o_custkey") % 40 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))),
         product_name=F.col("o_orderpriority"),
         process_name=status,
     )
@@ -133,7 +130,10 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stock_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per line item with four records; stock is the quantity above a reserve of five."""
+    """One indented document per line item with four records; stock is the quantity above a reserve of five.
+
+    Highly taxed lines do not say what process their stock is of.
+    """
     period = F.date_format("l_shipdate", "yyyy-MM-dd")
     measures = {
         "Ending Stocks": F.col("l_quantity") - 5,
@@ -146,13 +146,14 @@ def stock_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             period,
             value,
             product_name=F.col("l_returnflag"),
-            process_name=F.lit(process),
+            process_name=F.when((F.col("l_tax") <= 0.07) | F.lit(process != "Ending Stocks"), process),
             area_name=F.col("l_linestatus"),
         )
         for process, value in measures.items()
     ]
+    indented = F.regexp_replace(_document(F.array(*records)), r"\{", "{\n  ")
     return lines(spark, sf_dir).hint("rebalance", "l_linenumber").select(
-        _document(F.array(*records)).alias("document"), F.col("l_linenumber").alias("snapshot")
+        indented.alias("document"), F.col("l_linenumber").alias("snapshot")
     )
 
 

@@ -18,7 +18,6 @@ from feedloom.operators.dedup import keep_latest, keep_one, latest_n, latest_n_p
 from feedloom.operators.dims import conform, date_dimension, named_dimension
 from feedloom.operators.facts import (
     add_monthly_total,
-    add_weekly_total,
     join_on_week,
     lookup_key,
     monthly_sum,
@@ -65,14 +64,12 @@ def _work_path(spark: SparkSession, label: str) -> str:
 
 def _weekly_fact(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     urgent = roles.order_prices(spark, sf_dir).filter(F.col("product").contains("URGENT"))
-    stock = roles.stock_lines(spark, sf_dir)
-    rows = add_weekly_total(
-        roles.first_prices(urgent), "date", stock, "date", "quantity", "total_stock", mode, CENTS
-    )
+    stock = weekly_sum(roles.stock_lines(spark, sf_dir), "date", "quantity", "total_stock", ("area",), mode, CENTS)
+    rows = join_on_week(roles.first_prices(urgent), F.broadcast(stock), "date", mode)
     return _with_returns(rows, spark, sf_dir).select(
         "date",
         "product",
-        F.lit(roles.STOCK_AREA).alias("area"),
+        "area",
         round_to("price", 3).alias("price"),
         "total_stock",
         round_to("monthly_value", 2).alias("monthly_value"),
@@ -356,11 +353,15 @@ def gold_dim_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four tables are written and read back, as the job does, so each is computed once and its size is known."""
+    work = _work_path(spark, "star")
+    tables = {"fact": gold_fact, "date": gold_dim_date, "product": gold_dim_product, "area": gold_dim_area}
+    built = {name: materialize(build(spark, sf_dir), f"{work}/{name}") for name, build in tables.items()}
     return marts.weekly_mart(
-        gold_fact(spark, sf_dir),
-        gold_dim_date(spark, sf_dir),
-        gold_dim_product(spark, sf_dir),
-        gold_dim_area(spark, sf_dir),
+        built["fact"],
+        built["date"],
+        built["product"],
+        built["area"],
         category="Distillate Fuel",
         scale=CENTS,
     )
@@ -446,8 +447,12 @@ def season_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _with_returns(roles.first_prices(roles.order_prices(spark, sf_dir)), spark, sf_dir, fill=None)
-    return marts.carry_forward(rows, "date", "monthly_value", ["product"])
+    """Series with gaps of their own: whole months are missing from some, and reports from the first year."""
+    d = F.col("date")
+    thinned = (F.dayofmonth(d) % 3 == 0) | (F.month(d) % 2 == 0) | F.col("product").contains("URGENT")
+    prices = roles.first_prices(roles.order_prices(spark, sf_dir)).filter(thinned)
+    monthly = monthly_sum(roles.movement_lines(spark, sf_dir), "date", "amount", "monthly_value", scale=CENTS)
+    return marts.latest_monthly(prices, "date", monthly, "monthly_value")
 
 
 QUERIES: dict[str, Query] = {

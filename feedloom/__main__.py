@@ -21,11 +21,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="feedloom")
     parser.add_argument("step", choices=("clean", "star", "load", "run"))
     parser.add_argument("--root", required=True)
-    parser.add_argument("--batch-id", default="manual")
+    parser.add_argument("--batch-id", help="required by run and clean: a batch's quarantine replaces only its own")
     parser.add_argument("--week-key", choices=("iso", "calendar"), default="iso")
     parser.add_argument("--key-method", choices=("crc32", "xxhash64"), default="crc32")
     parser.add_argument("--incremental", action="store_true", help="read only snapshots not yet seen")
     args = parser.parse_args(arguments)
+    if args.step in ("run", "clean") and not args.batch_id:
+        parser.error(f"{args.step} needs --batch-id")
     spark = SparkSession.builder.appName(f"feedloom-{args.step}").getOrCreate()
     paths = Paths.under(args.root.rstrip("/"))
     options = StarOptions(week_key=args.week_key, key_method=args.key_method)

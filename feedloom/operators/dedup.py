@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ROW = "_row"
-# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
-_GROUP_LIMIT = 1000
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
@@ -41,10 +40,11 @@ def latest_n_per_series(
 ) -> DataFrame:
     """The first ``n`` rows of each series under ``order``, which should be total.
 
-    Beyond the group-limit threshold a hot series would be sorted whole in one task, so the series is
-    first cut into salted slices; the overall top ``n`` is within the union of the slices' top ``n``.
+    Beyond the session's group-limit threshold a hot series would be sorted whole in one task, so the series is
+    first cut into salted slices; the overall top ``n`` is within the union of the slices' top ``n``. The second step then
+    has at most ``salts * n`` rows of a series in one task.
     """
-    if n > _GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get(_GROUP_LIMIT, "1000")):
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
         df = _first_rows(df.withColumn("_salt", salt), [*series, "_salt"], order, n).drop("_salt")
     return _first_rows(df, series, order, n)

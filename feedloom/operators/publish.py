@@ -1,17 +1,19 @@
 """Publish several upserted tables as one: readers see all of a publish or none of it.
 
-Every publish writes new folders and never touches the ones in use; a small pointer file, written
-last, says which folders make up each table now. A table may be cut into periods (such as years); an
-upsert then rewrites only the periods it touches and the pointer carries the others over, so a weekly
-load costs what the week's periods cost rather than what the table's history costs.
+Every publish writes new folders, named after its own attempt, and never touches the ones in use; a small pointer file, created
+last and never overwritten, says which folders make up each table now. Of two publishers that start from the same version
+one creates the next pointer and the other fails; what the other wrote is in folders that no pointer names. A table
+may be cut into periods (such as years); an upsert then rewrites only the periods it touches and the pointer carries the others
+over, so a weekly load costs what the week's periods cost rather than what the table's history costs.
 
-    <root>/<table>/version=<n>/period=<p>/part-*.parquet
+    <root>/<table>/version=<n>-<attempt>/period=<p>/part-*.parquet
     <root>/_published/<n>.json
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.dedup import keep_latest
 from feedloom.operators.merge import MissingKeyError, null_key, upsert
-from feedloom.scratch import hadoop_path, path_exists
+from feedloom.scratch import drop_path, hadoop_path, path_exists
 
 POINTERS = "_published"
 PERIOD = "period"
@@ -47,24 +49,57 @@ def publish(spark: SparkSession, root: str, staged: Mapping[str, DataFrame], tab
     """Merge every staged table, then switch the pointer. Tables not staged keep what they have.
 
     Staged rows are read more than once; materialize them if they are costly. A failure before the
-    switch leaves the old publish in force, and a retry overwrites the leftovers. Two publishes at
-    once are not merged: the second to switch fails, because its pointer exists.
+    switch leaves the old publish in force. Two publishes at once are not merged: the second to switch fails.
     """
     version, parts = _latest(spark, root)
-    new = version + 1
+    changes = {}
     for table in tables:
         if table.name not in staged:
             continue
         period = F.lit(WHOLE) if table.period is None else F.expr(table.period).cast("string")
         rows = staged[table.name].withColumn(PERIOD, period)
         touched = _check_keys(rows, table)
-        old = parts.get(table.name, {})
-        current = _read(spark, root, table.name, {p: v for p, v in old.items() if p in touched})
-        writer = _merged(current, rows, table).write.mode("overwrite").partitionBy(PERIOD)
-        writer.parquet(_folder(root, table.name, new))
-        parts[table.name] = {**old, **{p: new for p in touched}}
-    _switch(spark, root, new, parts)
-    return new
+        current = _read(spark, root, table.name, {p: v for p, v in parts.get(table.name, {}).items() if p in touched})
+        changes[table.name] = (_merged(current, rows, table), touched)
+    return replace_periods(spark, root, changes, version)
+
+
+def replace_periods(
+    spark: SparkSession, root: str, changes: Mapping[str, tuple[DataFrame, Sequence[str]]], base: int
+) -> int:
+    """Per table, make the rows given (with their ``period``) the whole content of the periods named.
+
+    ``base`` is the version that the rows were computed from; the switch fails if another one has come since.
+    """
+    _, parts = _latest(spark, root)
+    new = f"{base + 1}-{uuid.uuid4().hex}"
+    for name, (rows, touched) in changes.items():
+        rows.write.partitionBy(PERIOD).parquet(_folder(root, name, new))
+        parts[name] = {**parts.get(name, {}), **{p: new for p in touched}}
+    return _switch(spark, root, base, parts)
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Remove the folders that none of the newest ``keep`` pointers names, and those pointers' predecessors.
+
+    Not while a publish or a reader of an older version is running: their folders look like leftovers. Returns what was removed.
+    """
+    numbers = _versions(spark, root)
+    kept = [_pointer(spark, root, n) for n in numbers[-keep:]]
+    if not any(kept):
+        return []
+    names = {table for pointer in kept if pointer for table in pointer}
+    removed = []
+    for table in sorted(names):
+        used = {f"version={v}" for pointer in kept if pointer for v in pointer.get(table, {}).values()}
+        fs, folder = hadoop_path(spark, f"{root}/{table}")
+        for status in fs.listStatus(folder):
+            if status.getPath().getName() not in used:
+                fs.delete(status.getPath(), True)
+                removed.append(status.getPath().toString())
+    for number in numbers[:-keep]:
+        drop_path(spark, f"{root}/{POINTERS}/{number}.json")
+    return removed
 
 
 def _check_keys(rows: DataFrame, table: ServedTable) -> list[str]:
@@ -92,11 +127,17 @@ def current_table(spark: SparkSession, root: str, table: str) -> DataFrame | Non
     return None if df is None else df.drop(PERIOD)
 
 
-def _folder(root: str, table: str, version: int) -> str:
+def read_periods(spark: SparkSession, root: str, table: str, periods: Sequence[str]) -> tuple[int, DataFrame | None]:
+    """(version, rows with their ``period``) of the periods named, as last published."""
+    version, parts = _latest(spark, root)
+    return version, _read(spark, root, table, {p: v for p, v in parts.get(table, {}).items() if p in periods})
+
+
+def _folder(root: str, table: str, version: str) -> str:
     return f"{root}/{table}/version={version}"
 
 
-def _read(spark: SparkSession, root: str, table: str, parts: Mapping[str, int]) -> DataFrame | None:
+def _read(spark: SparkSession, root: str, table: str, parts: Mapping[str, str]) -> DataFrame | None:
     """The given periods, each from the version that wrote it last."""
     if not parts:
         return None
@@ -105,25 +146,44 @@ def _read(spark: SparkSession, root: str, table: str, parts: Mapping[str, int])
     return df.withColumn(PERIOD, F.col(PERIOD).cast("string"))
 
 
-def _latest(spark: SparkSession, root: str) -> tuple[int, dict[str, dict[str, int]]]:
+def _versions(spark: SparkSession, root: str) -> list[int]:
     folder = f"{root}/{POINTERS}"
     if not path_exists(spark, folder):
-        return 0, {}
+        return []
     fs, path = hadoop_path(spark, folder)
     names = [s.getPath().getName() for s in fs.listStatus(path)]
-    version = max((int(n[:-5]) for n in names if n.endswith(".json") and n[0].isdigit()), default=0)
-    if version == 0:
-        return 0, {}
-    text = spark.read.text(f"{folder}/{version}.json", wholetext=True).first()[0]
-    return version, json.loads(text)
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
 
-def _switch(spark: SparkSession, root: str, version: int, parts: Mapping[str, Mapping[str, int]]) -> None:
-    folder = f"{root}/{POINTERS}"
-    fs, target = hadoop_path(spark, f"{folder}/{version}.json")
-    _, draft = hadoop_path(spark, f"{folder}/draft-{version}")
-    out = fs.create(draft, True)
+def _pointer(spark: SparkSession, root: str, version: int) -> dict[str, dict[str, str]] | None:
+    """What a pointer says, or ``None`` while it is being written or if its writer died."""
+    row = spark.read.text(f"{root}/{POINTERS}/{version}.json", wholetext=True).first()
+    try:
+        return json.loads(row[0]) if row else None
+    except ValueError:
+        return None
+
+
+def _latest(spark: SparkSession, root: str) -> tuple[int, dict[str, dict[str, str]]]:
+    """The newest complete pointer."""
+    for version in reversed(_versions(spark, root)):
+        parts = _pointer(spark, root, version)
+        if parts is not None:
+            return version, parts
+    return 0, {}
+
+
+def _switch(spark: SparkSession, root: str, base: int, parts: Mapping[str, Mapping[str, str]]) -> int:
+    """Create the next pointer. Creation without overwrite is what lets one of two publishers through."""
+    if _latest(spark, root)[0] != base:
+        raise RuntimeError(f"publish {base + 1} was made by someone else meanwhile")
+    # A writer that died left an incomplete pointer, whose number is used up.
+    version = max(_versions(spark, root), default=base) + 1
+    fs, target = hadoop_path(spark, f"{root}/{POINTERS}/{version}.json")
+    try:
+        out = fs.create(target, False)
+    except Exception as error:
+        raise RuntimeError(f"publish {version} was made by someone else meanwhile") from error
     out.write(bytearray(json.dumps(parts, sort_keys=True).encode()))
     out.close()
-    if fs.exists(target) or not fs.rename(draft, target):
-        raise RuntimeError(f"publish {version} was made by someone else meanwhile")
+    return version

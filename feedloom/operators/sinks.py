@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from feedloom.scratch import hadoop_path
 
 # Fixed value: the suffix of a staging table.
 STAGING_SUFFIX = "_staging"
@@ -19,6 +23,10 @@ def land_snapshot(
     be split among readers. The rebalance shuffles rows towards few files per date but splits a date
     too big for one task; leave it out for rows that are spread by date already.
     """
+    if fmt == "text":
+        # JSON has no line breaks inside its strings, so a document on one line is the same document.
+        text = [F.regexp_replace(c, r"[\r\n]+", " ").alias(c) if c != stamp else F.col(c) for c in df.columns]
+        df = df.select(*text)
     rows = df.hint("rebalance", stamp) if rebalance else df
     (
         rows.write.mode("overwrite")
@@ -30,13 +38,24 @@ def land_snapshot(
 
 
 def replace_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
-    """Replace a table. Sorting inside each task costs no shuffle and lets date-range scans skip pages."""
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("overwrite").parquet(path)
-
+    """Replace a table once the new one is complete: a job that fails before leaves the old one.
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    Sorting inside each task costs no shuffle and lets date-range scans skip pages.
+    """
+    out = df.sortWithinPartitions(*sort_by) if sort_by else df
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    fs, new = hadoop_path(df.sparkSession, f"{parent}/_{name}-{uuid.uuid4().hex}")
+    try:
+        out.write.parquet(new.toString())
+        _, old = hadoop_path(df.sparkSession, path)
+        fs.delete(old, True)
+        if not fs.rename(new, old):
+            raise RuntimeError(f"{path} could not be replaced by {new.toString()}")
+    except Exception:
+        if fs.exists(hadoop_path(df.sparkSession, path)[1]) and fs.exists(new):
+            fs.delete(new, True)
+        raise
+    df.sparkSession.catalog.refreshByPath(path)
 
 
 def stage_jdbc(

@@ -7,11 +7,12 @@ bounded by the calendar, so a series that owns a third of the raw rows is no big
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.functions.calendar import month_start, week_start
+from feedloom.functions.calendar import MONTH_KEY, month_start, week_start
 from feedloom.functions.sums import mean, total
 
 
@@ -42,15 +43,18 @@ def weekly_mart(
     )
 
 
-def missing_weeks(df: DataFrame, day: str, series: Sequence[str] = ()) -> DataFrame:
-    """Mondays of weeks without a row, between each series' first and last week.
+def missing_weeks(df: DataFrame, day: str, series: Sequence[str] = (), until: date | None = None) -> DataFrame:
+    """Mondays of weeks without a row, from each series' first week to the week of ``until``.
 
-    Each present week looks at the next one and lists what lies between, so only the gaps are ever
-    generated; a full spine to anti-join against would be mostly weeks that are there.
+    ``until`` is the latest date over all series if it is not given, so that a series that stopped shows its gap. Each present
+    week looks at the next one and lists what lies between, so only the gaps are ever generated; a full spine to
+    anti-join against would be mostly weeks that are there.
     """
     weeks = df.select(*series, week_start(F.col(day)).alias("week_start")).distinct()
+    end = F.lit(until or df.agg(F.max(F.col(day).cast("date"))).first()[0]).cast("date")
     after = F.lead("week_start").over(Window.partitionBy(*series).orderBy("week_start"))
-    gaps = weeks.withColumn("next_week", after).filter(F.datediff("next_week", "week_start") > 7)
+    next_week = F.coalesce(after, F.date_add(week_start(end), 7))
+    gaps = weeks.withColumn("next_week", next_week).filter(F.datediff("next_week", "week_start") > 7)
     listed = F.sequence(F.date_add("week_start", 7), F.date_sub("next_week", 7), F.expr("INTERVAL 7 DAYS"))
     return gaps.select(*series, F.explode(listed).alias("week_start"))
 
@@ -123,6 +127,25 @@ def season_profile(df: DataFrame, day: str, value: str, scale: int | None = None
 
 
 def carry_forward(df: DataFrame, day: str, value: str, series: Sequence[str]) -> DataFrame:
-    """Fill each NULL ``value`` with the series' last known one. One row per series and day."""
+    """Fill each NULL ``value`` with the series' last known one.
+
+    ``df`` holds one row per series and day. To carry a monthly value onto rows of a sparser or denser series use
+    ``latest_monthly``, which also knows the months in which the series has no row.
+    """
     window = Window.partitionBy(*series).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(value, F.last(value, ignorenulls=True).over(window))
+
+
+def latest_monthly(df: DataFrame, day: str, monthly: DataFrame, value: str) -> DataFrame:
+    """Every row of ``df`` with the monthly ``value`` of the latest month that has one, up to the row's own month.
+
+    ``monthly`` has one row per ``month_start``. The carrying is done over the months of both sides, of which the calendar
+    bounds the number, and not over the rows.
+    """
+    own = df.select(month_start(F.col(day)).alias(MONTH_KEY)).distinct()
+    known = monthly.select(MONTH_KEY, value)
+    months = known.unionByName(own.withColumn(value, F.lit(None).cast(monthly.schema[value].dataType)))
+    months = months.groupBy(MONTH_KEY).agg(F.max(value).alias(value)).filter(F.col(MONTH_KEY).isNotNull())
+    upto = Window.orderBy(MONTH_KEY).rowsBetween(Window.unboundedPreceding, 0)
+    carried = months.select(MONTH_KEY, F.last(value, ignorenulls=True).over(upto).alias(value))
+    return df.withColumn(MONTH_KEY, month_start(F.col(day))).join(F.broadcast(carried), MONTH_KEY, "left").drop(MONTH_KEY)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from feedloom.functions.classify import AREA_CLASSES, AREA_OTHERWISE, PRODUCT_CLASSES, PRODUCT_OTHERWISE
 from feedloom.functions.keys import surrogate_key
 from feedloom.operators.dims import date_dimension, named_dimension, require_unique_keys
-from feedloom.operators.facts import add_monthly_total, add_weekly_total, round_to
+from feedloom.operators.facts import add_monthly_total, join_on_week, round_to, weekly_sum
 from feedloom.operators.sinks import replace_table
+from feedloom.scratch import drop_path, materialize, scratch_path
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS
 
 # The names that select the market's series, and the gold tables' names.
@@ -71,7 +72,8 @@ def market_fact(
     The product is the price's own; stock and flow are those of the distillate total. Both names come
     from the feeds the dimensions are built from and a key is a hash of its name, so the keys are
     computed in place; joining the dimensions to fetch them would shuffle to learn nothing. Stock and
-    flow cover one area, so a total per period is all there is to join.
+    flow cover one area, so a total per week, with its area, is all there is to join. The area's key is a hash of the
+    stock's own column: a hash of a constant would be folded, and joins on it would lose their key.
     """
     name = F.col("product_name")
     price = prices.filter(name.contains(PRICE_PRODUCT)).select("date", "product_name", "price_usd_per_gal")
@@ -81,16 +83,10 @@ def market_fact(
     flow = movements.filter(
         (F.col("country_code") == NATION) & name.contains(STOCK_PRODUCT) & F.col("description").contains(FLOW)
     )
-    rows = add_weekly_total(
-        price,
-        "date",
-        stock,
-        "date",
-        "volume_k_barrels",
-        "total_stock_k_barrels",
-        options.week_key,
-        options.value_scale,
+    weekly = weekly_sum(
+        stock, "date", "volume_k_barrels", "total_stock_k_barrels", ("area",), options.week_key, options.value_scale
     )
+    rows = join_on_week(price, F.broadcast(weekly), "date", options.week_key)
     rows = add_monthly_total(
         rows,
         "date",
@@ -105,7 +101,7 @@ def market_fact(
     return rows.select(
         "date",
         surrogate_key(name, options.key_method).alias("product_id"),
-        surrogate_key(F.lit(NATION), options.key_method).alias("area_id"),
+        surrogate_key(F.col("area"), options.key_method).alias("area_id"),
         round_to("price_usd_per_gal", 3).alias("price_usd_per_gal"),
         "total_stock_k_barrels",
         round_to("monthly_net_imports_k_bpd", 2).alias("monthly_net_imports_k_bpd"),
@@ -114,11 +110,20 @@ def market_fact(
 
 
 def build_star(spark: SparkSession, silver: str, gold: str, options: StarOptions = StarOptions()) -> None:
-    """Read the silver tables, replace the four gold tables, refuse colliding keys."""
+    """Read the silver tables and replace the four gold tables, but none of them if keys collide."""
     prices, stocks, movements = (spark.read.parquet(f"{silver}/{s.name}") for s in (PRICES, STOCKS, MOVEMENTS))
-    replace_table(dim_date(prices, stocks), f"{gold}/{DIM_DATE}")
-    replace_table(dim_product(prices, stocks, movements, options.key_method), f"{gold}/{DIM_PRODUCT}")
-    replace_table(dim_area(stocks, movements, options.key_method), f"{gold}/{DIM_AREA}")
-    require_unique_keys(spark.read.parquet(f"{gold}/{DIM_PRODUCT}"), "product_id", "product_name")
-    require_unique_keys(spark.read.parquet(f"{gold}/{DIM_AREA}"), "area_id", "area_name")
-    replace_table(market_fact(prices, stocks, movements, options), f"{gold}/{FACT}", sort_by=("date",))
+    built = {
+        DIM_DATE: dim_date(prices, stocks),
+        DIM_PRODUCT: dim_product(prices, stocks, movements, options.key_method),
+        DIM_AREA: dim_area(stocks, movements, options.key_method),
+        FACT: market_fact(prices, stocks, movements, options),
+    }
+    work = scratch_path(spark, "star")
+    try:
+        stored = {name: materialize(df, f"{work}/{name}") for name, df in built.items()}
+        require_unique_keys(stored[DIM_PRODUCT], "product_id", "product_name")
+        require_unique_keys(stored[DIM_AREA], "area_id", "area_name")
+        for name, df in stored.items():
+            replace_table(df, f"{gold}/{name}", sort_by=("date",) if name == FACT else ())
+    finally:
+        drop_path(spark, work)

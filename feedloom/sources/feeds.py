@@ -23,6 +23,7 @@ REJECT_ID = "_reject_id"
 RAW_VALUE = "_raw_value"
 DATE_REASON = "Unparsable Date"
 DOCUMENT_REASON = "Unreadable Document"
+UNDECIDED_REASON = "Undecided Filter"
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ class FeedSpec:
 
     ``texts`` maps output columns to document fields. ``key`` names the output columns that identify
     a row; of several snapshots of one key the newest wins. ``keep`` is a business filter: rows it
-    drops are not errors. ``rules`` are checked after the built-in document and date rules.
+    drops are not errors, but rows it cannot decide on are. ``rules`` are checked after the built-in rules.
     """
 
     name: str
@@ -58,6 +59,7 @@ class FeedSpec:
         return [
             Rule(DOCUMENT_REASON, f"{CORRUPT} IS NULL"),
             Rule(DATE_REASON, f"`{self.date}` IS NOT NULL"),
+            *([Rule(UNDECIDED_REASON, self.keep)] if self.keep else []),
             *self.rules,
         ]
 
@@ -139,7 +141,7 @@ def shape(records: DataFrame, spec: FeedSpec) -> DataFrame:
     )
     if spec.keep is None:
         return shaped
-    return shaped.filter(F.expr(spec.keep) | F.col(CORRUPT).isNotNull())
+    return shaped.filter(F.expr(f"coalesce({spec.keep}, true)") | F.col(CORRUPT).isNotNull())
 
 
 def keep_facets(df: DataFrame, facets: Mapping[str, Sequence[object]]) -> DataFrame:

@@ -12,10 +12,6 @@ from feedloom.scratch import path_exists
 log = logging.getLogger(__name__)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or ``None`` with a warning when nothing is there."""
     if not path_exists(spark, path):

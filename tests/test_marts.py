@@ -31,7 +31,7 @@ def test_missing_weeks(sales):
     for s in {r[0] for r in data}:
         weeks = {monday(d) for t, d, _ in data if t == s}
         w = min(weeks)
-        while w < max(weeks):
+        while w <= monday(max(d for _, d, _ in data)):
             if w not in weeks:
                 want.append((s, w))
             w += dt.timedelta(days=7)
@@ -51,6 +51,24 @@ def test_missing_weeks_ignores_rows_without_a_date(spark):
     assert rows(marts.missing_weeks(df, "d")) == [(dt.date(2024, 1, 8),)]
 
 
+def test_missing_weeks_of_a_series_that_stopped(spark):
+    df = spark.sql("SELECT 'a' AS s, date'2024-01-01' AS d UNION ALL SELECT 'b', date'2024-01-17'")
+    assert rows(marts.missing_weeks(df, "d", ["s"])) == [("a", dt.date(2024, 1, 8)), ("a", dt.date(2024, 1, 15))]
+    assert rows(marts.missing_weeks(df, "d", ["s"], dt.date(2024, 1, 28))) == [
+        ("a", dt.date(2024, 1, 8)),
+        ("a", dt.date(2024, 1, 15)),
+        ("a", dt.date(2024, 1, 22)),
+        ("b", dt.date(2024, 1, 22)),
+    ]
+
+
+def test_latest_monthly_knows_months_without_rows(spark):
+    df = spark.sql("SELECT date'2024-01-05' AS d UNION ALL SELECT date'2024-03-09' UNION ALL SELECT date'2023-12-31' UNION ALL SELECT NULL")
+    monthly = spark.sql("SELECT date'2024-01-01' AS month_start, 1.0 AS v UNION ALL SELECT date'2024-02-01', 2.0 UNION ALL SELECT date'2024-05-01', 9.0")
+    found = marts.latest_monthly(df, "d", monthly, "v")
+    assert rows(found) == [(None, None), (dt.date(2023, 12, 31), None), (dt.date(2024, 1, 5), 1), (dt.date(2024, 3, 9), 2)]
+
+
 def test_month_over_month(sales):
     df, data = sales
     cents = {}

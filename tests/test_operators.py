@@ -17,7 +17,7 @@ from feedloom.operators.facts import (
 )
 from feedloom.operators.merge import upsert
 from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, split_valid, tag_errors
-from feedloom.operators.sinks import append_table, land_snapshot, replace_table, stage_jdbc
+from feedloom.operators.sinks import land_snapshot, replace_table, stage_jdbc
 from feedloom.scratch import scratch_root
 from feedloom.sources.tables import date_range, read_optional
 from tests.conftest import rows
@@ -195,12 +195,22 @@ def test_landing_replaces_a_date_and_adds_another(spark, tmp_path):
     assert rows(spark.read.parquet(path), "v") == [(2,), (3,)]
 
 
-def test_replace_and_append(spark, tmp_path):
+def test_replace(spark, tmp_path):
     path = str(tmp_path / "t")
     replace_table(spark.range(5), path, sort_by=("id",))
     replace_table(spark.range(2), path)
-    append_table(spark.range(3), path)
-    assert spark.read.parquet(path).count() == 5
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(Exception, match="lost"):
+        replace_table(spark.range(9).select(F.raise_error(F.lit("lost")).cast("string").alias("id")), path)
+    assert spark.read.parquet(path).count() == 2
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
+def test_indented_documents_land_whole(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    documents = spark.createDataFrame([('{\n  "a": [1,\r\n 2]\n}', 1)], "document string, stamp int")
+    land_snapshot(documents, path, "stamp", fmt="text")
+    assert spark.read.schema("a array<int>").json(path).first()["a"] == [1, 2]
 
 
 def test_optional_source(spark, tmp_path, caplog):
@@ -243,14 +253,20 @@ def test_date_range_is_inclusive_and_pushed(spark, tmp_path):
     assert date_range(stamped, "t", "2024-05-05", "2024-05-05").count() == 1
 
 
-class FakeSession:
-    def __init__(self, setting, master):
-        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: setting)})
-        self.sparkContext = type("Context", (), {"master": master})
+class OtherSession:
+    """The session under another master, with the scratch setting given."""
+
+    def __init__(self, spark, root, master):
+        self._spark = spark
+        self.conf = {"spark.checkpoint.dir": root}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": master})
+        self._jvm, self._jsc = spark._jvm, spark._jsc
 
 
-def test_scratch_follows_the_session():
-    assert scratch_root(FakeSession("hdfs://shared/scratch/", "yarn")) == "hdfs://shared/scratch"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_root(FakeSession(None, "yarn"))
-    assert scratch_root(FakeSession(None, "local[2]")) == scratch_root(FakeSession(None, "local[2]"))
+def test_scratch_follows_the_session(spark):
+    assert scratch_root(OtherSession(spark, "hdfs://shared/scratch/", "yarn")) == "hdfs://shared/scratch"
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_root(OtherSession(spark, None, master))
+    own = scratch_root(OtherSession(spark, None, "local[2]"))
+    assert own == scratch_root(OtherSession(spark, None, "local[2]")) and own.startswith("file:")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import publish as publishing
 from feedloom.operators.merge import MissingKeyError
-from feedloom.operators.publish import ServedTable, current_table, publish
+from feedloom.operators.publish import ServedTable, current_table, drop_old_versions, publish
 from tests.conftest import rows
 
 PLAIN = ServedTable("plain", ("k",))
@@ -42,8 +42,9 @@ def test_only_touched_periods_are_rewritten(spark, tmp_path):
         assert values(spark, root, "cut") == ["a", "B", "C"]
     assert current_table(spark, root, "cut").columns == ["d", "k", "v"]
     pointer = json.loads((tmp_path / "_published" / "3.json").read_text())
-    assert pointer["cut"] == {"2023": 1, "2024": 3, "2025": 3}
-    assert not (tmp_path / "cut" / "version=2" / "period=2023").exists()
+    assert {p: int(v.split("-")[0]) for p, v in pointer["cut"].items()} == {"2023": 1, "2024": 3, "2025": 3}
+    second = [f for f in (tmp_path / "cut").iterdir() if f.name.startswith("version=2-")]
+    assert [f.name for f in second[0].glob("period=*")] and not (second[0] / "period=2023").exists()
 
 
 def test_tables_not_staged_stay(spark, tmp_path):
@@ -74,12 +75,56 @@ def test_failure_before_the_switch_changes_nothing(spark, tmp_path, monkeypatch)
     assert values(spark, root, "plain") == ["d"]
 
 
-def test_second_of_two_concurrent_publishes_fails(spark, tmp_path):
+def test_loser_of_two_publishers_changes_nothing(spark, tmp_path, monkeypatch):
+    """The loser writes its rows and tries to switch after the winner has."""
     root = str(tmp_path)
     publish(spark, root, {"plain": plain(spark, (1, "a"))}, TABLES)
+    switch = publishing._switch
+
+    def late(*arguments):
+        with monkeypatch.context() as patched:
+            patched.setattr(publishing, "_switch", switch)
+            publish(spark, root, {"plain": plain(spark, (1, "winner"))}, TABLES)
+        return switch(*arguments)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(publishing, "_switch", late)
+        with pytest.raises(RuntimeError, match="someone else"):
+            publish(spark, root, {"plain": plain(spark, (1, "loser"))}, TABLES)
+    assert values(spark, root, "plain") == ["winner"]
+
+
+def test_pointer_is_never_overwritten(spark, tmp_path, monkeypatch):
+    """Two publishers that both saw no newer pointer: the file system lets one create it."""
+    root = str(tmp_path)
+    publish(spark, root, {"plain": plain(spark, (1, "a"))}, TABLES)
+    publish(spark, root, {"plain": plain(spark, (1, "b"))}, TABLES)
+    monkeypatch.setattr(publishing, "_latest", lambda *_: (1, {}))
+    monkeypatch.setattr(publishing, "_versions", lambda *_: [1])
     with pytest.raises(RuntimeError, match="someone else"):
         publishing._switch(spark, root, 1, {})
+    monkeypatch.undo()
+    assert values(spark, root, "plain") == ["b"]
+
+
+def test_incomplete_pointer_is_passed_over(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, {"plain": plain(spark, (1, "a"))}, TABLES)
+    (tmp_path / "_published" / "2.json").write_text('{"plain": {"al')
     assert values(spark, root, "plain") == ["a"]
+    assert publish(spark, root, {"plain": plain(spark, (2, "b"))}, TABLES) == 3
+    assert values(spark, root, "plain") == ["a", "b"]
+
+
+def test_old_versions_are_dropped(spark, tmp_path):
+    root = str(tmp_path)
+    for v in "abc":
+        publish(spark, root, {"plain": plain(spark, (1, v)), "cut": cut(spark, (f"202{ord(v) - 94}-01-01", 1, v))}, TABLES)
+    assert drop_old_versions(spark, root)
+    assert values(spark, root, "plain") == ["c"] and values(spark, root, "cut") == ["a", "b", "c"]
+    assert len(list((tmp_path / "plain").iterdir())) == 1 and len(list((tmp_path / "cut").iterdir())) == 3
+    publish(spark, root, {"plain": plain(spark, (2, "d"))}, TABLES)
+    assert values(spark, root, "plain") == ["c", "d"]
 
 
 def test_newest_wins_whatever_arrives_last(spark, tmp_path):
