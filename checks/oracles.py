@@ -363,3 +363,4 @@ FROM (SELECT *, date_trunc('month', date) AS own_month FROM prices
       WHERE day(date) % 3 = 0 OR month(date) % 2 = 0 OR product LIKE '%URGENT%') AS thinned
 ASOF LEFT JOIN monthly ON own_month >= month_start""",
 }
+ORACLES["incremental_clean"] = ORACLES["clean_price_feed"]

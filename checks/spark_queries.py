@@ -30,9 +30,10 @@ from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_ab
 from feedloom.operators.sinks import land_snapshot
 from feedloom.plans import marts, star
 from feedloom.plans.clean import store_feed, tagged_feed
-from feedloom.scratch import drop_path, materialize, scratch_path
+from feedloom.scratch import drop_path, hadoop_path, materialize, scratch_path
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS, FeedSpec, keep_facets, read_documents, unnest
 from feedloom.sources.tables import date_range
+from feedloom.streaming.incremental import arrived_feed, merge_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,6 +252,26 @@ def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.withColumn("error_reason", F.lit(None).cast("string")).select(*kept).unionByName(bad.select(*kept))
 
 
+def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals: most snapshots, with a draft of that of 2000; older ones, written ten days ago; the final one of 2000."""
+    work = _work_path(spark, "incremental")
+    landed, store = f"{work}/landed", f"{work}/store"
+    documents, year = roles.price_documents(spark, sf_dir), F.year("snapshot")
+    draft = F.regexp_replace("document", '"product-name":"', '"product-name":"draft ')
+    drafts = documents.filter(year == 2000).withColumn("document", draft)
+    for rows in (documents.filter(year > 2000).unionByName(drafts), documents.filter(year < 2000), documents.filter(year == 2000)):
+        land_snapshot(rows, landed, "snapshot", fmt="text", rebalance=False)
+        _age(spark, landed, "snapshot=19*/*")
+        merge_arrivals(spark, PRICES, f"{landed}/*/*", store, multi_line=False, stamp="snapshot", base=landed)
+    return arrived_feed(spark, PRICES, store).select(*PRICES.columns, "error_reason")
+
+
+def _age(spark: SparkSession, folder: str, pattern: str) -> None:
+    fs, path = hadoop_path(spark, f"{folder}/{pattern}")
+    for status in fs.globStatus(path) or []:
+        fs.setTimes(status.getPath(), 946_684_800_000, -1)
+
+
 def clean_stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _landed(spark, "clean-stocks", STOCKS, roles.stock_documents(spark, sf_dir))
     return tagged_feed(documents, STOCKS).select(*STOCKS.columns, "error_reason")
@@ -477,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "explode_nested": explode_nested,
     "month_date": month_date,
     "clean_price_feed": clean_price_feed,
+    "incremental_clean": incremental_clean,
     "clean_stock_feed": clean_stock_feed,
     "clean_movement_feed": clean_movement_feed,
     "dim_date": dim_date,

@@ -24,7 +24,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--batch-id", help="required by run and clean: a batch's quarantine replaces only its own")
     parser.add_argument("--week-key", choices=("iso", "calendar"), default="iso")
     parser.add_argument("--key-method", choices=("crc32", "xxhash64"), default="crc32")
-    parser.add_argument("--incremental", action="store_true", help="read only snapshots not yet seen")
+    parser.add_argument("--incremental", action="store_true", help="read only new and changed snapshots")
     args = parser.parse_args(arguments)
     if args.step in ("run", "clean") and not args.batch_id:
         parser.error(f"{args.step} needs --batch-id")

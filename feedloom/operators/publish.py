@@ -75,7 +75,9 @@ def replace_periods(
     new = f"{base + 1}-{uuid.uuid4().hex}"
     for name, (rows, touched) in changes.items():
         rows.write.partitionBy(PERIOD).parquet(_folder(root, name, new))
-        parts[name] = {**parts.get(name, {}), **{p: new for p in touched}}
+        # A period that has lost its last row has no folder; the pointer forgets it.
+        filled = {p: new for p in touched if path_exists(spark, f"{_folder(root, name, new)}/{PERIOD}={p}")}
+        parts[name] = {p: v for p, v in parts.get(name, {}).items() if p not in touched} | filled
     return _switch(spark, root, base, parts)
 
 

@@ -21,7 +21,6 @@ class Paths:
     gold: str
     serving: str
     arrivals: str
-    checkpoints: str
 
     @classmethod
     def under(cls, root: str) -> Paths:
@@ -29,15 +28,13 @@ class Paths:
 
 
 def clean_all(spark: SparkSession, paths: Paths, batch_id: str, incremental: bool = False) -> dict[str, CleanCounts]:
-    """Clean the three feeds from every snapshot in bronze, or from those not yet seen."""
+    """Clean the three feeds from every snapshot in bronze, or from what has changed since."""
     counts = {}
     for spec in (PRICES, STOCKS, MOVEMENTS):
         source = f"{paths.bronze}/{FEED_FILES[spec.name]}"
         outputs = (paths.silver, paths.quarantine, batch_id)
         if incremental:
-            checkpoint = f"{paths.checkpoints}/{spec.name}"
-            store = f"{paths.arrivals}/{spec.name}"
-            counts[spec.name] = clean_arrivals(spark, spec, source, store, checkpoint, *outputs)
+            counts[spec.name] = clean_arrivals(spark, spec, source, f"{paths.arrivals}/{spec.name}", *outputs)
         else:
             counts[spec.name] = clean_files(spark, spec, source, *outputs)
     return counts

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,31 +74,34 @@ def document_schema(spec: FeedSpec) -> T.StructType:
 def read_documents(
     spark: SparkSession,
     spec: FeedSpec,
-    path: str,
+    path: str | list[str],
     multi_line: bool = True,
     stamp: str | None = None,
-    stream: dict[str, str] | None = None,
+    with_path: bool = False,
+    base: str | None = None,
 ) -> DataFrame:
-    """Documents under ``path`` (a glob is fine) with the snapshot each came from.
+    """Documents under ``path`` (a glob or a list is fine) with the snapshot each came from.
 
     The file name carries the snapshot's date stamp, so names order snapshots; for landed documents
     ``stamp`` names the folder column (such as ``load_date``) that does. A multi-line document
     cannot be split: one task parses one file. That suits many bounded API responses; land anything
-    larger as one document per line and read it with ``multi_line=False``, which splits. ``stream``,
-    the options of a file stream, makes the result a streaming one.
+    larger as one document per line and read it with ``multi_line=False``, which splits. ``with_path`` makes the
+    snapshot a pair of its name and the file's path. ``base`` is the folder of the stamps if single files are given.
     """
     schema = document_schema(spec)
     if stamp is not None:
         schema = schema.add(stamp, T.StringType())
-    reader = spark.read if stream is None else spark.readStream.options(**stream)
     raw = (
-        reader.schema(schema)
+        spark.read.schema(schema)
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .options(**({"basePath": base} if base else {}))
         .json(path)
     )
     snapshot = F.col("_metadata.file_name" if stamp is None else stamp)
+    if with_path:
+        snapshot = F.struct(snapshot.alias("name"), F.col("_metadata.file_path").alias("path"))
     return raw.select(F.struct("response", CORRUPT).alias(DOCUMENT), snapshot.alias(SNAPSHOT))
 
 
@@ -116,6 +119,11 @@ def unnest(documents: DataFrame) -> DataFrame:
     )
 
 
+def snapshot_name(records: DataFrame) -> Column:
+    paired = isinstance(records.schema[SNAPSHOT].dataType, T.StructType)
+    return F.col(SNAPSHOT).getField("name") if paired else F.col(SNAPSHOT)
+
+
 def shape(records: DataFrame, spec: FeedSpec) -> DataFrame:
     """Typed, renamed columns plus what dedup and quarantine need to know about each row's origin.
 
@@ -132,7 +140,7 @@ def shape(records: DataFrame, spec: FeedSpec) -> DataFrame:
         day.alias(spec.date),
         number.alias(spec.measure),
         *texts,
-        F.when(F.col(CORRUPT).isNotNull(), F.sha2(F.concat_ws("/", SNAPSHOT, CORRUPT), 256))
+        F.when(F.col(CORRUPT).isNotNull(), F.sha2(F.concat_ws("/", snapshot_name(records), CORRUPT), 256))
         .when(day.isNull(), F.coalesce(period, F.lit("")))
         .alias(REJECT_ID),
         F.when(number.isNull(), value).alias(RAW_VALUE),

@@ -1,6 +1,9 @@
 """Whole jobs on small hand-made feeds."""
 
 import datetime as dt
+import json
+import os
+import time
 from dataclasses import replace
 from decimal import Decimal
 
@@ -166,6 +169,8 @@ def test_command_line(spark, paths, tmp_path):
     assert current_table(spark, paths.serving, "fact_diesel_market").count() == 2
     with pytest.raises(SystemExit):
         main(["run"])
+    with pytest.raises(SystemExit):
+        main(["run", "--root", str(tmp_path)])
 
 
 def test_stage_star_names(spark, paths, monkeypatch):
@@ -227,12 +232,12 @@ def test_incremental_equals_batch(spark, tmp_path, land, arrival):
         "2": [stock("2024-05-03", 7), stock("2024-05-10", -1)],
         "3": [stock("2024-05-10", 8), stock("2023-12-29", None)],
     }
-    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "checkpoint")
+    store = str(tmp_path / "store")
     source = f"{land.folder}/supply_*.json"
     for n in arrival:
         land(f"supply_2024060{n}.json", snapshots[n])
-        merge_arrivals(spark, STOCKS, source, store, checkpoint)
-    merge_arrivals(spark, STOCKS, source, store, checkpoint)
+        assert merge_arrivals(spark, STOCKS, source, store) == 1
+    assert merge_arrivals(spark, STOCKS, source, store) == 0
     columns = [*STOCKS.columns, "error_reason"]
     batch = tagged_feed(read_documents(spark, STOCKS, source), STOCKS)
     got = arrived_feed(spark, STOCKS, store)
@@ -240,6 +245,32 @@ def test_incremental_equals_batch(spark, tmp_path, land, arrival):
     assert got.count() == 4
 
 
+def test_late_replaced_and_withdrawn_snapshots(spark, tmp_path, land):
+    """After each change the store says what the batch job would."""
+    store, source = str(tmp_path / "store"), f"{land.folder}/supply_*.json"
+    columns = [*STOCKS.columns, "error_reason"]
+
+    def agree(read):
+        assert merge_arrivals(spark, STOCKS, source, store) == read
+        batch = tagged_feed(read_documents(spark, STOCKS, source), STOCKS)
+        assert rows(arrived_feed(spark, STOCKS, store), *columns) == rows(batch, *columns)
+
+    land("supply_20240603.json", [stock("2024-05-03", 5), stock("2022-05-03", 9), stock("2024-05-10", 6)])
+    agree(1)
+    land("supply_20240601.json", [stock("2024-05-03", 4), stock("2023-01-06", 1)])
+    ten_days_ago = time.time() - 10 * 86400
+    os.utime(f"{land.folder}/supply_20240601.json", (ten_days_ago, ten_days_ago))
+    agree(1)
+    kept = json.loads((tmp_path / "store" / "_published" / "2.json").read_text())["supply_estimates"]
+    # The same day fetched again: another value, and a year and a date that are gone.
+    land("supply_20240603.json", [stock("2024-05-03", 4.5), stock("2024-05-17", None)])
+    agree(1)
+    now = json.loads((tmp_path / "store" / "_published" / "3.json").read_text())["supply_estimates"]
+    assert now["2023"] == kept["2023"] and now["2024"] != kept["2024"] and "2022" not in now
+    os.remove(f"{land.folder}/supply_20240601.json")
+    agree(0)
+
+
 def test_incremental_pipeline_equals_batch(spark, paths, land, tmp_path):
     """Two incremental runs over growing bronze serve what one batch run over all of it serves."""
     run(spark, paths, "1", incremental=True)
