@@ -364,3 +364,16 @@ FROM (SELECT *, date_trunc('month', date) AS own_month FROM prices
 ASOF LEFT JOIN monthly ON own_month >= month_start""",
 }
 ORACLES["incremental_clean"] = ORACLES["clean_price_feed"]
+ORACLES["quarantine_history"] = """
+SELECT c_custkey, c_acctbal, 'Negative Balance' AS error_reason,
+       CASE WHEN c_acctbal < -500 THEN '1' ELSE '3' END AS first_batch,
+       CASE WHEN c_custkey % 2 = 1 THEN '3' ELSE '2' END AS last_batch
+FROM customer WHERE c_acctbal < 0 AND (c_acctbal < -500 OR c_custkey % 2 = 1)"""
+ORACLES["rounded_fact"] = """
+SELECT date, l_returnflag, CAST(round(total, 3) AS DOUBLE) AS total, CAST(round(total / 10, 0) * 10 AS DOUBLE) AS tens
+FROM (
+    SELECT CAST(l_shipdate AS DATE) AS date, l_returnflag,
+           CAST(SUM(CASE WHEN l_returnflag = 'R' THEN -charge ELSE charge END) AS DECIMAL(28,6)) AS total
+    FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(12,2)))
+                         * (1 + CAST(l_tax AS DECIMAL(12,2))) AS DECIMAL(20,6)) AS charge FROM lineitem)
+    GROUP BY 1, 2)"""

@@ -26,7 +26,7 @@ from feedloom.operators.facts import (
 )
 from feedloom.operators.merge import upsert
 from feedloom.operators.publish import ServedTable, current_table, publish
-from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, split_valid, tag_errors
+from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, quarantined, split_valid, tag_errors, write_quarantine
 from feedloom.operators.sinks import land_snapshot
 from feedloom.plans import marts, star
 from feedloom.plans.clean import store_feed, tagged_feed
@@ -193,6 +193,26 @@ def first_failed_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad_rows(tag_errors(lines, rules)).groupBy("error_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def quarantine_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches over customers, the second of them run again after a repair: the bad rows of each and who saw them."""
+    root = _work_path(spark, "quarantine-history")
+    bad = bad_rows(tag_errors(table(spark, sf_dir, "customer"), BALANCE_RULES)).select("c_custkey", "c_acctbal", "error_reason")
+    low, odd = F.col("c_acctbal") < -500, F.col("c_custkey") % 2 == 1
+    for batch, rows in (("1", bad.filter(low)), ("2", bad), ("3", bad.filter(odd)), ("2", bad.filter(low))):
+        write_quarantine(rows, root, batch)
+    return quarantined(spark, root).drop("quarantined_at")
+
+
+def rounded_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charges with six decimals and credits below zero, summed exactly by day and rounded half up to three."""
+    exact = [F.col(c).cast("decimal(12,2)") for c in ("l_extendedprice", "l_discount", "l_tax")]
+    charge = exact[0] * (F.lit(1).cast("decimal(1,0)") - exact[1]) * (F.lit(1).cast("decimal(1,0)") + exact[2])
+    signed = F.when(F.col("l_returnflag") == "R", -charge).otherwise(charge).cast("decimal(20,6)")
+    rows = roles.lines(spark, sf_dir).select(_day("l_shipdate").alias("date"), "l_returnflag", signed.alias("charge"))
+    summed = rows.groupBy("date", "l_returnflag").agg(F.sum("charge").cast("decimal(28,6)").alias("total"))
+    return summed.select("date", "l_returnflag", round_to("total", 3).cast("double").alias("total"), round_to("total", -1).cast("double").alias("tens"))
+
+
 # Parsing and documents
 
 
@@ -247,7 +267,7 @@ def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _landed(spark, "clean-prices", PRICES, roles.price_documents(spark, sf_dir))
     store_feed(spark, tagged_feed(documents, PRICES), PRICES, f"{work}/silver", f"{work}/quarantine", batch_id="1")
     silver = spark.read.parquet(f"{work}/silver/{PRICES.name}")
-    bad = spark.read.parquet(f"{work}/quarantine/{PRICES.name}")
+    bad = quarantined(spark, f"{work}/quarantine/{PRICES.name}")
     kept = [*PRICES.columns, "error_reason"]
     return silver.withColumn("error_reason", F.lit(None).cast("string")).select(*kept).unionByName(bad.select(*kept))
 
@@ -494,6 +514,8 @@ QUERIES: dict[str, Query] = {
     "quality_counts": quality_counts_query,
     "quarantine_share": quarantine_share,
     "first_failed_rule": first_failed_rule,
+    "quarantine_history": quarantine_history,
+    "rounded_fact": rounded_fact,
     "typed_parse": typed_parse,
     "explode_nested": explode_nested,
     "month_date": month_date,

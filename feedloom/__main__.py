@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from feedloom.plans.clean import CleanCounts
 from feedloom.plans.load import load_star
 from feedloom.plans.pipeline import Paths, clean_all, run
 from feedloom.plans.star import StarOptions, build_star
@@ -21,7 +22,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="feedloom")
     parser.add_argument("step", choices=("clean", "star", "load", "run"))
     parser.add_argument("--root", required=True)
-    parser.add_argument("--batch-id", help="required by run and clean: a batch's quarantine replaces only its own")
+    parser.add_argument("--batch-id", help="required by run and clean: the quarantine tells bad rows by the batches that saw them")
     parser.add_argument("--week-key", choices=("iso", "calendar"), default="iso")
     parser.add_argument("--key-method", choices=("crc32", "xxhash64"), default="crc32")
     parser.add_argument("--incremental", action="store_true", help="read only new and changed snapshots")
@@ -32,14 +33,20 @@ def main(arguments: Sequence[str] | None = None) -> None:
     paths = Paths.under(args.root.rstrip("/"))
     options = StarOptions(week_key=args.week_key, key_method=args.key_method)
     if args.step == "run":
-        run(spark, paths, args.batch_id, options, args.incremental)
+        report(run(spark, paths, args.batch_id, options, args.incremental))
     elif args.step == "clean":
-        clean_all(spark, paths, args.batch_id, args.incremental)
+        report(clean_all(spark, paths, args.batch_id, args.incremental))
     elif args.step == "star":
         build_star(spark, paths.silver, paths.gold, options)
     else:
         load_star(spark, paths.gold, paths.serving)
 
 
+def report(counts: dict[str, CleanCounts]) -> None:
+    """One line per feed: how many of the batch's rows were bad."""
+    for feed, n in counts.items():
+        print(f"{feed}: {n.total} rows, {n.bad} bad ({n.bad_share:.1%})")
+
+
 if __name__ == "__main__":
     main()

@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.operators.publish import PERIOD, WHOLE, current_table, read_periods, replace_periods
+
 REASON = "error_reason"
 QUARANTINED_AT = "quarantined_at"
+REJECT_KEY = "_reject_key"
+BATCHES = "_batches"
+HISTORY = "rows"
 
 
 class FeedQualityError(ValueError):
@@ -74,9 +79,33 @@ def require_survivors(n: int, feed: str) -> None:
 
 
 def write_quarantine(bad: DataFrame, root: str, batch_id: str) -> None:
-    """Store a batch's bad rows under its own folder: other batches stay, a re-run replaces its own.
+    """Merge a batch's bad rows into the feed's history: each bad row once, with the batches that saw it.
 
-    An empty batch also replaces, so that a repaired re-run leaves no stale rows behind.
+    A row is known by its content and its snapshot. A re-run of a batch replaces what that batch said: a row that it no longer
+    finds loses the batch, and goes if no other one saw it, so that a repaired re-run leaves nothing stale behind.
     """
-    stamped = bad.withColumn(QUARANTINED_AT, F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    spark = bad.sparkSession
+    identity = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in bad.columns]), {"ignoreNullFields": "false"}), 256)
+    seen = bad.distinct().withColumn(REJECT_KEY, identity)
+    version, history = read_periods(spark, root, HISTORY, [WHOLE])
+    stamped = seen.withColumns({QUARANTINED_AT: F.current_timestamp(), BATCHES: F.array(F.lit(batch_id))})
+    if history is None:
+        merged = stamped.withColumn(PERIOD, F.lit(WHOLE))
+    else:
+        here = seen.select(REJECT_KEY, F.lit(True).alias("_here"))
+        known = F.array_contains(BATCHES, batch_id)
+        with_it = F.when(known, F.col(BATCHES)).otherwise(F.array_append(BATCHES, batch_id))
+        batches = F.when(F.col("_here"), with_it).otherwise(F.array_remove(BATCHES, batch_id))
+        old = history.join(here, REJECT_KEY, "left").withColumn(BATCHES, batches).drop("_here")
+        new = stamped.join(history.select(REJECT_KEY), REJECT_KEY, "left_anti").withColumn(PERIOD, F.lit(WHOLE))
+        merged = old.filter(F.size(BATCHES) > 0).unionByName(new)
+    replace_periods(spark, root, {HISTORY: (merged, [WHOLE])}, version)
+
+
+def quarantined(spark: SparkSession, root: str) -> DataFrame | None:
+    """A feed's bad rows with the first and the last batch that saw each, or ``None`` before the first batch."""
+    history = current_table(spark, root, HISTORY)
+    if history is None:
+        return None
+    first, last = F.element_at(BATCHES, 1), F.element_at(BATCHES, -1)
+    return history.withColumns({"first_batch": first, "last_batch": last}).drop(BATCHES, REJECT_KEY)

@@ -38,6 +38,10 @@ class CleanCounts:
     valid: int
     bad: int
 
+    @property
+    def bad_share(self) -> float:
+        return self.bad / self.total if self.total else 0.0
+
 
 def tagged_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> DataFrame:
     """Shaped rows, one per key unless ``dedup`` is off, each with its error reason or NULL.
@@ -54,7 +58,7 @@ def tagged_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> Dat
 def store_feed(
     spark: SparkSession, tagged: DataFrame, spec: FeedSpec, silver: str, quarantine: str, batch_id: str
 ) -> CleanCounts:
-    """Replace ``silver``/<feed> with the valid rows and store the bad ones under this batch.
+    """Replace ``silver``/<feed> with the valid rows and merge the bad ones into the feed's history.
 
     The tagged rows are written once to shared scratch, so neither output recomputes the parse or the
     dedup and the two cannot disagree. Reading them back is cheap: the counts need one column, and the

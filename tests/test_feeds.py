@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from feedloom.operators.quality import FeedQualityError
+from feedloom.operators.quality import FeedQualityError, quarantined
 from feedloom.plans.clean import clean_files, tagged_feed, valid_feed
 from feedloom.sources.feeds import FEED_FILES, MOVEMENTS, PRICES, STOCKS, keep_facets, read_documents
 from tests.conftest import movement, price, rows, stock
@@ -21,7 +21,7 @@ def silver(spark, tmp_path, spec):
 
 
 def quarantine(spark, tmp_path, spec):
-    return spark.read.parquet(str(tmp_path / "bad" / spec.name))
+    return quarantined(spark, str(tmp_path / "bad" / spec.name))
 
 
 def test_prices(spark, tmp_path, land):
@@ -149,14 +149,18 @@ def test_all_bad_leaves_quarantine_then_fails(spark, tmp_path, land):
     assert quarantine(spark, tmp_path, PRICES).count() == 1
 
 
-def test_rerun_replaces_its_own_quarantine_only(spark, tmp_path, land):
+def test_quarantine_holds_each_bad_row_once(spark, tmp_path, land):
     land("prices_20240506.json", [price("2024-05-06", -1), price("2024-05-13", 2)])
     for batch in ("1", "1", "2", "2"):
         clean(spark, tmp_path, PRICES, land.folder, batch)
-    assert quarantine(spark, tmp_path, PRICES).count() == 2
-    land("prices_20240506.json", [price("2024-05-06", 1), price("2024-05-13", 2)])
+    assert rows(quarantine(spark, tmp_path, PRICES), "first_batch", "last_batch") == [("1", "2")]
+    land("prices_20240506.json", [price("2024-05-06", 1), price("2024-05-13", -2), price("2024-05-20", 2)])
     clean(spark, tmp_path, PRICES, land.folder, "2")
-    assert rows(quarantine(spark, tmp_path, PRICES), "batch_id") == [(1,)]
+    found = rows(quarantine(spark, tmp_path, PRICES), "price_usd_per_gal", "first_batch", "last_batch")
+    assert found == [(-1.0, "1", "1"), (-2.0, "2", "2")]
+    land("prices_20240506.json", [price("2024-05-13", 2)])
+    clean(spark, tmp_path, PRICES, land.folder, "2")
+    assert rows(quarantine(spark, tmp_path, PRICES), "price_usd_per_gal") == [(-1.0,)]
 
 
 def test_valid_and_bad_make_up_the_input(spark, land):
