@@ -26,6 +26,7 @@ from feedloom.sources.feeds import (
     REJECT_ID,
     SNAPSHOT,
     FeedSpec,
+    look_back,
     read_documents,
     shape,
     unnest,
@@ -52,7 +53,7 @@ def tagged_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> Dat
     rows = shape(unnest(documents), spec)
     if dedup:
         rows = keep_latest(rows, [*spec.key, REJECT_ID], SNAPSHOT)
-    return tag_errors(rows, spec.all_rules)
+    return tag_errors(look_back(rows, spec), spec.all_rules)
 
 
 def store_feed(
@@ -93,8 +94,15 @@ def valid_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> Data
 
 
 def clean_files(
-    spark: SparkSession, spec: FeedSpec, path: str, silver: str, quarantine: str, batch_id: str, multi_line: bool = True
+    spark: SparkSession,
+    spec: FeedSpec,
+    path: str,
+    silver: str,
+    quarantine: str,
+    batch_id: str,
+    multi_line: bool = True,
+    stamp: str | None = None,
 ) -> CleanCounts:
-    """Clean every snapshot under ``path``."""
-    tagged = tagged_feed(read_documents(spark, spec, path, multi_line), spec)
+    """Clean every snapshot under ``path``; ``stamp`` is the folder column of landed documents."""
+    tagged = tagged_feed(read_documents(spark, spec, path, multi_line, stamp), spec)
     return store_feed(spark, tagged, spec, silver, quarantine, batch_id)

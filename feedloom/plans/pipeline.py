@@ -7,6 +7,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import SparkSession
 
 from feedloom.plans.clean import CleanCounts, clean_files
+from feedloom.plans.land import LOAD_DATE, land_feed
 from feedloom.plans.load import load_star
 from feedloom.plans.star import StarOptions, build_star
 from feedloom.sources.feeds import FEED_FILES, MOVEMENTS, PRICES, STOCKS
@@ -21,22 +22,39 @@ class Paths:
     gold: str
     serving: str
     arrivals: str
+    landed: str
 
     @classmethod
     def under(cls, root: str) -> Paths:
         return cls(*(f"{root}/{field.name}" for field in fields(cls)))
 
 
-def clean_all(spark: SparkSession, paths: Paths, batch_id: str, incremental: bool = False) -> dict[str, CleanCounts]:
-    """Clean the three feeds from every snapshot in bronze, or from what has changed since."""
+FEEDS = (PRICES, STOCKS, MOVEMENTS)
+
+
+def land_all(spark: SparkSession, paths: Paths) -> None:
+    for spec in FEEDS:
+        land_feed(spark, spec, paths.bronze, paths.landed)
+
+
+def clean_all(
+    spark: SparkSession, paths: Paths, batch_id: str, incremental: bool = False, landed: bool = False
+) -> dict[str, CleanCounts]:
+    """Clean the three feeds from every snapshot, or from what has changed since.
+
+    The snapshots are the files in bronze, one task each, or, with ``landed``, what ``land_all`` made of them, which splits.
+    """
     counts = {}
-    for spec in (PRICES, STOCKS, MOVEMENTS):
-        source = f"{paths.bronze}/{FEED_FILES[spec.name]}"
+    for spec in FEEDS:
+        base = f"{paths.landed}/{spec.name}"
+        source = f"{base}/*/*" if landed else f"{paths.bronze}/{FEED_FILES[spec.name]}"
+        form = {"multi_line": False, "stamp": LOAD_DATE} if landed else {}
         outputs = (paths.silver, paths.quarantine, batch_id)
         if incremental:
-            counts[spec.name] = clean_arrivals(spark, spec, source, f"{paths.arrivals}/{spec.name}", *outputs)
+            form |= {"base": base} if landed else {}
+            counts[spec.name] = clean_arrivals(spark, spec, source, f"{paths.arrivals}/{spec.name}", *outputs, **form)
         else:
-            counts[spec.name] = clean_files(spark, spec, source, *outputs)
+            counts[spec.name] = clean_files(spark, spec, base if landed else source, *outputs, **form)
     return counts
 
 
@@ -46,9 +64,12 @@ def run(
     batch_id: str,
     options: StarOptions = StarOptions(),
     incremental: bool = False,
+    landed: bool = False,
 ) -> dict[str, CleanCounts]:
     """Run every step; any gate that fails stops the ones after it. Re-running a batch changes nothing."""
-    counts = clean_all(spark, paths, batch_id, incremental)
+    if landed:
+        land_all(spark, paths)
+    counts = clean_all(spark, paths, batch_id, incremental, landed)
     build_star(spark, paths.silver, paths.gold, options)
     load_star(spark, paths.gold, paths.serving)
     return counts

@@ -32,13 +32,14 @@ class StarOptions:
     """``week_key='calendar'`` matches weeks by calendar year and ISO week number.
 
     ``has_macro`` names a column that tells a month without a report from a reported zero.
-    ``value_scale`` makes the sums exact for volumes with at most that many decimals.
+    ``value_scale`` makes the sums exact for volumes with at most that many decimals, which cleaned feeds have; ``None`` gives
+    plain double sums, whose last digit depends on the order of the rows.
     """
 
     week_key: str = "iso"
     key_method: str = "crc32"
     has_macro: str | None = None
-    value_scale: int | None = None
+    value_scale: int | None = 6
 
 
 def dim_date(prices: DataFrame, stocks: DataFrame) -> DataFrame:

@@ -7,13 +7,14 @@ cannot analyse a feed whose documents are all empty.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.parsing import parse_day, parse_month, parse_number
+from feedloom.operators.dedup import latest_n_per_series
 from feedloom.operators.quality import Rule
 
 DOCUMENT = "_document"
@@ -24,6 +25,7 @@ RAW_VALUE = "_raw_value"
 DATE_REASON = "Unparsable Date"
 DOCUMENT_REASON = "Unreadable Document"
 UNDECIDED_REASON = "Undecided Filter"
+SCALE_REASON = "Too Many Decimals"
 
 
 @dataclass(frozen=True)
@@ -32,7 +34,9 @@ class FeedSpec:
 
     ``texts`` maps output columns to document fields. ``key`` names the output columns that identify
     a row; of several snapshots of one key the newest wins. ``keep`` is a business filter: rows it
-    drops are not errors, but rows it cannot decide on are. ``rules`` are checked after the built-in rules.
+    drops are not errors, but rows it cannot decide on are. ``facets`` are wanted values of text columns, part of the filter.
+    ``latest``, with ``series``, is the look-back: so many newest dates of each series. ``scale`` is the number of decimals that a
+    measure may have, so that sums of them are exact. ``rules`` are checked after the built-in rules.
     """
 
     name: str
@@ -43,6 +47,10 @@ class FeedSpec:
     rules: Sequence[Rule]
     monthly: bool = False
     keep: str | None = None
+    facets: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    latest: int | None = None
+    series: Sequence[str] = ()
+    scale: int = 6
     period_field: str = "period"
     value_field: str = "value"
 
@@ -54,13 +62,21 @@ class FeedSpec:
     def record_fields(self) -> list[str]:
         return [self.period_field, self.value_field, *self.texts.values()]
 
+    @property
+    def filter(self) -> str | None:
+        """The business filter and the facets as one condition."""
+        quoted = {c: ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in wanted) for c, wanted in self.facets.items()}
+        conditions = [f"({self.keep})"] if self.keep else []
+        return " AND ".join([*conditions, *(f"`{c}` IN ({values})" for c, values in quoted.items())]) or None
+
     @property
     def all_rules(self) -> list[Rule]:
         return [
             Rule(DOCUMENT_REASON, f"{CORRUPT} IS NULL"),
             Rule(DATE_REASON, f"`{self.date}` IS NOT NULL"),
-            *([Rule(UNDECIDED_REASON, self.keep)] if self.keep else []),
+            *([Rule(UNDECIDED_REASON, self.filter)] if self.filter else []),
             *self.rules,
+            Rule(SCALE_REASON, f"`{self.measure}` IS NULL OR round(`{self.measure}`, {self.scale}) = `{self.measure}`"),
         ]
 
 
@@ -147,9 +163,18 @@ def shape(records: DataFrame, spec: FeedSpec) -> DataFrame:
         CORRUPT,
         SNAPSHOT,
     )
-    if spec.keep is None:
+    if spec.filter is None:
         return shaped
-    return shaped.filter(F.expr(f"coalesce({spec.keep}, true)") | F.col(CORRUPT).isNotNull())
+    return shaped.filter(F.expr(f"coalesce({spec.filter}, true)") | F.col(CORRUPT).isNotNull())
+
+
+def look_back(rows: DataFrame, spec: FeedSpec) -> DataFrame:
+    """The newest dates of each series, one row per key given. Rows without a date have no place in a series and stay."""
+    if spec.latest is None:
+        return rows
+    day = F.col(f"`{spec.date}`")
+    order = [day.desc(), *[F.col(f"`{c}`").asc() for c in spec.key]]
+    return latest_n_per_series(rows.filter(day.isNotNull()), spec.latest, spec.series, order).unionByName(rows.filter(day.isNull()))
 
 
 def keep_facets(df: DataFrame, facets: Mapping[str, Sequence[object]]) -> DataFrame:

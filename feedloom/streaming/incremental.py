@@ -22,7 +22,7 @@ from feedloom.operators.publish import PERIOD, WHOLE, current_table, read_period
 from feedloom.operators.quality import FeedQualityError, tag_errors
 from feedloom.plans.clean import CleanCounts, store_feed
 from feedloom.scratch import drop_path, materialize, scratch_path
-from feedloom.sources.feeds import REJECT_ID, SNAPSHOT, FeedSpec, read_documents, shape, unnest
+from feedloom.sources.feeds import REJECT_ID, SNAPSHOT, FeedSpec, look_back, read_documents, shape, unnest
 
 FILE = "_file"
 FILES = "files"
@@ -110,7 +110,8 @@ def arrived_feed(spark: SparkSession, spec: FeedSpec, store: str) -> DataFrame |
     rows = current_table(spark, store, spec.name)
     if rows is None:
         return None
-    return tag_errors(keep_latest(rows.drop(FILE), [*spec.key, REJECT_ID], SNAPSHOT), spec.all_rules)
+    rows = keep_latest(rows.drop(FILE), [*spec.key, REJECT_ID], SNAPSHOT)
+    return tag_errors(look_back(rows, spec), spec.all_rules)
 
 
 def clean_arrivals(
@@ -122,9 +123,11 @@ def clean_arrivals(
     quarantine: str,
     batch_id: str,
     multi_line: bool = True,
+    stamp: str | None = None,
+    base: str | None = None,
 ) -> CleanCounts:
     """The batch cleaning job's outputs and gates, without reading unchanged snapshots again."""
-    merge_arrivals(spark, spec, source, store, multi_line)
+    merge_arrivals(spark, spec, source, store, multi_line, stamp, base)
     tagged = arrived_feed(spark, spec, store)
     if tagged is None:
         raise FeedQualityError(f"{spec.name}: no snapshot has arrived yet")

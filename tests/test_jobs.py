@@ -245,6 +245,36 @@ def test_incremental_equals_batch(spark, tmp_path, land, arrival):
     assert got.count() == 4
 
 
+@pytest.mark.parametrize("incremental", [False, True])
+def test_landed_documents_give_the_same_result(spark, paths, land, tmp_path, incremental):
+    """Landed from indented files, with one of them truncated."""
+    text = json.dumps({"response": {"data": [price("2024-05-13", 3.1), price("2024-05-20", "x")]}}, indent=2)
+    land("prices_20240521.json", text)
+    land("prices_20240522.json", text[:-9])
+    landed = replace(Paths.under(str(tmp_path / "other")), bronze=paths.bronze)
+    counts = run(spark, landed, "1", incremental=incremental, landed=True)
+    assert counts == run(spark, paths, "1")
+    for layer in ("silver/petroleum_prices", "gold/fact_diesel_market"):
+        got, want = (spark.read.parquet(f"{root}/{layer}") for root in (tmp_path / "other", tmp_path))
+        assert rows(got) == rows(want)
+
+
+def test_facets_and_look_back_of_a_feed(spark, land):
+    spec = replace(PRICES, facets={"process_name": ["Retail", "it's"]}, latest=2, series=("product_name",))
+    land("prices_20240601.json", [price(f"2024-05-{d:02}", d, product=p) for p in "ab" for d in (6, 13, 20)])
+    land("prices_20240602.json", [price("2024-05-27", 9, process="Other"), price("2024-05-27", 8, process=None), price("no date", 1)])
+    tagged = tagged_feed(read_documents(spark, spec, f"{land.folder}/prices_*.json"), spec)
+    found = rows(tagged, "product_name", "price_usd_per_gal", "error_reason")
+    assert [r for r in found if r[2] is None] == [("a", 13.0, None), ("a", 20.0, None), ("b", 13.0, None), ("b", 20.0, None)]
+    assert sorted(r[2] for r in found if r[2]) == ["Undecided Filter", "Unparsable Date"]
+
+
+def test_values_too_fine_for_exact_sums_are_quarantined(spark, land):
+    land("prices_20240601.json", [price("2024-05-06", "3.1234567"), price("2024-05-13", "3.123456"), price("2024-05-20", 1e9)])
+    tagged = tagged_feed(read_documents(spark, PRICES, f"{land.folder}/prices_*.json"), PRICES)
+    assert rows(tagged, "error_reason") == [(None,), (None,), ("Too Many Decimals",)]
+
+
 def test_late_replaced_and_withdrawn_snapshots(spark, tmp_path, land):
     """After each change the store says what the batch job would."""
     store, source = str(tmp_path / "store"), f"{land.folder}/supply_*.json"
