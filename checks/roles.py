@@ -130,7 +130,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stock_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One indented document per line item with four records; stock is the quantity above a reserve of five.
+    """One document per line item with four records; stock is the quantity above a reserve of five.
 
     Highly taxed lines do not say what process their stock is of.
     """
@@ -151,14 +151,13 @@ def stock_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for process, value in measures.items()
     ]
-    indented = F.regexp_replace(_document(F.array(*records)), r"\{", "{\n  ")
     return lines(spark, sf_dir).hint("rebalance", "l_linenumber").select(
-        indented.alias("document"), F.col("l_linenumber").alias("snapshot")
+        _document(F.array(*records)).alias("document"), F.col("l_linenumber").alias("snapshot")
     )
 
 
 def movement_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per line item; an undiscounted line has no value."""
+    """One document per line item, broken into lines; an undiscounted line has no value."""
     record = _record(
         F.date_format("l_shipdate", "yyyy-MM"),
         F.when(F.col("l_discount") > 0, F.col("l_extendedprice")),
@@ -166,6 +165,7 @@ def movement_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         area_name=F.col("l_linestatus"),
         series_description=F.concat(F.lit("Net Imports "), F.col("l_tax")),
     )
+    indented = F.replace(_document(F.array(record)), F.lit("{"), F.lit("{\n  "))
     return lines(spark, sf_dir).hint("rebalance", "l_linenumber").select(
-        _document(F.array(record)).alias("document"), F.col("l_linenumber").alias("snapshot")
+        indented.alias("document"), F.col("l_linenumber").alias("snapshot")
     )

@@ -25,8 +25,8 @@ def land_snapshot(
     """
     if fmt == "text":
         # JSON has no line breaks inside its strings, so a document on one line is the same document.
-        text = [F.regexp_replace(c, r"[\r\n]+", " ").alias(c) if c != stamp else F.col(c) for c in df.columns]
-        df = df.select(*text)
+        unbroken = {c: F.replace(F.replace(c, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" ")) for c in df.columns if c != stamp}
+        df = df.withColumns(unbroken)
     rows = df.hint("rebalance", stamp) if rebalance else df
     (
         rows.write.mode("overwrite")
