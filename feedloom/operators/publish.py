@@ -13,6 +13,7 @@ over, so a weekly load costs what the week's periods cost rather than what the t
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -31,9 +32,9 @@ WHOLE = "all"
 
 @dataclass(frozen=True)
 class ServedTable:
-    """``period``, if given, is SQL over key columns, so that a key never moves between periods.
+    """``period``, if given, is ``year(column)`` of a key column, or its quarter or month, so that a key never moves between
+    periods and the calendar bounds the periods that the pointer lists.
 
-    It must be calendar-bounded (years, months): its distinct staged values are listed in the pointer.
     Normally a staged row replaces the one that has its key, and no key column may be NULL. With
     ``newest`` the row with the greater value of that column stays, wherever it comes from, so that
     staging may arrive in any order; NULL is then a key value like any other.
@@ -44,6 +45,11 @@ class ServedTable:
     period: str | None = None
     newest: str | None = None
 
+    def __post_init__(self) -> None:
+        unit = re.fullmatch(r"(?:year|quarter|month)\((\w+)\)", self.period) if self.period else None
+        if self.period and (unit is None or unit[1] not in self.keys):
+            raise ValueError(f"{self.name}: {self.period} is no year, quarter or month of a key column")
+
 
 def publish(spark: SparkSession, root: str, staged: Mapping[str, DataFrame], tables: Sequence[ServedTable]) -> int:
     """Merge every staged table, then switch the pointer. Tables not staged keep what they have.

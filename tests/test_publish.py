@@ -25,6 +25,12 @@ def values(spark, root, table):
     return [r[-1] for r in rows(current_table(spark, root, table))]
 
 
+@pytest.mark.parametrize("period", ["d", "year(other)", "k % 7"])
+def test_periods_are_bounded_by_the_calendar(period):
+    with pytest.raises(ValueError, match="no year"):
+        ServedTable("t", ("d", "k"), period=period)
+
+
 def test_insert_update_keep(spark, tmp_path):
     root = str(tmp_path)
     assert current_table(spark, root, "plain") is None
