@@ -96,13 +96,19 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.model = self.tokenizer.model
         self.dtype = id_type(self.tokenizer)
         self.words = WordCache(self._words, CACHED)
         self.stems = WordCache(self._stems, CACHED // 2)
 
     def _stems(self, stems: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+        """Lower-case ASCII letters are what the normalizer and the pre-tokenizer leave as they are: such a stem is one
+        pre-token and goes straight to the library's model."""
+        plain = [s.isascii() and s.isalpha() for s in stems]
+        rest = [s for s, p in zip(stems, plain) if not p]
+        encoded = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        ids = ([t.id for t in self.model.tokenize(s)] if p else next(encoded).ids for s, p in zip(stems, plain))
+        return [np.array(i, self.dtype).tobytes() for i in ids]
 
     def _words(self, words: list[bytes]) -> Iterator[bytes]:
         parts: list[str] = []
