@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.dedup import keep_latest
@@ -64,8 +64,16 @@ def publish(spark: SparkSession, root: str, staged: Mapping[str, DataFrame], tab
             continue
         period = F.lit(WHOLE) if table.period is None else F.expr(table.period).cast("string")
         rows = staged[table.name].withColumn(PERIOD, period)
-        touched = _check_keys(rows, table)
-        current = _read(spark, root, table.name, {p: v for p, v in parts.get(table.name, {}).items() if p in touched})
+        staged_sums = _check_keys(rows, table)
+        old = {p: v for p, v in parts.get(table.name, {}).items() if p in staged_sums}
+        current = _read(spark, root, table.name, old)
+        same = _unchanged(staged_sums, current, rows.columns)
+        touched = [p for p in staged_sums if p not in same]
+        if same and not touched:
+            continue
+        if same:
+            rows = rows.filter(F.col(PERIOD).isin(touched))
+            current = _read(spark, root, table.name, {p: v for p, v in old.items() if p in touched})
         changes[table.name] = (_merged(current, rows, table), touched)
     return replace_periods(spark, root, changes, version)
 
@@ -110,12 +118,28 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int = 1) -> list[str
     return removed
 
 
-def _check_keys(rows: DataFrame, table: ServedTable) -> list[str]:
-    """The periods staged, in one pass that also refuses NULL keys. One row per period comes back."""
-    periods = rows.groupBy(PERIOD).agg(F.count_if(null_key(table.keys)).alias("_null_keys")).collect()
+def _sums(columns: Sequence[str]) -> list[Column]:
+    """What tells two sets of rows apart, whatever their order: their number and two sums of hashes."""
+    names = [F.col(f"`{c}`") for c in sorted(columns)]
+    hashed = [F.xxhash64(F.lit(seed), *names).cast("decimal(38,0)") for seed in (1, 2)]
+    return [F.count("*").alias("_rows"), *[F.sum(h).alias(f"_sum{i}") for i, h in enumerate(hashed)]]
+
+
+def _check_keys(rows: DataFrame, table: ServedTable) -> dict[str, tuple]:
+    """The periods staged with the sums of their rows, in one pass that also refuses NULL keys. One row per period comes back."""
+    nulls = F.count_if(null_key(table.keys)).alias("_null_keys")
+    periods = rows.groupBy(PERIOD).agg(nulls, *_sums(rows.columns)).collect()
     if table.newest is None and any(p["_null_keys"] for p in periods):
         raise MissingKeyError(f"{table.name}: staged rows with a NULL in {', '.join(table.keys)}")
-    return [p[PERIOD] for p in periods]
+    return {p[PERIOD]: tuple(p[2:]) for p in periods}
+
+
+def _unchanged(staged: Mapping[str, tuple], current: DataFrame | None, columns: Sequence[str]) -> set[str]:
+    """The periods whose staged rows are the rows already published. They keep their files."""
+    if current is None or set(current.columns) != set(columns):
+        return set()
+    published = {p[PERIOD]: tuple(p[1:]) for p in current.groupBy(PERIOD).agg(*_sums(columns)).collect()}
+    return {p for p, sums in staged.items() if published.get(p) == sums}
 
 
 def _merged(current: DataFrame | None, rows: DataFrame, table: ServedTable) -> DataFrame:

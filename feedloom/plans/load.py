@@ -48,7 +48,8 @@ def load_star(spark: SparkSession, gold: str, serving: str) -> int | None:
         for table in SERVED:
             df = serving_rows(spark, gold, table)
             if df is not None:
-                staged[table.name] = materialize(df, f"{work}/{table.name}")
+                # The fact is files already, and large; the members are filtered once for several reads.
+                staged[table.name] = df if table.name == FACT else materialize(df, f"{work}/{table.name}")
         if not staged:
             return None
         for name, prefix in ((DIM_PRODUCT, "product"), (DIM_AREA, "area")):

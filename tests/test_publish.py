@@ -48,11 +48,23 @@ def test_only_touched_periods_are_rewritten(spark, tmp_path):
         assert values(spark, root, "cut") == ["a", "B", "C"]
     assert current_table(spark, root, "cut").columns == ["d", "k", "v"]
     pointer = json.loads((tmp_path / "_published" / "3.json").read_text())
-    assert {p: int(v.split("-")[0]) for p, v in pointer["cut"].items()} == {"2023": 1, "2024": 3, "2025": 3}
+    assert {p: int(v.split("-")[0]) for p, v in pointer["cut"].items()} == {"2023": 1, "2024": 2, "2025": 2}
     second = [f for f in (tmp_path / "cut").iterdir() if f.name.startswith("version=2-")]
     assert [f.name for f in second[0].glob("period=*")] and not (second[0] / "period=2023").exists()
 
 
+def test_unchanged_periods_keep_their_files(spark, tmp_path):
+    root = str(tmp_path)
+    first = cut(spark, ("2023-05-01", 1, "a"), ("2023-05-02", 2, "b"), ("2024-05-01", 1, "c"))
+    publish(spark, root, {"cut": first}, TABLES)
+    before = {r[0] for r in current_table(spark, root, "cut").select("_metadata.file_path").collect()}
+    publish(spark, root, {"cut": first.withColumn("v", F.when(F.year("d") == 2024, F.lit("C")).otherwise(F.col("v")))}, TABLES)
+    after = {r[0] for r in current_table(spark, root, "cut").select("_metadata.file_path").collect()}
+    assert {p for p in before if "period=2023" in p} <= after
+    assert not {p for p in before if "period=2024" in p} & after
+    assert values(spark, root, "cut") == ["a", "b", "C"]
+
+
 def test_tables_not_staged_stay(spark, tmp_path):
     root = str(tmp_path)
     publish(spark, root, {"plain": plain(spark, (1, "a")), "cut": cut(spark, ("2024-01-01", 1, "x"))}, TABLES)
