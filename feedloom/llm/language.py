@@ -41,9 +41,12 @@ EFFECTIVE = 60.0
 KAPPA = 4.0
 SMOOTH = 2.0
 
-HIDDEN = re.compile(r"<(script|style|nav|header|footer|aside|template)\b.*?</\1\s*>|<!--.*?-->|<title\b.*?</title\s*>", re.S | re.I)
-TAG = re.compile(r"<[^>]*>")
-DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
+#: Where parts without text of the page's own begin and end, and those that hide all that follows if they never end.
+MARK = re.compile(r"<!--|-->|<(/?)(script|style|nav|header|footer|aside|template|title)\b", re.I)
+OPAQUE = {"<!--", "script", "style", "template"}
+#: Patterns stop at the next "<", so that a page full of unclosed tags takes linear time.
+TAG = re.compile(r"<[^<>]*>")
+DECLARED = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
 HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -55,8 +58,18 @@ def trigrams(text: str) -> Counter:
 
 
 def visible(markup: str) -> str:
-    """The text of a page without scripts, styles and boilerplate."""
-    return entities.unescape(TAG.sub(" ", HIDDEN.sub(" ", markup)))
+    """The text of a page without scripts, styles, comments and boilerplate, found in one pass over their marks."""
+    shown, at, inside = [], 0, ""
+    for mark in MARK.finditer(markup):
+        name = (mark[2] or mark[0]).lower()
+        if not inside and name != "-->" and not mark[1]:
+            shown.append(markup[at : mark.start()])
+            at, inside = mark.end(), name
+        elif inside and (name == "-->" if inside == "<!--" else mark[1] and name == inside):
+            at, inside = mark.start() if mark[1] else mark.end(), ""
+    if inside not in OPAQUE:
+        shown.append(markup[at:])
+    return entities.unescape(TAG.sub(" ", " ".join(shown)))
 
 
 def declared(markup: str) -> str:

@@ -164,6 +164,16 @@ def test_languages_by_all_evidence(spark):
     assert found[5][0]["suffix"] == "com" and found[5][0]["host"] == "www.site5.example.com" and found[5][0]["declared"] == "en"
 
 
+def test_visible_text():
+    page = "<title>t</title><body><NAV>n</NAV>a<!-- <nav> c --> b&amp;<script>if(a<b) '</nav>'</script > d<header>x</header><aside>e"
+    assert language.visible(page).split() == ["a", "b&", "d", ">e"]
+    assert language.visible("a<script>b").split() == ["a"] and language.visible("x --> </nav> y").split() == ["x", "-->", "y"]
+    assert language.visible("<" * 300_000 + "<html <html" * 100_000).strip("< html") == ""
+    assert language.declared('<!doctype html>\n<HTML class="a" lang=DE-at>') == "de" and language.declared("<html>") == ""
+    assert language.address("https://u:p@Www.Site.Example.CO.uk:8080/x?y") == ("www.site.example.co.uk", "co.uk", "uk")
+    assert language.address("no address") == ("", "", "")
+
+
 def test_languages_held_out(spark):
     """Trained on documents of even ids, tested on the text of the others."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
