@@ -1,9 +1,15 @@
 """Sharding by balanced label propagation, under the law ``rows``: shard sizes differ by one row at most.
 
 Documents with equal texts are linked. A group of them is a hub, so that a document's neighbours in a shard are counted per
-(group, shard) and links are never written out as pairs. Each round every cell (the rows of a group in one shard)
-wants to go to the shard that holds most of its group. Between two shards as many rows move one way as the other, and beyond
-that as many as the target's quota leaves free, so that sizes stay even all along. Documents without links fill the quotas at the end.
+(group, shard) and links are never written out as pairs.
+
+The first labels keep groups whole. Groups above a 64th of a shard, at most 64 for each shard, are packed into shards where they fit;
+one larger than a shard fills shards of its own and puts its rest where it fits. The smaller groups lie one after the other along the room
+that is left, in proportion, so that only a group on the border of two shards is cut. Then each round every cell (the rows of a small group
+in one shard) wants to go to a shard of its group that has room for the whole of it, of these to the one that holds most, equal ones told
+apart by a hash of the group. Between two shards as many rows move one way as the other, and beyond that as many as the target's quota leaves
+free, so that sizes stay even all along. The rounds end when nothing moves. Documents without links fill the quotas at the end. Of the small
+groups at most one per border stays cut.
 Rows of one cell are interchangeable, so cells are what moves, and rows are dealt to them by their rank in the group.
 
 Ranks and running quotas are computed in hash buckets, never over a whole group or shard in one task.
@@ -22,12 +28,50 @@ from feedloom.scratch import materialize, scratch_path
 
 SHARDS = 16
 ROUNDS = 6
+#: Groups above this part of a shard are packed one by one, on the driver.
+SMALL = 64
 
 
 def quotas(total: int, shards: int) -> list[int]:
     return [total // shards + (s < total % shards) for s in range(shards)]
 
 
+def placed_whole(groups: list[tuple[bytes, int]], quota: list[int]) -> tuple[list[tuple[bytes, int, int]], list[int]]:
+    """(digest, shard, n) of groups laid into empty shards, and the room that is left. Fullest and emptiest shard that fits are both
+    tried; the emptiest wins if it cuts no more."""
+    found = []
+    for fullest in (False, True):
+        room, cells, parts = list(quota), [], []
+        for digest, rows in sorted(groups, key=lambda g: (-g[1], g[0])):
+            for s, q in enumerate(quota):
+                if rows >= q > 0 and room[s] == q:
+                    cells.append((digest, s, q))
+                    rows, room[s] = rows - q, 0
+            parts.append((digest, rows))
+        for digest, rows in sorted(parts, key=lambda g: (-g[1], g[0])):
+            while rows:
+                fits = [(room[s] if fullest else -room[s], s) for s in range(len(quota)) if room[s] >= rows]
+                s = min(fits)[1] if fits else max(range(len(quota)), key=lambda s: (room[s], -s))
+                n = min(rows, room[s])
+                cells.append((digest, s, n))
+                rows, room[s] = rows - n, room[s] - n
+        found.append((cells, room))
+    return min(found, key=lambda x: len(x[0]))
+
+
+def along(groups: DataFrame, room: list[int]) -> DataFrame:
+    """(digest, shard, n): ``groups`` (written: digest, rows) one after the other in hash order, over the shards in proportion to their room."""
+    total, whole = groups.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0], sum(room)
+    ends = [total * sum(room[: s + 1]) // max(whole, 1) for s in range(len(room))]
+    line = running_sum(groups.withColumn("all", F.lit(0)).withColumn("h", F.xxhash64("digest")), ["all"], "h", F.col("rows"), "start", bits=12, ties=("digest",))
+    pieces = []
+    for s, (start, end) in enumerate(zip([0, *ends], ends)):
+        n = F.least(F.col("start") + F.col("rows"), F.lit(end)) - F.greatest(F.col("start"), F.lit(start))
+        pieces.append(F.struct(F.lit(s).alias("shard"), n.cast("long").alias("n")))
+    cut = line.select("digest", F.explode(F.filter(F.array(*pieces), lambda c: c["n"] > 0)).alias("cell"))
+    return cut.select("digest", "cell.shard", "cell.n")
+
+
 def allowances(wanted: dict[tuple[int, int], int], free: list[int]) -> dict[tuple[int, int], int]:
     """Rows that may move between each two shards: what moves back, and what the quota of the target leaves free."""
     allowed, left = {}, list(free)
@@ -40,15 +84,18 @@ def allowances(wanted: dict[tuple[int, int], int], free: list[int]) -> dict[tupl
 
 
 def propagate(cells: DataFrame, quota: list[int], rounds: int) -> DataFrame:
-    """(digest, shard, n) after the rounds. What is collected is one number per shard or pair of shards."""
+    """(digest, shard, n) after the rounds. Cells of a group are at most one per shard. What is collected is one number per shard or pair of shards."""
     spark = cells.sparkSession
     shards = len(quota)
     for i in range(rounds):
         held = {r["shard"]: r["n"] for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         free = [q - held.get(s, 0) for s, q in enumerate(quota)]
-        best = cells.groupBy("digest").agg(F.max(F.struct(F.col("n").alias("most"), (-F.col("shard")).alias("to"))).alias("best"))
-        best = best.select("digest", (-F.col("best.to")).alias("to"), F.col("best.most").alias("most"))
-        movers = cells.join(best, "digest").filter("shard != to")
+        spare = F.element_at(F.array(*[F.lit(n).cast("long") for n in free]), F.col("shard") + 1)
+        rows = cells.groupBy("digest").agg(F.sum("n").alias("rows"), F.count("*").alias("cells")).filter("cells > 1")
+        scored = cells.join(rows, "digest").withColumn("score", F.struct(spare >= F.col("rows") - F.col("n"), "n", F.xxhash64("digest", "shard"), "shard"))
+        scored = materialize(scored.select("digest", "shard", "n", "score"), scratch_path(spark, "shard-scored"))
+        best = scored.groupBy("digest").agg(F.max("score").alias("best")).select("digest", F.col("best.shard").alias("to"))
+        movers = scored.drop("score").join(best, "digest").filter("shard != to")
         movers = movers.withColumn("h", F.xxhash64("digest", "shard", F.lit(i)))
         movers = materialize(movers, scratch_path(spark, "shard-movers"))
         sums = movers.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()
@@ -74,11 +121,14 @@ def assigned(slim: DataFrame, shards: int, rounds: int) -> DataFrame:
     quota = quotas(total, shards)
     marked = materialize(slim.join(groups, "digest"), scratch_path(spark, "shard-marked"))
     linked, single = marked.filter("rows > 1"), marked.filter("rows = 1")
-    everyone = linked.withColumn("all", F.lit(0))
-    dealt = running_sum(everyone, ["all"], "h", F.lit(1), "rank", bits=12)
-    cells = dealt.select("digest", F.pmod("rank", F.lit(shards)).cast("int").alias("shard"))
-    cells = materialize(cells.groupBy("digest", "shard").agg(F.count("*").alias("n")), scratch_path(spark, "shard-cells"))
-    cells = materialize(propagate(cells, quota, rounds), scratch_path(spark, "shard-cells"))
+    # At most SMALL groups for each shard are packed here, whatever the input.
+    small = max(1, quota[-1] // SMALL)
+    large = [(bytes(r["digest"]), r["rows"]) for r in groups.filter(F.col("rows") > small).collect()]
+    packed, room = placed_whole(large, quota)
+    laid = materialize(along(groups.filter((F.col("rows") > 1) & (F.col("rows") <= small)), room), scratch_path(spark, "shard-cells"))
+    laid = propagate(laid, room, rounds)
+    cells = laid.unionByName(spark.createDataFrame(packed, "digest binary, shard int, n long"))
+    cells = materialize(cells, scratch_path(spark, "shard-cells"))
     # A group's rows, in hash order, go to its cells in shard order. A group has at most one cell per shard.
     upto = Window.partitionBy("digest").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = cells.select("digest", F.struct(F.sum("n").over(upto).alias("end"), "shard").alias("cell"))

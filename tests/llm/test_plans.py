@@ -122,6 +122,47 @@ def test_linked_documents_meet(spark):
     assert len(at[zlib.crc32(b"hot")]) < 16
 
 
+def shards_of(spark, docs):
+    """The shards of each text; their sizes are checked."""
+    out = sharding.shard_documents(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()
+    counts = Counter(r["shard"] for r in out)
+    assert len(out) == len(docs) and max(counts.values()) - min(counts.values()) <= 1
+    at = defaultdict(set)
+    for r in out:
+        at[r["text_crc32"]].add(r["shard"])
+    return {t: at[zlib.crc32(t.encode())] for t in docs}
+
+
+def test_a_hot_group_fills_as_few_shards_as_it_can(spark):
+    """A third of the rows: 1,000 of 3,000 at 188 a shard are six shards. Also when another third are pairs."""
+    hot = ["hot"] * 1000
+    assert len(shards_of(spark, hot + [f"single {i}" for i in range(2000)])["hot"]) == 6
+    at = shards_of(spark, hot + [f"pair {i // 2}" for i in range(1000)] + [f"single {i}" for i in range(1000)])
+    assert len(at["hot"]) == 6 and all(len(x) == 1 for x in at.values() if x != at["hot"])
+
+
+def test_pairs_without_single_rows_stay_whole(spark):
+    """An even quota cuts none; of odd ones every second border must cut a pair."""
+    assert all(len(x) == 1 for x in shards_of(spark, [f"pair {i // 2}" for i in range(3200)]).values())
+    assert sum(len(x) > 1 for x in shards_of(spark, [f"pair {i // 2}" for i in range(16 * 201)]).values()) == 8
+
+
+def test_large_groups_are_placed_whole():
+    cells, room = sharding.placed_whole([(b"a", 6), (b"b", 4), (b"c", 3), (b"d", 3), (b"e", 2), (b"f", 2)], [10, 10])
+    assert room == [0, 0] and len(cells) == 6
+    cells, room = sharding.placed_whole([(b"a", 25), (b"b", 7)], [10, 10, 10, 10])
+    assert sorted(n for d, _, n in cells if d == b"a") == [5, 10, 10] and sum(d == b"b" for d, *_ in cells) == 1 and sum(room) == 8
+
+
+def test_cut_groups_meet_where_there_is_room(spark):
+    """Equal halves swap; a cell goes where its whole group fits, not where most of it is."""
+    halves = [(bytes([g]), s, 1) for g in range(40) for s in (0, 1)]
+    out = sharding.propagate(spark.createDataFrame(halves, "digest binary, shard int, n long"), [40, 40], 6)
+    assert out.count() < 60
+    split = spark.createDataFrame([(b"a", 0, 5), (b"a", 1, 2), (b"b", 0, 5)], "digest binary, shard int, n long")
+    assert tuples(sharding.propagate(split, [10, 9], 6), "shard", "n") == [(0, 5), (1, 7)]
+
+
 def test_quotas_are_never_exceeded():
     allowed = sharding.allowances({(0, 1): 10, (1, 0): 4, (2, 1): 5}, [0, 3, 0])
     assert allowed == {(0, 1): 7, (1, 0): 4, (2, 1): 0}
