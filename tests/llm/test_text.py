@@ -50,6 +50,21 @@ def test_compression_bands(text, kept):
     assert quality.judge(text.encode(), zstandard.ZstdCompressor(level=3))[-1] == kept
 
 
+@pytest.mark.parametrize("clean, junk", [(4096, 0), (8191, 0), (8192, 500), (4096, 4095), (8192, 4095), (4096, 2000), (8192, 3000)])
+@pytest.mark.parametrize("kind", ["base64", "counter"])
+def test_chunks_cover_every_byte(clean, junk, kind):
+    """Junk after clean text, in texts of less than two chunks and in the last bytes of longer ones."""
+    bad = {
+        "base64": " ".join(base64.b64encode(random.Random(i).randbytes(45)).decode() for i in range(100)),
+        "counter": " ".join(f"a b c d e {i}" for i in range(500)),
+    }[kind].encode()[:junk]
+    good = prose(6, 3000).encode()[:clean]
+    assert len(good) == clean and len(bad) == junk
+    verdict = quality.judge(good + bad, zstandard.ZstdCompressor(level=3))
+    assert verdict[-3] >= verdict[-4] / 5 if junk >= 1024 else verdict[-1]
+    assert verdict[-1] == (junk < 1024) and verdict[-4] == (0 if clean + junk <= 4096 else -(-(clean + junk) // 4096))
+
+
 def reference(path: str, tmp_path):
     """The public library over the same pieces as a unigram model. Its sums are single floats, so pieces with the score that
     means "never" (below any rank) get one that single floats can add up."""
