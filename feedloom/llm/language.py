@@ -8,7 +8,7 @@ For each page and language the log odds add up
     host      the prior of the host, smoothed towards that of its domain, which is smoothed towards that of all pages.
 
 The trigram model is fitted on a bounded sample of labelled documents, told by a hash: about ``per_language`` documents of each
-language, ``vocabulary`` trigrams and at most ``most_languages`` languages, those with the most documents. Everything else is counted
+language, ``vocabulary`` trigrams and at most ``most_languages`` languages (more of them are an error). Everything else is counted
 over all pages: every page adds its text posterior to the counts of its declared language, suffix, host and domain, so
 that a declaration or a suffix is worth as much as it agrees with the texts. A page's own share is taken out of its counts.
 
@@ -105,7 +105,9 @@ class Model:
 def fit(labelled: DataFrame, per_language: int, vocabulary: int, most_languages: int) -> Model:
     """``labelled``: doc_id, lang, text."""
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    counts = rows.groupBy("lang").count().limit(most_languages + 1).collect()
+    if len(counts) > most_languages:
+        raise ValueError(f"more than {most_languages} labelled languages; raise most_languages")
     counts = sorted((r["lang"], r["count"]) for r in counts)
     languages = [lang for lang, _ in counts]
     if not languages:

@@ -224,6 +224,13 @@ def test_languages_held_out(spark):
     assert hits >= 0.97 * len(held_out) > 20
 
 
+def test_no_language_is_left_out(spark):
+    pages, labelled, _ = pages_of(spark)
+    assert language.identify(pages, labelled, most_languages=2).count() == 120
+    with pytest.raises(ValueError, match="most_languages"):
+        language.identify(pages, labelled, most_languages=1)
+
+
 def test_languages_of_nothing(spark):
     pages, labelled, _ = pages_of(spark)
     assert language.identify(pages.limit(0), labelled).collect() == []
