@@ -6,7 +6,7 @@
    ``parts * part_bits / 8`` bytes whatever the input; a fuller filter only lets more lines through to step 2.
 2. Lines whose hash is in the twice-seen filter are suspected repeats. Only they are shuffled, by their key, for the exact
    count of documents and the choice of the first one.
-3. Each document gets the keys it must lose.
+3. Each text gets the keys it must lose. Texts of one doc_id are told apart by a hash, so that a doc_id on very many rows is no hot spot.
 
 Defined results: a NULL or empty text is one empty line. Rows with the same doc_id are one document. A NULL doc_id is one
 document that comes after all others. Rows keep their order of lines and all their other columns, whatever their
@@ -105,7 +105,7 @@ def twice_seen(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
 
 
 def suspects(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
-    """(doc_id, key): the keys whose hash two or more rows may hold."""
+    """(doc_id, mark, key): the keys whose hash two or more rows may hold."""
     spark = docs.sparkSession
     parts = {r["part"]: r["bits"] for r in twice_seen(docs, parts_bits, part_bits).toLocalIterator()}
     shared = spark.sparkContext.broadcast(parts)
@@ -115,8 +115,8 @@ def suspects(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
         empty = np.zeros(part_bits // 8, np.uint8)
         filters = np.stack([np.frombuffer(shared.value[p], np.uint8) if p in shared.value else empty for p in range(1 << parts_bits)])
         for batch in batches:
-            ids, keys = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids, marks, keys = [], [], []
+            for doc_id, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 own = keys_of(text.as_py())
                 if not own:
                     continue
@@ -126,14 +126,17 @@ def suspects(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
                 bits = filters[part, (at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1
                 picked = [own[i] for i in np.flatnonzero(bits.all(axis=0))]
                 ids += [doc_id] * len(picked)
+                marks += [mark] * len(picked)
                 keys += picked
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "mark", "key"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes()).mapInArrow(test, "doc_id long, key binary")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_bytes()).alias("mark"), text_bytes())
+    return slim.mapInArrow(test, "doc_id long, mark long, key binary")
 
 
 def lost_keys(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int = PART_BITS) -> DataFrame:
-    """(doc_id, keys): for each document that loses lines, the keys of those lines."""
+    """(doc_id, mark, keys): for each text of a document that loses lines, the keys of those lines. Texts of a document that share
+    a mark share the keys, which changes nothing: a key is lost by the whole document."""
     spark = docs.sparkSession
     found = materialize(suspects(docs, parts_bits, part_bits), scratch_path(spark, "line-suspects"))
     per_key = found.groupBy("key").agg(
@@ -142,16 +145,16 @@ def lost_keys(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int = PA
     repeated = (F.col("first") != F.col("last")) | (F.col("unnamed") & F.col("first").isNotNull())
     repeats = materialize(per_key.filter(repeated).select("key", "first"), scratch_path(spark, "line-repeats"))
     lost = found.join(repeats, "key").filter(F.col("doc_id").isNull() | (F.col("doc_id") != F.col("first")))
-    # A document has no more keys than lines, so its list is bounded by its text.
-    return lost.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    # A text has no more keys than lines, so its list is bounded by it.
+    return lost.groupBy("doc_id", "mark").agg(F.collect_set("key").alias("keys"))
 
 
 def with_lost_keys(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
     """(doc: all columns of the row, keys)."""
     spark = docs.sparkSession
     lost = materialize(lost_keys(docs, parts_bits, part_bits), scratch_path(spark, "line-lost"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"))
-    return rows.join(lost, rows.doc_id.eqNullSafe(lost.doc_id), "left").select("doc", "keys")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_bytes()).alias("mark"))
+    return rows.join(lost, rows.doc_id.eqNullSafe(lost.doc_id) & (rows.mark == lost.mark), "left").select("doc", "keys")
 
 
 def split_lines(text: bytes, keys: list[bytes] | None) -> tuple[int, int, bytes]:

@@ -66,6 +66,14 @@ def test_line_dedup_matches_brute_force(edge, part_bits):
     assert ordered(found) == ordered(expected)
 
 
+def test_lost_keys_are_bounded_by_each_text(spark):
+    """Rows without a doc_id, and of one doc_id: each text has its own list."""
+    rows = [(i, f"line number {i} of many") for i in range(50)] + [(k, f"line number {i} of many\nown {k} text {i}") for k in (None, 99) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [len(r["keys"]) for r in lines.lost_keys(docs).collect()] == [1] * 100
+    assert tuples(lines.drop_lines(docs), "doc_id", "text") == ordered((r[0], t[3]) for r, t in zip(rows, brute.after_line_dedup(rows)))
+
+
 def test_drop_lines_keeps_rows_and_columns(edge):
     out = lines.drop_lines(edge)
     assert out.schema.names == edge.schema.names
