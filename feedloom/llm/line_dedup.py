@@ -3,7 +3,7 @@
 1. Every task sends the hashes of its documents' line keys, packed and told apart by hash prefix, to one reducer per prefix.
    The reducer adds them to its part of the once-seen filter; a hash that may have been there already goes to the
    twice-seen filter. A filter part has a fixed size, so the twice-seen filter that all tasks then read is bounded by
-   ``parts * part_bits / 8`` bytes whatever the input; a fuller filter only lets more lines through to step 2.
+   ``parts * part_bits / 8`` bytes. The parts grow with the bytes of the input up to a limit; a fuller filter only lets more lines through to step 2.
 2. Lines whose hash is in the twice-seen filter are suspected repeats. Only they are shuffled, by their key, for the exact
    count of documents and the choice of the first one.
 3. Each text gets the keys it must lose. Texts of one doc_id are told apart by a hash, so that a doc_id on very many rows is no hot spot.
@@ -28,9 +28,12 @@ from feedloom.scratch import materialize, scratch_path
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 MIN_POINTS = 10
-#: The filters: this many parts, each of so many bits (64 times 2 million bits are 16 MB). Raise them with the corpus.
+#: The filters: this many parts, each of so many bits at least (64 times 2 million bits are 16 MB) and at most (128 MB). Between
+#: these, one bit for so many bytes of text.
 PARTS_BITS = 6
 PART_BITS = 1 << 21
+MOST_PART_BITS = 1 << 24
+BYTES_PER_BIT = 32
 PROBES = 4
 
 
@@ -72,6 +75,11 @@ class Filter:
         self.bits[at.ravel()] = True
 
 
+def part_bits_for(n_bytes: int, parts_bits: int) -> int:
+    wanted = -(-n_bytes // (BYTES_PER_BIT << parts_bits))
+    return min(max(wanted + -wanted % 8, PART_BITS), MOST_PART_BITS)
+
+
 def twice_seen(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
     """(part, bits): the twice-seen filter, one row per hash prefix that occurs."""
     shift = np.uint64(64 - parts_bits)
@@ -104,9 +112,11 @@ def twice_seen(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
     return sent.groupBy("part").applyInArrow(build, "part int, bits binary")
 
 
-def suspects(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
+def suspects(docs: DataFrame, parts_bits: int, part_bits: int | None) -> DataFrame:
     """(doc_id, mark, key): the keys whose hash two or more rows may hold."""
     spark = docs.sparkSession
+    if part_bits is None:
+        part_bits = part_bits_for(docs.agg(F.sum(F.octet_length(text_bytes()).cast("long"))).first()[0] or 0, parts_bits)
     parts = {r["part"]: r["bits"] for r in twice_seen(docs, parts_bits, part_bits).toLocalIterator()}
     shared = spark.sparkContext.broadcast(parts)
     shift = np.uint64(64 - parts_bits)
@@ -134,7 +144,7 @@ def suspects(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
     return slim.mapInArrow(test, "doc_id long, mark long, key binary")
 
 
-def lost_keys(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int = PART_BITS) -> DataFrame:
+def lost_keys(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int | None = None) -> DataFrame:
     """(doc_id, mark, keys): for each text of a document that loses lines, the keys of those lines. Texts of a document that share
     a mark share the keys, which changes nothing: a key is lost by the whole document."""
     spark = docs.sparkSession
@@ -149,7 +159,7 @@ def lost_keys(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int = PA
     return lost.groupBy("doc_id", "mark").agg(F.collect_set("key").alias("keys"))
 
 
-def with_lost_keys(docs: DataFrame, parts_bits: int, part_bits: int) -> DataFrame:
+def with_lost_keys(docs: DataFrame, parts_bits: int, part_bits: int | None) -> DataFrame:
     """(doc: all columns of the row, keys)."""
     spark = docs.sparkSession
     lost = materialize(lost_keys(docs, parts_bits, part_bits), scratch_path(spark, "line-lost"))
@@ -167,7 +177,7 @@ def split_lines(text: bytes, keys: list[bytes] | None) -> tuple[int, int, bytes]
     return len(lines), len(lines) - len(stay), b"\n".join(stay)
 
 
-def line_counts(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int = PART_BITS) -> DataFrame:
+def line_counts(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_text (bytes) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +193,7 @@ def line_counts(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int =
     return rows.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_text binary")
 
 
-def drop_lines(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int = PART_BITS) -> DataFrame:
+def drop_lines(docs: DataFrame, parts_bits: int = PARTS_BITS, part_bits: int | None = None) -> DataFrame:
     """The rows with the text that stays, all their columns kept; ``n_chars``, where present, follows the text."""
     at = docs.columns.index("text")
     kind = docs.schema["text"].dataType

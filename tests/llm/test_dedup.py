@@ -93,6 +93,14 @@ def test_filters_have_no_false_negatives():
     assert bloom.has(at[:, :4000]).all() and bloom.has(at[:, 4000:]).mean() < 0.1
 
 
+def test_filters_grow_with_the_input():
+    """90 million keys, as many as 30 GB hold: ten bits for each."""
+    assert lines.part_bits_for(0, 6) == lines.part_bits_for(10**9, 6) == lines.PART_BITS
+    bits = lines.part_bits_for(30 * 10**9, 6)
+    assert bits % 8 == 0 and 10 * 90e6 < bits << 6 < 11 * 90e6
+    assert lines.part_bits_for(10**15, 6) == lines.MOST_PART_BITS
+
+
 def test_near_dedup_matches_brute_force(edge):
     rows = edge_rows()
     prints = [brute.simhash(r[1]) for r in rows]
