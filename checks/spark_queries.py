@@ -488,7 +488,7 @@ def season_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Series with gaps of their own: whole months are missing from some, and reports from the first year."""
+    """Prices of some days only, as in the oracle. No series loses a whole month by it."""
     d = F.col("date")
     thinned = (F.dayofmonth(d) % 3 == 0) | (F.month(d) % 2 == 0) | F.col("product").contains("URGENT")
     prices = roles.first_prices(roles.order_prices(spark, sf_dir)).filter(thinned)
