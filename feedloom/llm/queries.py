@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from feedloom.llm.common import table
+from feedloom.llm.conversation_repair import repair_conversations
 from feedloom.llm.exact_dedup import exact_dedup
 from feedloom.llm.language import identify
 from feedloom.llm.line_dedup import line_dedup
@@ -13,15 +14,20 @@ from feedloom.llm.sharding import shard_documents
 from feedloom.llm.simhash import near_dedup
 from feedloom.llm.token_counts import token_counts
 from feedloom.llm.token_files import token_files
+from feedloom.llm.url_filters import judge_pages
 
 
-def on_documents(operator):
+def on_table(name, operator):
     def query(spark, sf_dir):
-        return operator(table(spark, sf_dir, "documents"))
+        return operator(table(spark, sf_dir, name))
 
     return query
 
 
+def on_documents(operator):
+    return on_table("documents", operator)
+
+
 def page_languages(spark, sf_dir):
     labelled = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return identify(table(spark, sf_dir, "pages"), labelled)
@@ -38,6 +44,8 @@ QUERIES = {
     "op8_line_dedup": on_documents(line_dedup),
     "op9_sharding": on_documents(shard_documents),
     "op10_page_languages": page_languages,
+    "op11_conversation_repair": on_table("conversations", repair_conversations),
+    "op13_url_filters": on_table("pages", judge_pages),
 }
 
 ORACLES = {
@@ -64,4 +72,35 @@ ORACLES = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op13_url_filters": r"""
+        WITH marks AS (SELECT page_id, url, coalesce(strpos(url, '://'), 0) AS mark FROM pages),
+        rests AS (SELECT *, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM marks),
+        hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM rests),
+        parts AS (
+            SELECT page_id,
+                   translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path,
+                   translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+            FROM hosts),
+        ruled AS (
+            SELECT *, CASE
+                WHEN '.' || host LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+                WHEN '.' || host LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                WHEN '.' || host LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+                WHEN '.' || host LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+                WHEN '.' || host LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule
+            FROM parts),
+        patterned AS (
+            SELECT *, CASE
+                WHEN rule IS NOT NULL THEN NULL
+                WHEN regexp_matches(lowered, '[^a-z0-9_.%-]es(?:[^a-z0-9_.%-].*|)[?]page=', 's') THEN '^es^*?page='
+                WHEN regexp_matches(lowered, '[?]page=.*&ref=', 's') THEN '?page=*&ref='
+                WHEN regexp_matches(lowered, '[^a-z0-9_.%-]utm_source=feed$', 's') THEN '^utm_source=feed|'
+                WHEN regexp_matches(lowered, '^[^:/?#]*://(?:[^/?#]*[.])?spam-farm[.]', 's') THEN '||spam-farm.' END AS pattern
+            FROM ruled)
+        SELECT page_id, host, path, rule, pattern,
+               CASE WHEN rule IN ('org/', 'com/fr/') OR pattern = '^es^*?page=' THEN 'allow'
+                    WHEN rule IS NOT NULL OR pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+        FROM patterned
+    """,
 }
