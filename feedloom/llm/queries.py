@@ -5,6 +5,7 @@ from __future__ import annotations
 from feedloom.llm.common import table
 from feedloom.llm.conversation_repair import repair_conversations
 from feedloom.llm.exact_dedup import exact_dedup
+from feedloom.llm.hard_negatives import mine_hard_negatives
 from feedloom.llm.language import identify
 from feedloom.llm.line_dedup import line_dedup
 from feedloom.llm.mixing import mix_sources
@@ -45,6 +46,7 @@ QUERIES = {
     "op9_sharding": on_documents(shard_documents),
     "op10_page_languages": page_languages,
     "op11_conversation_repair": on_table("conversations", repair_conversations),
+    "op12_hard_negatives": on_table("embeddings", mine_hard_negatives),
     "op13_url_filters": on_table("pages", judge_pages),
 }
 
@@ -72,6 +74,26 @@ ORACLES = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op12_hard_negatives": """
+        WITH usable AS (
+            SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.n AS anchor, a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label, list_inner_product(a.v, r.v)::BIGINT AS score
+            FROM usable a JOIN usable r ON a.n <> r.n WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS k
+            FROM scored WHERE label = anchor_label QUALIFY k <= 5),
+        negatives AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+            FROM positives p JOIN scored n ON p.anchor = n.anchor
+            WHERE n.label <> n.anchor_label AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+    """,
     "op13_url_filters": r"""
         WITH marks AS (SELECT page_id, url, coalesce(strpos(url, '://'), 0) AS mark FROM pages),
         rests AS (SELECT *, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM marks),
