@@ -19,27 +19,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.calendar import MONTH_KEY, WEEK_KEY, month_start, with_week_key
+from feedloom.functions.exact_sums import exact_sum
 from feedloom.functions.sums import total
 
+#: As a ``scale``: the exact sum of the doubles themselves, of any size, instead of the decimals they stand for.
+EXACT = "exact"
+Scale = int | str | None
+
+
+def sum_by(df: DataFrame, by: Sequence[str], value: str, out: str, scale: Scale = None) -> DataFrame:
+    if scale == EXACT:
+        return exact_sum(df, by, value, out)
+    return df.groupBy(*by).agg(total(F.col(value), scale).alias(out))
+
 
 def weekly_sum(
-    df: DataFrame, day: str, value: str, out: str, by: Sequence[str] = (), mode: str = "iso", scale: int | None = None
+    df: DataFrame, day: str, value: str, out: str, by: Sequence[str] = (), mode: str = "iso", scale: Scale = None
 ) -> DataFrame:
-    return (
-        with_week_key(df, day, mode)
-        .groupBy(*WEEK_KEY, *by)
-        .agg(total(F.col(value), scale).alias(out))
-    )
+    return sum_by(with_week_key(df, day, mode), [*WEEK_KEY, *by], value, out, scale)
 
 
 def monthly_sum(
-    df: DataFrame, day: str, value: str, out: str, by: Sequence[str] = (), scale: int | None = None
+    df: DataFrame, day: str, value: str, out: str, by: Sequence[str] = (), scale: Scale = None
 ) -> DataFrame:
-    return (
-        df.withColumn(MONTH_KEY, month_start(F.col(day)))
-        .groupBy(MONTH_KEY, *by)
-        .agg(total(F.col(value), scale).alias(out))
-    )
+    return sum_by(df.withColumn(MONTH_KEY, month_start(F.col(day))), [MONTH_KEY, *by], value, out, scale)
 
 
 def join_on_week(left: DataFrame, weekly: DataFrame, day: str, mode: str = "iso") -> DataFrame:
@@ -58,7 +61,7 @@ def add_weekly_total(
     value: str,
     out: str,
     mode: str = "iso",
-    scale: int | None = None,
+    scale: Scale = None,
 ) -> DataFrame:
     """Rows of ``left`` whose week occurs in ``feed``, with that week's total."""
     weekly = weekly_sum(feed, feed_day, value, out, mode=mode, scale=scale)
@@ -97,7 +100,7 @@ def add_monthly_total(
     out: str,
     fill: float | None = 0.0,
     found: str | None = None,
-    scale: int | None = None,
+    scale: Scale = None,
 ) -> DataFrame:
     """Every row of ``left`` with its month's total from ``feed``."""
     monthly = monthly_sum(feed, feed_day, value, out, scale=scale)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.classify import AREA_CLASSES, AREA_OTHERWISE, PRODUCT_CLASSES, PRODUCT_OTHERWISE
 from feedloom.functions.keys import surrogate_key
 from feedloom.operators.dims import date_dimension, named_dimension, require_unique_keys
-from feedloom.operators.facts import add_monthly_total, join_on_week, round_to, weekly_sum
+from feedloom.operators.facts import Scale, attach_month, join_on_week, monthly_sum, round_to, weekly_sum
 from feedloom.operators.sinks import replace_table
 from feedloom.scratch import drop_path, materialize, scratch_path
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS
@@ -25,6 +25,8 @@ DIM_DATE = "dim_date"
 DIM_PRODUCT = "dim_product"
 DIM_AREA = "dim_area"
 FACT = "fact_diesel_market"
+STOCK_TOTAL = "total_stock_k_barrels"
+FLOW_TOTAL = "monthly_net_imports_k_bpd"
 
 
 @dataclass(frozen=True)
@@ -32,14 +34,15 @@ class StarOptions:
     """``week_key='calendar'`` matches weeks by calendar year and ISO week number.
 
     ``has_macro`` names a column that tells a month without a report from a reported zero.
-    ``value_scale`` makes the sums exact for volumes with at most that many decimals, which cleaned feeds have; ``None`` gives
-    plain double sums, whose last digit depends on the order of the rows.
+    ``value_scale`` makes the sums exact for volumes with at most that many decimals, which cleaned feeds have; ``"exact"``
+    makes them those of the doubles themselves, whatever their size; ``None`` gives plain double sums, whose last digit depends on
+    the order of the rows.
     """
 
     week_key: str = "iso"
     key_method: str = "crc32"
     has_macro: str | None = None
-    value_scale: int | None = 6
+    value_scale: Scale = 6
 
 
 def dim_date(prices: DataFrame, stocks: DataFrame) -> DataFrame:
@@ -65,47 +68,60 @@ def dim_area(stocks: DataFrame, movements: DataFrame, key_method: str = "crc32")
     )
 
 
+def market_prices(prices: DataFrame) -> DataFrame:
+    return prices.filter(F.col("product_name").contains(PRICE_PRODUCT)).select("date", "product_name", "price_usd_per_gal")
+
+
+def market_stocks(stocks: DataFrame) -> DataFrame:
+    name = F.col("product_name")
+    return stocks.filter(
+        (F.col("process_name") == STOCK_PROCESS) & (F.col("area") == NATION) & name.contains(STOCK_PRODUCT)
+    )
+
+
+def market_flows(movements: DataFrame) -> DataFrame:
+    name = F.col("product_name")
+    return movements.filter(
+        (F.col("country_code") == NATION) & name.contains(STOCK_PRODUCT) & F.col("description").contains(FLOW)
+    )
+
+
 def market_fact(
     prices: DataFrame, stocks: DataFrame, movements: DataFrame, options: StarOptions = StarOptions()
 ) -> DataFrame:
     """One row per price date, price product and area, with that week's stock and that month's flow.
 
+    Stock and flow cover one area, so a total per week, with its area, is all there is to join.
+    """
+    weekly = weekly_sum(
+        market_stocks(stocks), "date", "volume_k_barrels", STOCK_TOTAL, ("area",), options.week_key, options.value_scale
+    )
+    monthly = monthly_sum(
+        market_flows(movements), "month_date", "volume_k_barrels_per_day", FLOW_TOTAL, scale=options.value_scale
+    )
+    return assemble_fact(market_prices(prices), weekly, monthly, options)
+
+
+def assemble_fact(
+    price: DataFrame, weekly: DataFrame, monthly: DataFrame, options: StarOptions = StarOptions()
+) -> DataFrame:
+    """The fact's rows from the market's prices and the two totals, of which the calendar bounds the size.
+
     The product is the price's own; stock and flow are those of the distillate total. Both names come
     from the feeds the dimensions are built from and a key is a hash of its name, so the keys are
-    computed in place; joining the dimensions to fetch them would shuffle to learn nothing. Stock and
-    flow cover one area, so a total per week, with its area, is all there is to join. The area's key is a hash of the
+    computed in place; joining the dimensions to fetch them would shuffle to learn nothing. The area's key is a hash of the
     stock's own column: a hash of a constant would be folded, and joins on it would lose their key.
     """
-    name = F.col("product_name")
-    price = prices.filter(name.contains(PRICE_PRODUCT)).select("date", "product_name", "price_usd_per_gal")
-    stock = stocks.filter(
-        (F.col("process_name") == STOCK_PROCESS) & (F.col("area") == NATION) & name.contains(STOCK_PRODUCT)
-    )
-    flow = movements.filter(
-        (F.col("country_code") == NATION) & name.contains(STOCK_PRODUCT) & F.col("description").contains(FLOW)
-    )
-    weekly = weekly_sum(
-        stock, "date", "volume_k_barrels", "total_stock_k_barrels", ("area",), options.week_key, options.value_scale
-    )
     rows = join_on_week(price, F.broadcast(weekly), "date", options.week_key)
-    rows = add_monthly_total(
-        rows,
-        "date",
-        flow,
-        "month_date",
-        "volume_k_barrels_per_day",
-        "monthly_net_imports_k_bpd",
-        found=options.has_macro,
-        scale=options.value_scale,
-    )
+    rows = attach_month(rows, F.broadcast(monthly), "date", FLOW_TOTAL, found=options.has_macro)
     flag = [options.has_macro] if options.has_macro else []
     return rows.select(
         "date",
-        surrogate_key(name, options.key_method).alias("product_id"),
+        surrogate_key(F.col("product_name"), options.key_method).alias("product_id"),
         surrogate_key(F.col("area"), options.key_method).alias("area_id"),
         round_to("price_usd_per_gal", 3).alias("price_usd_per_gal"),
-        "total_stock_k_barrels",
-        round_to("monthly_net_imports_k_bpd", 2).alias("monthly_net_imports_k_bpd"),
+        STOCK_TOTAL,
+        round_to(FLOW_TOTAL, 2).alias(FLOW_TOTAL),
         *flag,
     )
 

@@ -26,6 +26,9 @@ DATE_REASON = "Unparsable Date"
 DOCUMENT_REASON = "Unreadable Document"
 UNDECIDED_REASON = "Undecided Filter"
 SCALE_REASON = "Too Many Decimals"
+SIZE_REASON = "Too Large To Sum"
+#: What ``functions.sums.total`` can add.
+LARGEST = 2.0**62
 
 
 @dataclass(frozen=True)
@@ -77,6 +80,7 @@ class FeedSpec:
             *([Rule(UNDECIDED_REASON, self.filter)] if self.filter else []),
             *self.rules,
             Rule(SCALE_REASON, f"`{self.measure}` IS NULL OR round(`{self.measure}`, {self.scale}) = `{self.measure}`"),
+            Rule(SIZE_REASON, f"`{self.measure}` IS NULL OR abs(`{self.measure}`) < {LARGEST!r}D"),
         ]
 
 
