@@ -165,6 +165,29 @@ def read_periods(spark: SparkSession, root: str, table: str, periods: Sequence[s
     return version, _read(spark, root, table, {p: v for p, v in parts.get(table, {}).items() if p in periods})
 
 
+def read_periods_at(
+    spark: SparkSession, root: str, table: str, version: int, periods: Sequence[str]
+) -> DataFrame | None:
+    """The periods named as they were at an earlier version that has not been dropped."""
+    parts = _pointer(spark, root, version) if version else {}
+    if parts is None:
+        raise RuntimeError(f"{root}: version {version} has been dropped")
+    return _read(spark, root, table, {p: v for p, v in parts.get(table, {}).items() if p in periods})
+
+
+def changed_since(spark: SparkSession, root: str, table: str, version: int) -> tuple[int, list[str]]:
+    """(version now, periods written, emptied or new since ``version``), told by the pointers alone; no row is read.
+
+    What follows this table remembers the version it was made from and asks for the rest. If that version has been dropped, every period counts as changed.
+    """
+    now, parts = _latest(spark, root)
+    current = parts.get(table, {})
+    known = set(_versions(spark, root))
+    before = (_pointer(spark, root, version) or {}) if version in known else {}
+    earlier = before.get(table, {})
+    return now, sorted(p for p in current.keys() | earlier.keys() if current.get(p) != earlier.get(p))
+
+
 def _folder(root: str, table: str, version: str) -> str:
     return f"{root}/{table}/version={version}"
 

@@ -56,40 +56,60 @@ def _net(added: DataFrame | None, withdrawn: DataFrame | None, aggregate, back)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+@dataclass(frozen=True)
+class StateChange:
+    """What ``replace_periods`` is to write, the periods read for it, and the groups that changed."""
+
+    tables: dict[str, tuple[DataFrame, list[str]]]
+    touched: list[str]
+    groups: DataFrame | None
+
+
 def update_states(
     spark: SparkSession, root: str, table: StateTable, added: DataFrame | None = None, withdrawn: DataFrame | None = None
 ) -> list[str]:
     """Apply the rows that came and went; the periods that were rewritten, which are all that is read."""
-    if added is None and withdrawn is None:
-        return []
     work = scratch_path(spark, f"states-{table.name}")
     try:
-        change = _net(added, withdrawn, lambda df: sum_states(df, table.by, table.value), negated)
-        change = materialize(table.of_period(without_empty(merged(change, table.by))), f"{work}/sums")
-        touched = sorted(r[0] for r in change.select(PERIOD).distinct().collect())
-        if not touched:
-            return []
-        by = [*table.by, PERIOD]
-        version, old = read_periods(spark, root, table.name, touched)
-        new = change if old is None else change.unionByName(old)
-        new = materialize(without_empty(merged(new, by)), f"{work}/merged")
-        _refuse_negative(new, table)
-        changes = {table.name: (new, touched)}
-        if table.extremes:
-            values = _net(added, withdrawn, lambda df: _value_counts(df, table), lambda df: df.withColumn(COUNT, -F.col(COUNT)))
-            values = table.of_period(values)
-            _, old = read_periods(spark, root, table.values_name, touched)
-            both = values if old is None else values.unionByName(old)
-            counts = both.groupBy(*by, VALUE).agg(F.sum(COUNT).alias(COUNT)).filter(F.col(COUNT) != 0)
-            counts = materialize(counts, f"{work}/values")
-            _refuse_negative(counts, table)
-            changes[table.values_name] = (counts, touched)
-        replace_periods(spark, root, changes, version)
-        return touched
+        version, _ = read_periods(spark, root, table.name, [])
+        change = state_change(spark, root, table, added, withdrawn, work)
+        if change.touched:
+            replace_periods(spark, root, change.tables, version)
+        return change.touched
     finally:
         drop_path(spark, work)
 
 
+def state_change(
+    spark: SparkSession, root: str, table: StateTable, added: DataFrame | None, withdrawn: DataFrame | None, work: str
+) -> StateChange:
+    """The new states of the periods touched, written under ``work`` and not yet published."""
+    if added is None and withdrawn is None:
+        return StateChange({}, [], None)
+    change = _net(added, withdrawn, lambda df: sum_states(df, table.by, table.value), negated)
+    change = materialize(table.of_period(without_empty(merged(change, table.by))), f"{work}/{table.name}-change")
+    touched = sorted(r[0] for r in change.select(PERIOD).distinct().collect())
+    if not touched:
+        return StateChange({}, [], None)
+    by = [*table.by, PERIOD]
+    _, old = read_periods(spark, root, table.name, touched)
+    new = change if old is None else change.unionByName(old)
+    new = materialize(without_empty(merged(new, by)), f"{work}/{table.name}")
+    _refuse_negative(new, table)
+    tables = {table.name: (new, touched)}
+    if table.extremes:
+        values = _net(added, withdrawn, lambda df: _value_counts(df, table), lambda df: df.withColumn(COUNT, -F.col(COUNT)))
+        values = table.of_period(values)
+        _, old = read_periods(spark, root, table.values_name, touched)
+        both = values if old is None else values.unionByName(old)
+        counts = both.groupBy(*by, VALUE).agg(F.sum(COUNT).alias(COUNT)).filter(F.col(COUNT) != 0)
+        counts = materialize(counts, f"{work}/{table.values_name}")
+        _refuse_negative(counts, table)
+        # A value withdrawn and another one added may leave the sum as it was, in a period that the sums do not name.
+        tables[table.values_name] = (counts, touched)
+    return StateChange(tables, touched, change.select(*table.by).distinct())
+
+
 def _refuse_negative(states: DataFrame, table: StateTable) -> None:
     found = states.filter(F.col(COUNT) < 0).select(*table.by).first()
     if found:

@@ -56,6 +56,19 @@ def tagged_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> Dat
     return tag_errors(look_back(rows, spec), spec.all_rules)
 
 
+def rejected(bad: DataFrame, spec: FeedSpec, *besides: str) -> DataFrame:
+    """Bad rows as they are quarantined: with the text that did not parse and the snapshot it came from."""
+    return bad.select(
+        *spec.columns,
+        F.when(F.col(CORRUPT).isNull(), F.col(REJECT_ID)).alias("raw_period"),
+        F.col(RAW_VALUE).alias("raw_value"),
+        F.col(CORRUPT).alias("raw_document"),
+        F.col(SNAPSHOT).alias("snapshot"),
+        REASON,
+        *besides,
+    )
+
+
 def store_feed(
     spark: SparkSession, tagged: DataFrame, spec: FeedSpec, silver: str, quarantine: str, batch_id: str
 ) -> CleanCounts:
@@ -71,15 +84,7 @@ def store_feed(
         stored = materialize(tagged, work)
         n = quality_counts(stored).first()
         require_rows(n.total_rows, spec.name)
-        bad = bad_rows(stored).select(
-            *spec.columns,
-            F.when(F.col(CORRUPT).isNull(), F.col(REJECT_ID)).alias("raw_period"),
-            F.col(RAW_VALUE).alias("raw_value"),
-            F.col(CORRUPT).alias("raw_document"),
-            F.col(SNAPSHOT).alias("snapshot"),
-            REASON,
-        )
-        write_quarantine(bad, f"{quarantine}/{spec.name}", batch_id)
+        write_quarantine(rejected(bad_rows(stored), spec), f"{quarantine}/{spec.name}", batch_id)
         require_survivors(n.valid_rows, spec.name)
         good = valid_rows(stored).select(*spec.columns)
         replace_table(good, f"{silver}/{spec.name}", sort_by=(spec.date,))

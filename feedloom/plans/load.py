@@ -26,13 +26,13 @@ PRICE_TYPE = "decimal(10,3)"
 
 
 def serving_rows(spark: SparkSession, gold: str, table: ServedTable) -> DataFrame | None:
-    """A gold table as it is served, or ``None`` if it was not built.
-
-    Members without a name have no key and cannot be served; they stay in gold.
-    """
+    """A gold table as it is served, or ``None`` if it was not built."""
     df = read_optional(spark, f"{gold}/{table.name}")
-    if df is None:
-        return None
+    return None if df is None else as_served(df, table)
+
+
+def as_served(df: DataFrame, table: ServedTable) -> DataFrame:
+    """Members without a name have no key and cannot be served; they stay in gold."""
     if table.name in (DIM_PRODUCT, DIM_AREA):
         return df.filter(F.col(table.keys[0]).isNotNull())
     if table.name == FACT:

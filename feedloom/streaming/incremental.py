@@ -108,8 +108,11 @@ def shaped_with_file(
 def arrived_feed(spark: SparkSession, spec: FeedSpec, store: str) -> DataFrame | None:
     """Everything that is present, one row per key, with its error reason or NULL."""
     rows = current_table(spark, store, spec.name)
-    if rows is None:
-        return None
+    return None if rows is None else judged_arrivals(rows, spec)
+
+
+def judged_arrivals(rows: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Rows of the store, of some periods or all, with one survivor per key and its error reason. A key never leaves its period."""
     rows = keep_latest(rows.drop(FILE), [*spec.key, REJECT_ID], SNAPSHOT)
     return tag_errors(look_back(rows, spec), spec.all_rules)
 
