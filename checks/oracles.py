@@ -73,8 +73,8 @@ silver_movements AS (
     FROM lineitem)"""
 
 
-def _market(mode: str) -> str:
-    return f"""{_SILVER},
+def _market(mode: str, silver: str = _SILVER) -> str:
+    return f"""{silver},
 stock AS (
     SELECT {_week('date', mode)}, area, {_money('volume')} AS total_stock_k_barrels
     FROM silver_stocks
@@ -104,9 +104,9 @@ _PRODUCT_NAMES = """
 _AREA_NAMES = "SELECT area AS area_name FROM silver_stocks UNION SELECT country_code FROM silver_movements"
 
 
-def _gold_fact(mode: str) -> str:
+def _gold_fact(mode: str, silver: str = _SILVER) -> str:
     return f"""
-WITH {_market(mode)},
+WITH {_market(mode, silver)},
 products AS (SELECT product_name, {_crc32('product_name')} AS product_id FROM ({_PRODUCT_NAMES})),
 areas AS (SELECT area_name, {_crc32('area_name')} AS area_id FROM ({_AREA_NAMES}))
 SELECT date, product_id, area_id, price_usd_per_gal, total_stock_k_barrels, monthly_net_imports_k_bpd
@@ -377,3 +377,45 @@ FROM (
     FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(12,2)))
                          * (1 + CAST(l_tax AS DECIMAL(12,2))) AS DECIMAL(20,6)) AS charge FROM lineitem)
     GROUP BY 1, 2)"""
+
+# Of the lines of one key the newest snapshot's largest value stays.
+_NEWEST = (
+    _SILVER.replace("silver_stocks AS (", "all_stocks AS (")
+    .replace("silver_movements AS (", "all_movements AS (")
+    .replace("FROM lineitem", ", l_linenumber % 3 + 1 AS snapshot FROM lineitem")
+    + """,
+silver_stocks AS (
+    SELECT * FROM all_stocks WHERE process_name = 'Ending Stocks'
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY date, product_name, process_name, area ORDER BY snapshot DESC, volume DESC) = 1),
+silver_movements AS (
+    SELECT * FROM all_movements
+    QUALIFY ROW_NUMBER() OVER (
+        PARTITION BY month_start, product_name, country_code, description ORDER BY snapshot DESC, volume DESC) = 1)"""
+)
+ORACLES["incremental_star"] = _gold_fact("iso", _NEWEST)
+ORACLES["served_fact"] = ORACLES["gold_fact"]
+# The sum of whole numbers of 2**-37 cents is exact; as text it becomes the nearest double.
+ORACLES["wide_sums"] = """
+SELECT l_suppkey, CAST(CAST(SUM(CAST(cents AS HUGEINT) * (1::HUGEINT << shift)) AS VARCHAR) AS DOUBLE) / 137438953472.0 AS total,
+       COUNT(*) AS n_values
+FROM (SELECT l_suppkey, CAST((l_orderkey * 7 + l_linenumber) % 65 AS INTEGER) AS shift,
+             CAST(round(l_extendedprice * 100) AS BIGINT) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS cents
+      FROM lineitem)
+GROUP BY 1"""
+ORACLES["state_totals"] = f"""
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, l_suppkey, COUNT(*) AS n_values,
+       {_money('l_extendedprice')} AS total, {_average('l_extendedprice')} AS mean,
+       MIN(l_extendedprice) AS least, MAX(l_extendedprice) AS greatest
+FROM lineitem GROUP BY 1, 2"""
+ORACLES["quarantine_segments"] = ORACLES["quarantine_history"]
+ORACLES["carry_by_series"] = f"""
+WITH monthly AS (
+    SELECT o_custkey AS customer, CAST(date_trunc('month', o_orderdate) AS DATE) AS of_month, {_money('o_totalprice')} AS monthly_value
+    FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS date, o_totalprice AS price, monthly_value, of_month
+FROM orders ASOF LEFT JOIN monthly ON o_custkey = customer AND CAST(o_orderdate AS DATE) >= of_month"""
+ORACLES["registry_keys"] = f"""
+SELECT name, CASE WHEN ROW_NUMBER() OVER (PARTITION BY first ORDER BY name) = 1 THEN first
+                  ELSE CAST('0x' || substr(md5(name), 1, 15) AS BIGINT) + 4096 END AS key
+FROM (SELECT name, {_crc32('name')} % 4096 AS first
+      FROM (SELECT c_name AS name FROM customer UNION SELECT s_name FROM supplier UNION SELECT p_name FROM part))"""

@@ -78,7 +78,7 @@ def _as_silver(prices: DataFrame) -> DataFrame:
     )
 
 
-def silver_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_stocks(spark: SparkSession, sf_dir: str, *besides: str) -> DataFrame:
     process = F.when(F.col("l_discount") > 0.02, "Ending Stocks").otherwise("Refinery Inputs")
     return lines(spark, sf_dir).select(
         F.col("l_shipdate").cast("date").alias("date"),
@@ -88,16 +88,18 @@ def silver_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         process.alias("process_name"),
         _pick("l_linestatus", {"O": "U.S."}, F.lit("PADD 1")).alias("area"),
+        *besides,
     )
 
 
-def silver_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_movements(spark: SparkSession, sf_dir: str, *besides: str) -> DataFrame:
     return lines(spark, sf_dir).select(
         month_start(booked("l_shipdate")).alias("month_date"),
         F.col("l_extendedprice").alias("volume_k_barrels_per_day"),
         _pick("l_returnflag", {"N": "Distillate Fuel Oil"}, F.lit("Residual Fuel Oil")).alias("product_name"),
         _pick("l_linestatus", {"O": "U.S."}, F.lit("X")).alias("country_code"),
         F.when(F.col("l_tax") <= 0.04, "Net Imports").otherwise("Exports").alias("description"),
+        *besides,
     )
 
 
@@ -169,3 +171,33 @@ def movement_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).hint("rebalance", "l_linenumber").select(
         indented.alias("document"), F.col("l_linenumber").alias("snapshot")
     )
+
+
+def market_documents(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three feeds of the star as documents of one record each, in snapshots 1 to 3."""
+    date = F.date_format("date", "yyyy-MM-dd")
+    of_line = (F.col("l_linenumber") % 3 + 1).alias("snapshot")
+    prices = silver_prices(spark, sf_dir).withColumn("snapshot", F.dayofmonth("date") % 3 + 1)
+    stocks = silver_stocks(spark, sf_dir, "l_linenumber")
+    flows = silver_movements(spark, sf_dir, "l_linenumber")
+    product = F.col("product_name")
+    records = {
+        "petroleum_prices": (prices, _record(date, F.col("price_usd_per_gal"), product_name=product, process_name=F.lit("Retail")), F.col("snapshot")),
+        "supply_estimates": (
+            stocks,
+            _record(date, F.col("volume_k_barrels"), product_name=product, process_name=F.col("process_name"), area_name=F.col("area")),
+            of_line,
+        ),
+        "logistics_movements": (
+            flows,
+            _record(
+                F.date_format("month_date", "yyyy-MM"),
+                F.col("volume_k_barrels_per_day"),
+                product_name=product,
+                area_name=F.col("country_code"),
+                series_description=F.col("description"),
+            ),
+            of_line,
+        ),
+    }
+    return {feed: df.select(_document(F.array(record)).alias("document"), snapshot.alias("snapshot")) for feed, (df, record, snapshot) in records.items()}

@@ -14,6 +14,9 @@ from feedloom.functions.classify import NameClass
 from feedloom.functions.keys import key_summary, surrogate_key
 from feedloom.functions.parsing import parse_day, parse_month, parse_number
 from feedloom.functions.sums import mean, total
+from feedloom.functions.exact_sums import exact_sum
+from feedloom.operators import registry, segments
+from feedloom.operators.asof import as_of
 from feedloom.operators.dedup import keep_latest, keep_one, latest_n, latest_n_per_series
 from feedloom.operators.dims import conform, date_dimension, named_dimension
 from feedloom.operators.facts import (
@@ -28,8 +31,12 @@ from feedloom.operators.merge import upsert
 from feedloom.operators.publish import ServedTable, current_table, publish
 from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, quarantined, split_valid, tag_errors, write_quarantine
 from feedloom.operators.sinks import land_snapshot
+from feedloom.operators.states import StateTable, summary, update_states
 from feedloom.plans import marts, star
+from feedloom.plans.changes import run_changes
 from feedloom.plans.clean import store_feed, tagged_feed
+from feedloom.plans.load import load_star
+from feedloom.plans.pipeline import Paths
 from feedloom.scratch import drop_path, hadoop_path, materialize, scratch_path
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS, FeedSpec, keep_facets, read_documents, unnest
 from feedloom.sources.tables import date_range
@@ -496,7 +503,108 @@ def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.latest_monthly(prices, "date", monthly, "monthly_value")
 
 
+# What flows on from changes
+
+
+def incremental_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job over changes, three times: drafts and a snapshot that is withdrawn again, a late and a final snapshot, the withdrawal."""
+    work = _work_path(spark, "incremental-star")
+    paths = Paths.under(work)
+    documents = roles.market_documents(spark, sf_dir)
+    landed = {feed: f"{paths.landed}/{feed}" for feed in documents}
+    sources = {feed: (f"{path}/*/*", {"multi_line": False, "stamp": "snapshot", "base": path}) for feed, path in landed.items()}
+    snapshot = F.col("snapshot")
+    # Drafts have other values and other years than what replaces them.
+    draft = F.regexp_replace("document", r'"period":"(\d\d\d)\d-(.*?)"value":', r'"period":"$17-$2"value":1')
+    drafts = {feed: df.withColumn("document", draft) for feed, df in documents.items()}
+    first = {
+        feed: df.filter(snapshot == 2)
+        .unionByName(drafts[feed].filter(snapshot == 3))
+        .unionByName(drafts[feed].filter(snapshot == 1).withColumn("snapshot", snapshot + 8))
+        for feed, df in documents.items()
+    }
+    later = {feed: df.filter(snapshot != 2) for feed, df in documents.items()}
+    for arrival in (first, later):
+        for feed, df in arrival.items():
+            land_snapshot(df, landed[feed], "snapshot", fmt="text", rebalance=False)
+        run_changes(spark, paths, "1", sources)
+    for path in landed.values():
+        drop_path(spark, f"{path}/snapshot=9")
+    run_changes(spark, paths, "2", sources)
+    return current_table(spark, f"{paths.changes}/gold", star.FACT)
+
+
+def served_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver tables built into the star and loaded twice; the fact as it is served, its price a decimal."""
+    paths = Paths.under(_work_path(spark, "served-fact"))
+    for spec, df in zip((PRICES, STOCKS, MOVEMENTS), _silver(spark, sf_dir)):
+        materialize(df, f"{paths.silver}/{spec.name}")
+    star.build_star(spark, paths.silver, paths.gold, EXACT)
+    for _ in range(2):
+        load_star(spark, paths.gold, paths.serving)
+    return current_table(spark, paths.serving, star.FACT).withColumn("price_usd_per_gal", F.col("price_usd_per_gal").cast("double"))
+
+
+def wide_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cents times powers of two, from less than 1e-6 to more than 1e15 and of both signs, summed exactly by supplier."""
+    power = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 65 - 37
+    cents = F.rint(F.col("l_extendedprice") * 100) * F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
+    rows = roles.lines(spark, sf_dir).select("l_suppkey", (cents * F.pow(F.lit(2.0), power)).alias("value"))
+    return exact_sum(rows, ["l_suppkey"], "value", "total", "n_values")
+
+
+def state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly states by supplier: most lines with drafts of some, then late lines, then the drafts withdrawn for the final ones."""
+    root = _work_path(spark, "states")
+    shipped = StateTable("shipped", ("month", "l_suppkey"), "l_extendedprice", period="year(month)", extremes=True)
+    lines = roles.lines(spark, sf_dir).withColumn("month", F.trunc("l_shipdate", "month")).select("month", "l_suppkey", "l_extendedprice", "l_linenumber")
+    number = F.col("l_linenumber")
+    drafts = lines.filter(number == 5).withColumn("l_extendedprice", F.col("l_extendedprice") * 1e9)
+    update_states(spark, root, shipped, added=lines.filter(number < 5).unionByName(drafts))
+    update_states(spark, root, shipped, added=lines.filter(number > 5))
+    update_states(spark, root, shipped, added=lines.filter(number == 5), withdrawn=drafts)
+    rows = summary(spark, root, shipped)
+    cents = F.round("total", 2)
+    return rows.withColumns({"total": cents, "mean": cents / F.col("n_values")})
+
+
+def quarantine_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches of ``quarantine_history`` as segments of events, merged before and after the repair."""
+    root = _work_path(spark, "quarantine-segments")
+    bad = bad_rows(tag_errors(table(spark, sf_dir, "customer"), BALANCE_RULES)).select("c_custkey", "c_acctbal", "error_reason")
+    low, odd = F.col("c_acctbal") < -500, F.col("c_custkey") % 2 == 1
+    for batch, rows in (("1", bad.filter(low)), ("2", bad), ("3", bad.filter(odd))):
+        segments.write_batch(spark, root, batch, rows)
+    segments.merge_segments(spark, root)
+    segments.write_batch(spark, root, "2", bad.filter(low))
+    segments.merge_segments(spark, root)
+    return segments.history(spark, root).drop("quarantined_at")
+
+
+def carry_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with the latest monthly total of its own customer's delivered orders, most months having none."""
+    orders = table(spark, sf_dir, "orders").withColumn("date", _day("o_orderdate"))
+    monthly = monthly_sum(orders.filter("o_orderstatus = 'F'"), "date", "o_totalprice", "monthly_value", by=("o_custkey",), scale=CENTS)
+    prices = orders.select("o_orderkey", "o_custkey", "date", F.col("o_totalprice").alias("price"))
+    return as_of(prices, monthly, ["o_custkey"], "date", "month_start", ["monthly_value"], unit="year", matched="of_month")
+
+
+def registry_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of customers, parts and suppliers registered in three batches under a hash of 12 bits, so that many collide."""
+    root = _work_path(spark, "registry")
+    for name in ("part", "customer", "supplier"):
+        registry.register(spark, root, table(spark, sf_dir, name).select(f"{name[0]}_name"), bits=12, buckets=8)
+    return registry.registered(spark, root)
+
+
 QUERIES: dict[str, Query] = {
+    "incremental_star": incremental_star,
+    "served_fact": served_fact,
+    "wide_sums": wide_sums,
+    "state_totals": state_totals,
+    "quarantine_segments": quarantine_segments,
+    "carry_by_series": carry_by_series,
+    "registry_keys": registry_keys,
     "weekly_fact": weekly_fact,
     "weekly_fact_iso": weekly_fact_iso,
     "fact_keys": fact_keys,
