@@ -16,8 +16,9 @@ A task writes a file under a name of its own attempt, and only the files of atte
 a lost executor or a second attempt leaves at most an unlisted file. Files go through pyarrow's file systems to a folder that
 all executors share.
 
-Encoding: white space separates pre-tokens, so a text's ids are those of its words (cut at ASCII white space) one after the
-other. Words are encoded by the tokenizers library once and then looked up in a cache of bounded size.
+Encoding: where white space separates a tokenizer's pre-tokens, a text's ids are those of its words (cut at ASCII white space) one after the
+other. A slice of texts is cut and its distinct words are found at once; those that a cache of bounded size lacks are encoded by the
+tokenizers library, and the ids of all words are gathered. Other tokenizers encode whole texts.
 
 Defined results: a NULL text is the empty text and has the end id only. Repeated rows give repeated records. Equal doc_ids are in the
 order of a text hash. Only doc_id and text are read.
@@ -25,6 +26,7 @@ order of a text hash. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -35,13 +37,14 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import text_bytes
 from feedloom.llm.word_cache import WordCache
-from feedloom.scratch import materialize, scratch_path
+from feedloom.scratch import hadoop_path, materialize, scratch_path
 
 END = 2
 MASK = 0xA282EAD8
@@ -50,6 +53,13 @@ OWNER = struct.Struct("<?q")
 CHECK = struct.Struct("<I")
 #: Words kept by a generation of a worker's cache: about 150 MB in all.
 CACHED = 300_000
+#: Bytes of text encoded at a time.
+SLICE = 4 << 20
+#: Bytes of text that a file holds at most, about, where the session's shuffle partitions would make larger ones.
+FILE_BYTES = 128 << 20
+# The normalizer and the pre-tokens of the vocabularies whose words are looked up apart.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A word of Latin letters and the ASCII punctuation after it are separate pre-tokens, so their ids are looked up apart.
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)?")
 
@@ -89,7 +99,7 @@ def check_length(data: bytes, at: int) -> None:
 
 
 class Words:
-    """Ids of texts as bytes."""
+    """Ids of whole batches of texts."""
 
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -98,6 +108,7 @@ class Words:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.model = self.tokenizer.model
         self.dtype = id_type(self.tokenizer)
+        self.by_words = splits_at_white_space(json.loads(self.tokenizer.to_str()))
         self.words = WordCache(self._words, CACHED)
         self.stems = WordCache(self._stems, CACHED // 2)
 
@@ -110,11 +121,10 @@ class Words:
         ids = ([t.id for t in self.model.tokenize(s)] if p else next(encoded).ids for s, p in zip(stems, plain))
         return [np.array(i, self.dtype).tobytes() for i in ids]
 
-    def _words(self, words: list[bytes]) -> Iterator[bytes]:
+    def _words(self, words: list[str]) -> Iterator[bytes]:
         parts: list[str] = []
         counts = []
-        for word in words:
-            text = word.decode("utf-8", "replace")
+        for text in words:
             simple = SIMPLE.fullmatch(text)
             own = [text] if not simple else [simple[1].lower(), simple[2]] if simple[2] else [simple[1].lower()]
             parts += own
@@ -122,8 +132,60 @@ class Words:
         ids = iter(self.stems.values(parts))
         return (next(ids) if n == 1 else next(ids) + next(ids) for n in counts)
 
-    def ids(self, text: bytes) -> bytes:
-        return b"".join(self.words.values(text.split()))
+    def ids(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, a bounded number of bytes at a time. Broken UTF-8 is read with replacement characters."""
+        try:
+            texts = texts.cast(pa.string())
+        except pa.ArrowInvalid:
+            texts = pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+        for part in slices(texts):
+            yield from self._by_words(part) if self.by_words else self._whole(part)
+
+    def _whole(self, texts: pa.Array) -> Iterator[bytes]:
+        for found in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False):
+            yield np.array(found.ids, self.dtype).tobytes()
+
+    def _by_words(self, texts: pa.Array) -> Iterator[bytes]:
+        """Each distinct word is looked up once; the ids of all words are then gathered from those of the distinct ones."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        values = list(self.words.values(words.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
+        pool = np.frombuffer(b"".join(values), self.dtype)
+        index = words.indices.to_numpy()
+        each = sizes[index]
+        ends = np.cumsum(each)
+        first = (np.cumsum(sizes) - sizes)[index] - (ends - each)
+        ids = pool[np.repeat(first, each) + np.arange(ends[-1] if len(ends) else 0)]
+        n_words = np.cumsum(split.value_lengths().to_numpy())
+        stops = np.concatenate([[0], ends])[n_words]
+        begin = 0
+        for stop in stops:
+            yield ids[begin:stop].tobytes()
+            begin = stop
+
+
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of at most ``SLICE`` bytes, or one that is longer."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = sizes[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(sizes, before + SLICE, "right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
+def splits_at_white_space(tokenizer: dict) -> bool:
+    """Whether a text's ids are those of its words one after the other, with words of Latin letters in lower case: known of one normalizer
+    and one pre-tokenizer. With any other, texts are encoded whole."""
+    normalizers = [n.get("type") for n in (tokenizer.get("normalizer") or {}).get("normalizers", [])]
+    splits = (tokenizer.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    own = splits[0] if splits else {}
+    pattern = (own.get("pattern") or {}).get("Regex")
+    removed = own.get("behavior") == "Removed" and own.get("invert") is True
+    spaced = any(c.isspace() for t in tokenizer.get("added_tokens") or [] for c in t["content"])
+    return normalizers == NORMALIZERS and pattern == PRE_TOKENS and removed and not spaced
 
 
 def id_type(tokenizer) -> np.dtype:
@@ -141,16 +203,27 @@ def words_of(vocabulary: str) -> Words:
 
 
 def file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
-    if not urlparse(path).scheme:
-        return pa.fs.LocalFileSystem(), path
-    if path.startswith("file:"):
+    """The file system of a path with a scheme, as ``qualified`` gives it, under the names that Hadoop and pyarrow have for it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
         return pa.fs.LocalFileSystem(), urlparse(path).path
+    if scheme in ("s3a", "s3n"):
+        return pa.fs.FileSystem.from_uri(f"s3:{rest}")
+    if scheme == "dbfs":
+        return pa.fs.LocalFileSystem(), "/dbfs/" + urlparse(path).path.lstrip("/")
     return pa.fs.FileSystem.from_uri(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """With the scheme that Spark would take: a bare path is on the default file system, not on each machine's own disk."""
+    fs, p = hadoop_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def write_records(docs: DataFrame, path: str, vocabulary: str, files: int) -> DataFrame:
     """Write the files and the index below ``path``; the index rows, with ``start``: the ids of all documents before."""
     spark = docs.sparkSession
+    path = qualified(spark, path)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -166,8 +239,8 @@ def write_records(docs: DataFrame, path: str, vocabulary: str, files: int) -> Da
         for batch in batches:
             out = out or fs.open_output_stream(f"{folder}/{name}", buffer_size=1 << 20)
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.ids(text.as_py()) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1))):
+                ids += end
                 record = frame(doc_id, ids)
                 out.write(record)
                 n = len(ids) // encoder.dtype.itemsize
@@ -209,6 +282,7 @@ def read_record(data: bytes, at: int, dtype: np.dtype) -> tuple[int | None, np.n
 
 def read_files(index: DataFrame, path: str, dtype: np.dtype) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every record; each file is read as a stream by one task."""
+    path = qualified(index.sparkSession, path)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,6 +328,7 @@ def read_shuffled(spark: SparkSession, path: str, seed: int, dtype: np.dtype) ->
                 ids.append(found.astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
+    path = qualified(spark, path)
     index = spark.read.parquet(f"{path}/index")
     order = F.xxhash64("file", "at", F.lit(seed))
     shuffled = index.withColumn("__o", order).repartition(F.col("__o")).sortWithinPartitions("__o")
@@ -264,8 +339,9 @@ def token_files(docs: DataFrame, path: str | None = None, vocabulary: str | None
     """Write the files and read them back: doc_id, start, n_tokens, ids_crc32 of each record."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "token-files")
-    # A file per shuffle partition; every file is written and read as a stream.
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Every file is written and read as a stream by one task.
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
     vocabulary = vocabulary or default_vocabulary()
     index = write_records(docs, path, vocabulary, files)
     return read_files(index, path, words_of(vocabulary).dtype)

@@ -12,11 +12,12 @@ V = TypeVar("V")
 class WordCache(Generic[K, V]):
     """Two generations: when the younger one is full it becomes the older one, and what is asked for again moves back.
 
-    So the words in use stay, and memory is bounded by twice the size plus the words of one text.
+    So the words in use stay. Words longer than ``longest`` (encoded data, scripts without spaces) are not kept at all, so that memory
+    is bounded by twice ``size`` words of that length, plus the words of one call.
     """
 
-    def __init__(self, encode: Callable[[list[K]], Iterable[V]], size: int) -> None:
-        self.encode, self.size = encode, size
+    def __init__(self, encode: Callable[[list[K]], Iterable[V]], size: int, longest: int = 48) -> None:
+        self.encode, self.size, self.longest = encode, size, longest
         self.young: dict[K, V] = {}
         self.old: dict[K, V] = {}
 
@@ -33,5 +34,10 @@ class WordCache(Generic[K, V]):
                     new.append(word)
                 else:
                     self.young[word] = value
-            self.young.update(zip(new, self.encode(new)))
+            found = zip(new, self.encode(new))
+            if any(len(word) > self.longest for word in new):
+                once = dict(found)
+                self.young.update((word, value) for word, value in once.items() if len(word) <= self.longest)
+                return [once[word] if word in once else self.young[word] for word in words]
+            self.young.update(found)
         return map(self.young.__getitem__, words)

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from sentencepiece import SentencePieceProcessor
@@ -134,6 +135,50 @@ def test_token_files_match_the_library(edge):
     assert [r["start"] for r in by_start] == [0, *ends[:-1]]
 
 
+def test_batches_of_texts_match_the_library():
+    """Every slice size, the second vocabulary whole, broken UTF-8, odd white space."""
+    import public_tokenizers
+
+    rng = np.random.default_rng(3)
+    odd = ["", " ", "a", "\x1c", "\x85", "\u2003", "É", "İ", "'s", "don't", "1", "２", "<|endoftext|>", "\n\t ", "ﬁ", "e\u0301", "\x0b", ".", "中文", "🙂", "x" * 3000]
+    texts = ["".join(rng.choice(odd, rng.integers(0, 12))) for _ in range(800)] + [r[1] or "" for r in edge_rows()]
+    for name, fast in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        encoder = token_files.Words(public_tokenizers.path(name))
+        assert encoder.by_words == fast
+        want = [np.array(e.ids, encoder.dtype).tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert list(encoder.ids(pa.array([t.encode() for t in texts], pa.binary()))) == want
+    encoder = token_files.words_of(token_files.default_vocabulary())
+    broken = [b"ab\xc3 c\xff", b"fine"]
+    want = [np.array(encoder.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes() for t in broken]
+    assert list(encoder.ids(pa.array(broken, pa.binary()))) == want
+    assert list(encoder.ids(pa.array([], pa.binary()))) == []
+
+
+@pytest.mark.parametrize("size", [1, 7, 10**9])
+def test_slices_keep_every_text(size, monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE", size)
+    texts = pa.array(["", "a" * 9, "", "bb", "", "", "c" * 30, ""])
+    parts = list(token_files.slices(texts))
+    assert [t for p in parts for t in p.to_pylist()] == texts.to_pylist()
+    assert all(len(p) == 1 or sum(map(len, p.to_pylist())) <= size for p in parts)
+
+
+def test_paths_are_on_the_default_file_system(spark, tmp_path):
+    """A path without a scheme is where Spark has it."""
+    assert token_files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert token_files.file_system(f"file:{tmp_path}")[1] == str(tmp_path)
+    assert token_files.file_system("dbfs:/a/b")[1] == "/dbfs/a/b"
+
+
+def test_long_chunks_do_not_stay_in_the_cache():
+    """50,000 distinct chunks of 2,000 characters leave less than a megabyte."""
+    cache = WordCache(lambda words: [w[:4] for w in words], 100_000)
+    for start in range(0, 50_000, 1000):
+        words = [f"{i:06d}" + "x" * 1994 for i in range(start, start + 1000)] + ["short"]
+        assert list(cache.values(words)) == [w[:4] for w in words]
+    assert sum(map(len, [*cache.young, *cache.old])) < 1_000_000
+
+
 def test_token_files_of_nothing(none):
     assert token_files.token_files(none).collect() == []
 
