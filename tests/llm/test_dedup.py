@@ -49,6 +49,37 @@ def test_later_batches_meet_the_index(spark):
     assert again.rows().count() == 3
 
 
+def test_reopened_index_keeps_its_buckets(spark):
+    """Whatever count is asked for, all texts are found again, and after the index has grown too."""
+    path = scratch_path(spark, "index-reopened")
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
+    first = DigestIndex(spark, path, buckets=4)
+    assert deduplicate(texts, first, "1").filter("kept").count() == 200
+    first.close()
+    again = DigestIndex(spark, path)
+    assert again.buckets == 4
+    assert deduplicate(texts, again, "2").filter("kept").count() == 0 and again.rows().count() == 200
+
+
+def test_index_grows_with_its_rows(spark, monkeypatch):
+    index = DigestIndex(spark, scratch_path(spark, "index-small"), buckets=4)
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
+    deduplicate(texts, index, "1").count()
+    monkeypatch.setattr("feedloom.llm.exact_dedup.BUCKETS", 1)
+    assert index.grown(scratch_path(spark, "index-large")) is index
+    monkeypatch.setattr("feedloom.llm.exact_dedup.ROWS_PER_BUCKET", 25)
+    grown = index.grown(scratch_path(spark, "index-large"))
+    assert grown.buckets == 8
+    assert deduplicate(texts, grown, "2").filter("kept").count() == 0
+
+
+def test_index_without_its_bucket_count_is_refused(spark):
+    path = scratch_path(spark, "index-unmarked")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError, match="bucket count"):
+        DigestIndex(spark, path)
+
+
 def test_index_is_read_without_a_shuffle(spark):
     index = DigestIndex(spark, scratch_path(spark, "index-plan"), buckets=4)
     groups = spark.createDataFrame([(b"x", 1, 1)], "digest binary, keep_id long, n_rows long")
