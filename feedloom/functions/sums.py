@@ -28,7 +28,9 @@ def total(value: Column, scale: int | None = None) -> Column:
     rest = F.sum(F.rint((value - whole) * F.lit(float(unit))).cast("bigint")).cast("decimal(38,0)")
     wide = lambda n: F.lit(n).cast("decimal(20,0)")
     together = ((high * wide(1 << LIMB) + middle) * wide(1 << LIMB) + low) * wide(unit) + rest
-    return together.cast("double") / F.lit(float(unit))
+    # Both are the nearest double of the exact quotient; the first needs a numerator that is a double itself.
+    near = together.cast("double") / F.lit(float(unit))
+    return near if scale > 6 else F.when(F.abs(together) < 2**53, near).otherwise((together / wide(unit)).cast("double"))
 
 
 def mean(value: Column, scale: int | None = None) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.dedup import keep_latest
 from feedloom.operators.merge import MissingKeyError, null_key, upsert
-from feedloom.scratch import drop_path, hadoop_path, path_exists
+from feedloom.scratch import at_once, drop_path, hadoop_path, path_exists
 
 POINTERS = "_published"
 PERIOD = "period"
@@ -87,8 +87,12 @@ def replace_periods(
     """
     _, parts = _latest(spark, root)
     new = f"{base + 1}-{uuid.uuid4().hex}"
-    for name, (rows, touched) in changes.items():
-        rows.write.partitionBy(PERIOD).parquet(_folder(root, name, new))
+
+    def writing(name: str, rows: DataFrame):
+        return lambda: rows.write.partitionBy(PERIOD).parquet(_folder(root, name, new))
+
+    at_once([writing(name, rows) for name, (rows, _) in changes.items()])
+    for name, (_, touched) in changes.items():
         # A period that has lost its last row has no folder; the pointer forgets it.
         filled = {p: new for p in touched if path_exists(spark, f"{_folder(root, name, new)}/{PERIOD}={p}")}
         parts[name] = {p: v for p, v in parts.get(name, {}).items() if p not in touched} | filled

@@ -18,8 +18,10 @@ The outcome equals that of the batch job with exact sums over the same files.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import operator
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ from feedloom.operators.states import StateChange, StateTable, state_change
 from feedloom.plans import star
 from feedloom.plans.clean import CleanCounts, rejected
 from feedloom.plans.load import SERVED, as_served
-from feedloom.scratch import drop_path, materialize, scratch_path
+from feedloom.scratch import at_once, drop_path, materialize, scratch_path
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS, FeedSpec
 from feedloom.streaming.incremental import judged_arrivals, merge_arrivals
 
@@ -49,6 +51,10 @@ SOURCES: Mapping[str, list[tuple[str, str]]] = {
     star.DIM_PRODUCT: [(s.name, "product_name") for s in (PRICES, STOCKS, MOVEMENTS)],
     star.DIM_AREA: [(STOCKS.name, "area"), (MOVEMENTS.name, "country_code")],
 }
+NAMED = {
+    star.DIM_PRODUCT: ("product", "product_category", star.PRODUCT_CLASSES, star.PRODUCT_OTHERWISE),
+    star.DIM_AREA: ("area", "area_type", star.AREA_CLASSES, star.AREA_OTHERWISE),
+}
 FEEDS = (PRICES, STOCKS, MOVEMENTS)
 
 
@@ -143,9 +149,9 @@ class FeedChange:
     old: DataFrame | None
     new: DataFrame | None
 
-    def rows(self, which: str, keep) -> DataFrame | None:
-        df = getattr(self, which)
-        return None if df is None else keep(df)
+
+def applied_to(df: DataFrame | None, step: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    return None if df is None else step(df)
 
 
 def feed_change(spark: SparkSession, root: str, since: int) -> FeedChange:
@@ -159,7 +165,8 @@ def gold_changes(spark: SparkSession, feeds: Mapping[str, str], root: str, optio
     """Bring states, members, dimensions and fact up to the feeds, in one publish."""
     since = applied_versions(spark, root)
     base, _ = read_periods(spark, root, star.FACT, [])
-    change = {name: feed_change(spark, path, since.get(name, 0)) for name, path in feeds.items()}
+    read = at_once([lambda n=name, p=path: feed_change(spark, p, since.get(n, 0)) for name, path in feeds.items()])
+    change = dict(zip(feeds, read))
     if not any(c.years for c in change.values()):
         return
     work = scratch_path(spark, "changes-gold")
@@ -172,13 +179,17 @@ def gold_changes(spark: SparkSession, feeds: Mapping[str, str], root: str, optio
         def monthly_rows(df: DataFrame) -> DataFrame:
             return star.market_flows(df).withColumn(MONTH_KEY, month_start(F.col("month_date")))
 
-        weekly = state_change(spark, root, WEEKLY, stocks.rows("new", weekly_rows), stocks.rows("old", weekly_rows), work)
-        monthly = state_change(spark, root, MONTHLY, flows.rows("new", monthly_rows), flows.rows("old", monthly_rows), work)
+        weekly, monthly, *dims = at_once(
+            [
+                lambda: state_change(spark, root, WEEKLY, applied_to(stocks.new, weekly_rows), applied_to(stocks.old, weekly_rows), work),
+                lambda: state_change(spark, root, MONTHLY, applied_to(flows.new, monthly_rows), applied_to(flows.old, monthly_rows), work),
+                *[lambda d=dim: member_changes(spark, root, d, change, options, work) for dim in SOURCES],
+            ]
+        )
         years = sorted({*prices.years, *years_of_weeks(weekly, options.week_key), *years_of_months(monthly)} - {"0"})
-        changes = {**weekly.tables, **monthly.tables}
+        changes = reduce(operator.or_, [weekly.tables, monthly.tables, *dims])
         if years:
-            changes[star.FACT] = (materialize(fact_rows(spark, feeds[PRICES.name], root, years, weekly, monthly, options), f"{work}/fact"), years)
-        changes |= member_changes(spark, root, change, options, work)
+            changes[star.FACT] = (fact_rows(spark, feeds[PRICES.name], root, years, weekly, monthly, options), years)
         changes[APPLIED] = applied(spark, {name: c.version for name, c in change.items()})
         replace_periods(spark, root, changes, base)
     finally:
@@ -230,49 +241,38 @@ def current_states(spark: SparkSession, root: str, table: StateTable, change: St
 
 
 def member_changes(
-    spark: SparkSession, root: str, change: Mapping[str, FeedChange], options: star.StarOptions, work: str
+    spark: SparkSession, root: str, dim: str, change: Mapping[str, FeedChange], options: star.StarOptions, work: str
 ) -> dict[str, tuple[DataFrame, list[str]]]:
-    """The dimensions whose members changed, with how many rows name each member.
+    """A dimension, if its members changed, with how many rows name each member.
 
     Dates are cut by year; products and areas are one table each, bounded by their catalogs.
     """
-    changes: dict[str, tuple[DataFrame, list[str]]] = {}
-    for dim, sources in SOURCES.items():
-        parts = []
-        for feed, column in sources:
-            for which, sign in (("new", 1), ("old", -1)):
-                df = change[feed].rows(which, lambda d: d)
-                if df is not None:
-                    parts.append(df.groupBy(F.col(f"`{column}`").alias("member")).agg((F.count("*") * sign).alias("n")))
-        if not parts:
-            continue
-        delta = parts[0]
-        for part in parts[1:]:
-            delta = delta.unionByName(part)
-        period = F.year("member").cast("string") if dim == star.DIM_DATE else F.lit(WHOLE)
-        delta = delta.groupBy("member").agg(F.sum("n").alias("n")).filter("n <> 0").withColumn(PERIOD, F.coalesce(period, F.lit("0")))
-        delta = materialize(delta, f"{work}/{dim}-delta")
-        touched = sorted(r[0] for r in delta.select(PERIOD).distinct().collect())
-        if not touched:
-            continue
-        _, old = read_periods(spark, root, f"{dim}_{MEMBERS}", touched)
-        both = delta if old is None else delta.unionByName(old)
-        members = both.groupBy("member", PERIOD).agg(F.sum("n").alias("n")).filter("n <> 0")
-        members = materialize(members, f"{work}/{dim}-members")
-        changes[f"{dim}_{MEMBERS}"] = (members, touched)
-        if dim == star.DIM_DATE:
-            rows = members.select(F.col("member").alias("date"), PERIOD)
-            built = rows.withColumns(date_attributes(F.col("date"))).select("date", *date_attributes(F.col("date")), PERIOD)
-        elif dim == star.DIM_PRODUCT:
-            built = named_dimension("product", "product_category", star.PRODUCT_CLASSES, star.PRODUCT_OTHERWISE, (members, "member"), key_method=options.key_method)
-        else:
-            built = named_dimension("area", "area_type", star.AREA_CLASSES, star.AREA_OTHERWISE, (members, "member"), key_method=options.key_method)
-        if dim != star.DIM_DATE:
-            built = materialize(built.withColumn(PERIOD, F.lit(WHOLE)), f"{work}/{dim}")
-            prefix = "product" if dim == star.DIM_PRODUCT else "area"
-            require_unique_keys(built, f"{prefix}_id", f"{prefix}_name")
-        changes[dim] = (built, touched)
-    return changes
+    parts = []
+    for feed, column in SOURCES[dim]:
+        for df, sign in ((change[feed].new, 1), (change[feed].old, -1)):
+            if df is not None:
+                parts.append(df.groupBy(F.col(f"`{column}`").alias("member")).agg((F.count("*") * sign).alias("n")))
+    if not parts:
+        return {}
+    period = F.coalesce(F.year("member").cast("string"), F.lit("0")) if dim == star.DIM_DATE else F.lit(WHOLE)
+    delta = reduce(DataFrame.unionByName, parts).groupBy("member").agg(F.sum("n").alias("n")).filter("n <> 0")
+    delta = materialize(delta.withColumn(PERIOD, period), f"{work}/{dim}-delta")
+    touched = sorted(r[0] for r in delta.select(PERIOD).distinct().collect())
+    if not touched:
+        return {}
+    counts = f"{dim}_{MEMBERS}"
+    _, old = read_periods(spark, root, counts, touched)
+    both = delta if old is None else delta.unionByName(old)
+    members = materialize(both.groupBy("member", PERIOD).agg(F.sum("n").alias("n")).filter("n <> 0"), f"{work}/{counts}")
+    if dim == star.DIM_DATE:
+        attributes = date_attributes(F.col("date"))
+        built = members.select(F.col("member").alias("date"), PERIOD).withColumns(attributes).select("date", *attributes, PERIOD)
+        return {counts: (members, touched), dim: (built, touched)}
+    prefix, *classes = NAMED[dim]
+    built = named_dimension(prefix, *classes, (members, "member"), key_method=options.key_method)
+    built = materialize(built.withColumn(PERIOD, F.lit(WHOLE)), f"{work}/{dim}")
+    require_unique_keys(built, f"{prefix}_id", f"{prefix}_name")
+    return {counts: (members, touched), dim: (built, touched)}
 
 
 def serve_changes(spark: SparkSession, gold: str, serving: str) -> None:
@@ -297,13 +297,15 @@ def run_changes(
 ) -> dict[str, CleanCounts]:
     """Take in what changed at each feed's source and carry it to serving. ``sources`` are a path and how to read it, by feed."""
     options = replace(options, value_scale=EXACT)
-    counts = {}
-    for spec in FEEDS:
+
+    def clean(spec: FeedSpec) -> CleanCounts:
         source, form = sources[spec.name]
         arrivals = f"{paths.arrivals}/{spec.name}"
         merge_arrivals(spark, spec, source, arrivals, **form)
-        counts[spec.name] = clean_changes(spark, spec, arrivals, f"{paths.changes}/{spec.name}", f"{paths.quarantine}_events/{spec.name}", batch_id)
+        return clean_changes(spark, spec, arrivals, f"{paths.changes}/{spec.name}", f"{paths.quarantine}_events/{spec.name}", batch_id)
+
+    counts = at_once([lambda s=spec: clean(s) for spec in FEEDS])
     feeds = {spec.name: f"{paths.changes}/{spec.name}" for spec in FEEDS}
     gold_changes(spark, feeds, f"{paths.changes}/gold", options)
     serve_changes(spark, f"{paths.changes}/gold", paths.serving)
-    return counts
+    return dict(zip(feeds, counts))

@@ -12,7 +12,7 @@ from feedloom.functions.keys import surrogate_key
 from feedloom.operators.dims import date_dimension, named_dimension, require_unique_keys
 from feedloom.operators.facts import Scale, attach_month, join_on_week, monthly_sum, round_to, weekly_sum
 from feedloom.operators.sinks import replace_table
-from feedloom.scratch import drop_path, materialize, scratch_path
+from feedloom.scratch import at_once, drop_path, materialize, scratch_path
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS
 
 # The names that select the market's series, and the gold tables' names.
@@ -137,7 +137,8 @@ def build_star(spark: SparkSession, silver: str, gold: str, options: StarOptions
     }
     work = scratch_path(spark, "star")
     try:
-        stored = {name: materialize(df, f"{work}/{name}") for name, df in built.items()}
+        written = at_once([lambda n=name, d=df: materialize(d, f"{work}/{n}") for name, df in built.items()])
+        stored = dict(zip(built, written))
         require_unique_keys(stored[DIM_PRODUCT], "product_id", "product_name")
         require_unique_keys(stored[DIM_AREA], "area_id", "area_name")
         for name, df in stored.items():

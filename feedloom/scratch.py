@@ -8,9 +8,15 @@ from __future__ import annotations
 import atexit
 import re
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+R = TypeVar("R")
+
 _own_root: dict[str, str] = {}
 
 
@@ -63,3 +69,15 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(calls: Sequence[Callable[[], R]], most: int = 8) -> list[R]:
+    """The results of independent actions that run at the same time, so that small jobs fill the cores that others leave free.
+
+    An error is raised when all of them have ended, so that none goes on behind its caller's back.
+    """
+    if len(calls) < 2:
+        return [call() for call in calls]
+    with ThreadPoolExecutor(max_workers=min(most, len(calls))) as pool:
+        running = [pool.submit(inheritable_thread_target(call)) for call in calls]
+    return [r.result() for r in running]
