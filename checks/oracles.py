@@ -419,3 +419,7 @@ SELECT name, CASE WHEN ROW_NUMBER() OVER (PARTITION BY first ORDER BY name) = 1
                   ELSE CAST('0x' || substr(md5(name), 1, 15) AS BIGINT) + 4096 END AS key
 FROM (SELECT name, {_crc32('name')} % 4096 AS first
       FROM (SELECT c_name AS name FROM customer UNION SELECT s_name FROM supplier UNION SELECT p_name FROM part))"""
+ORACLES["clustered_scan"] = """
+SELECT CAST(o_orderdate AS DATE) AS date, o_custkey, o_orderkey, o_totalprice FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-04-01' AND DATE '1998-06-30'
+  AND o_custkey <= (SELECT max(o_custkey) // 3 FROM orders)"""

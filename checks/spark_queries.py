@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from feedloom.functions.sums import mean, total
 from feedloom.functions.exact_sums import exact_sum
 from feedloom.operators import registry, segments
 from feedloom.operators.asof import as_of
+from feedloom.operators.clustered import Between, scan_clustered, write_clustered
 from feedloom.operators.dedup import keep_latest, keep_one, latest_n, latest_n_per_series
 from feedloom.operators.dims import conform, date_dimension, named_dimension
 from feedloom.operators.facts import (
@@ -589,6 +591,17 @@ def carry_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of(prices, monthly, ["o_custkey"], "date", "month_start", ["monthly_value"], unit="year", matched="of_month")
 
 
+def clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders clustered by date and customer in folders by year; then one quarter of a third of the customers."""
+    root = _work_path(spark, "clustered")
+    orders = table(spark, sf_dir, "orders").withColumn("date", _day("o_orderdate")).select("date", "o_custkey", "o_orderkey", "o_totalprice")
+    columns = ["date", "o_custkey"]
+    write_clustered(orders, root, columns, F.year("date"), rows_per_file=500)
+    most = orders.agg(F.max("o_custkey")).first()[0]
+    day = datetime.date
+    return scan_clustered(spark, root, columns, {"date": Between(day(1998, 4, 1), day(1998, 6, 30)), "o_custkey": Between(high=most // 3)})
+
+
 def registry_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of customers, parts and suppliers registered in three batches under a hash of 12 bits, so that many collide."""
     root = _work_path(spark, "registry")
@@ -605,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "quarantine_segments": quarantine_segments,
     "carry_by_series": carry_by_series,
     "registry_keys": registry_keys,
+    "clustered_scan": clustered_scan,
     "weekly_fact": weekly_fact,
     "weekly_fact_iso": weekly_fact_iso,
     "fact_keys": fact_keys,

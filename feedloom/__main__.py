@@ -52,9 +52,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
 
 def report(counts: dict[str, CleanCounts]) -> None:
-    """One line per feed: how many of the batch's rows were bad."""
+    """One line per feed: how many of the batch's rows were bad, and by which rule."""
     for feed, n in counts.items():
-        print(f"{feed}: {n.total} rows, {n.bad} bad ({n.bad_share:.1%})")
+        rules = "".join(f"; {reason} {share:.1%}" for reason, share in n.shares().items() if share)
+        print(f"{feed}: {n.total} rows, {n.bad} bad ({n.bad_share:.1%}){rules}")
 
 
 if __name__ == "__main__":

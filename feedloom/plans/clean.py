@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.dedup import keep_latest
 from feedloom.operators.quality import (
     REASON,
     bad_rows,
-    quality_counts,
     require_rows,
     require_survivors,
     tag_errors,
@@ -35,14 +35,36 @@ from feedloom.sources.feeds import (
 
 @dataclass(frozen=True)
 class CleanCounts:
+    """``by_rule`` has the rows that each rule was the first to refuse, where they were counted."""
+
     total: int
     valid: int
     bad: int
+    by_rule: Mapping[str, int] = field(default_factory=dict, compare=False)
 
     @property
     def bad_share(self) -> float:
         return self.bad / self.total if self.total else 0.0
 
+    def shares(self) -> dict[str, float]:
+        """Each rule's share of all rows."""
+        return {reason: n / self.total for reason, n in self.by_rule.items()} if self.total else {}
+
+
+def materialize_counted(tagged: DataFrame, reasons: Sequence[str], path: str) -> tuple[DataFrame, CleanCounts]:
+    """Write tagged rows once and take their counts from that same write, without a second read.
+
+    The measures are made in the write's own tasks, each of which counts once however often it is tried.
+    """
+    seen = Observation()
+    each = {f"rule{i}": F.count_if(F.col(REASON) == reason) for i, reason in enumerate(reasons)}
+    bad = F.count_if(F.col(REASON).isNotNull())
+    observed = tagged.observe(seen, F.count(F.lit(1)).alias("total"), bad.alias("bad"), *[c.alias(n) for n, c in each.items()])
+    stored = materialize(observed, path)
+    found = seen.get
+    by_rule = {reason: found[f"rule{i}"] for i, reason in enumerate(reasons)}
+    return stored, CleanCounts(found["total"], found["total"] - found["bad"], found["bad"], by_rule)
+
 
 def tagged_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> DataFrame:
     """Shaped rows, one per key unless ``dedup`` is off, each with its error reason or NULL.
@@ -50,7 +72,7 @@ def tagged_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> Dat
     The business filter comes before dedup and the rules after it: the newest snapshot decides what
     a key's value is, even if that value then fails a rule.
     """
-    rows = shape(unnest(documents), spec)
+    rows = shape(unnest(documents, spec), spec)
     if dedup:
         rows = keep_latest(rows, [*spec.key, REJECT_ID], SNAPSHOT)
     return tag_errors(look_back(rows, spec), spec.all_rules)
@@ -75,20 +97,19 @@ def store_feed(
     """Replace ``silver``/<feed> with the valid rows and merge the bad ones into the feed's history.
 
     The tagged rows are written once to shared scratch, so neither output recomputes the parse or the
-    dedup and the two cannot disagree. Reading them back is cheap: the counts need one column, and the
+    dedup and the two cannot disagree. The counts are taken while they are written, and the
     quarantine skips every row group whose reasons are all NULL. A batch that is bad throughout still
     leaves its quarantine rows before the job fails.
     """
     work = scratch_path(spark, spec.name)
     try:
-        stored = materialize(tagged, work)
-        n = quality_counts(stored).first()
-        require_rows(n.total_rows, spec.name)
+        stored, n = materialize_counted(tagged, [rule.reason for rule in spec.all_rules], work)
+        require_rows(n.total, spec.name)
         write_quarantine(rejected(bad_rows(stored), spec), f"{quarantine}/{spec.name}", batch_id)
-        require_survivors(n.valid_rows, spec.name)
+        require_survivors(n.valid, spec.name)
         good = valid_rows(stored).select(*spec.columns)
         replace_table(good, f"{silver}/{spec.name}", sort_by=(spec.date,))
-        return CleanCounts(n.total_rows, n.valid_rows, n.bad_rows)
+        return n
     finally:
         drop_path(spark, work)
 

@@ -6,6 +6,7 @@ cannot analyse a feed whose documents are all empty.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -72,6 +73,15 @@ class FeedSpec:
         conditions = [f"({self.keep})"] if self.keep else []
         return " AND ".join([*conditions, *(f"`{c}` IN ({values})" for c, values in quoted.items())]) or None
 
+    @property
+    def record_filter(self) -> str | None:
+        """The filter over a record ``_r`` as it is in its document, if it is about text columns only."""
+        names = re.compile(r"'(?:[^'\\]|\\.)*'|`?\b([A-Za-z_]\w*)\b`?")
+        text = self.filter or ""
+        if {m[1] for m in names.finditer(text)} & {self.date, self.measure}:
+            return None
+        return names.sub(lambda m: f"_r.`{self.texts[m[1]]}`" if m[1] in self.texts else m[0], text) or None
+
     @property
     def all_rules(self) -> list[Rule]:
         return [
@@ -125,14 +135,17 @@ def read_documents(
     return raw.select(F.struct("response", CORRUPT).alias(DOCUMENT), snapshot.alias(SNAPSHOT))
 
 
-def unnest(documents: DataFrame) -> DataFrame:
+def unnest(documents: DataFrame, spec: FeedSpec | None = None) -> DataFrame:
     """One row per record; empty documents vanish.
 
     A document that breaks its schema anywhere gives a single row that carries its whole text to
-    quarantine. There is no filter here: one would be pushed below the parse, by repeating the parse.
+    quarantine. Records that the filter of ``spec`` drops are taken out of the array, before they become rows; a filter on rows
+    would be pushed below the parse, by repeating the parse.
     The text gets a column of its own first, or every record would drag its whole document along.
     """
     data, corrupt = F.col(f"{DOCUMENT}.response.data"), F.col(CORRUPT)
+    if spec and spec.record_filter:
+        data = F.expr(f"filter({DOCUMENT}.response.data, _r -> coalesce({spec.record_filter}, true))")
     records = F.when(corrupt.isNotNull(), F.array(F.lit(None))).otherwise(data)
     return documents.withColumn(CORRUPT, F.col(f"{DOCUMENT}.{CORRUPT}")).select(
         F.explode(records).alias("record"), CORRUPT, SNAPSHOT

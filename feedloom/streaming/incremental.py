@@ -96,7 +96,7 @@ def shaped_with_file(
     Shaping keeps a row's snapshot and nothing else of its origin, so the file rides along in it and is split off after.
     """
     documents = read_documents(spark, spec, paths, multi_line, stamp, with_path=True, base=base)
-    rows = shape(unnest(documents), spec)
+    rows = shape(unnest(documents, spec), spec)
     return rows.select(
         *[F.col(f"`{c}`") for c in rows.columns if c != SNAPSHOT],
         F.col(SNAPSHOT).getField("name").alias(SNAPSHOT),

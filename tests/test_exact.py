@@ -13,6 +13,7 @@ from feedloom.functions.exact_sums import exact_sum, merged, negated, sum_states
 from feedloom.functions.sums import total
 from feedloom.operators import registry, segments
 from feedloom.operators.asof import as_of
+from feedloom.operators.clustered import Between, files_for, scan_clustered, write_clustered
 from feedloom.operators.publish import drop_old_versions, read_periods
 from feedloom.operators.states import StateTable, WithdrawnTwiceError, coarser, read_states, summary, update_states
 from tests.conftest import rows
@@ -150,7 +151,7 @@ def test_as_of_join_splits_a_hot_series(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "2")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    last = found.agg(F.count_if("v IS NULL"), F.max("v")).first()
+    last = found.agg(F.count_if(F.col("v").isNull()), F.max("v")).first()
     assert tuple(last) == (0, 19999 // 7 * 7)
 
 
@@ -193,3 +194,25 @@ def test_segments_cost_what_a_batch_finds(spark, tmp_path):
     assert segments.merge_segments(spark, root, ratio=1, least=1) == 0
     segments.write_batch(spark, root, "9", bad[1].limit(0))
     assert said() == after
+
+
+def test_clustered_table_reads_few_files(spark, tmp_path):
+    """A quarter of some products: the folder of its year, and in it the files whose ranges meet both conditions."""
+    root, columns = str(tmp_path), ["date", "product"]
+    df = spark.range(24_000).select(
+        F.expr("date_add(DATE'2022-01-01', cast(id * 7919 % 1096 as int))").alias("date"), F.concat(F.lit("p"), F.col("id") * 31 % 97).alias("product"), "id"
+    )
+    odd = spark.createDataFrame([(None, "p1", -1), (dt.date(2023, 5, 1), None, -2)], "date date, product string, id long")
+    df = df.unionByName(odd)
+    write_clustered(df, root, columns, F.year("date"), rows_per_file=500)
+    wanted = {"date": Between(dt.date(2023, 4, 1), dt.date(2023, 6, 30)), "product": Between("p2", "p3")}
+    everything = spark.read.parquet(f"{root}/rows").inputFiles()
+    chosen = files_for(spark, root, columns, wanted)
+    assert len(everything) >= 48 and 0 < len(chosen) <= 8 and all("period=2023" in f for f in chosen)
+    found = scan_clustered(spark, root, columns, wanted)
+    assert {f.rsplit("/", 1)[1] for f in found.inputFiles()} == {f.rsplit("/", 1)[1] for f in chosen}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2023-04-01)" in plan and "LessThanOrEqual(product,p3)" in plan
+    assert rows(found) == rows(df.filter("date BETWEEN '2023-04-01' AND '2023-06-30' AND product BETWEEN 'p2' AND 'p3'"))
+    assert scan_clustered(spark, root, columns, {"date": Between(dt.date(2030, 1, 1))}).count() == 0
+    assert spark.read.parquet(f"{root}/rows").count() == 24_002

@@ -1,10 +1,12 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 
-from feedloom.operators.quality import FeedQualityError, quarantined
-from feedloom.plans.clean import clean_files, tagged_feed, valid_feed
-from feedloom.sources.feeds import FEED_FILES, MOVEMENTS, PRICES, STOCKS, keep_facets, read_documents
+from feedloom.operators.quality import FeedQualityError, quality_counts, quarantined
+from feedloom.plans.clean import clean_files, materialize_counted, tagged_feed, valid_feed
+from feedloom.scratch import materialize
+from feedloom.sources.feeds import FEED_FILES, MOVEMENTS, PRICES, STOCKS, keep_facets, read_documents, unnest
 from tests.conftest import movement, price, rows, stock
 
 DAY = dt.date(2024, 5, 6)
@@ -174,3 +176,31 @@ def test_valid_and_bad_make_up_the_input(spark, land):
 def test_facets(spark):
     df = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2)], "s string, n int")
     assert rows(keep_facets(df, {"s": ["a"], "n": [1, 3]})) == [("a", 1)]
+
+
+def test_filter_takes_records_out_of_the_array(spark, land):
+    """The feed's filter and facets, in the document's own names; records it cannot decide on stay for quarantine."""
+    spec = replace(STOCKS, facets={"area": ["U.S.", "it's area"]})
+    assert spec.record_filter == "(_r.`process-name` = 'Ending Stocks') AND _r.`area-name` IN ('U.S.', 'it\\'s area')"
+    assert PRICES.record_filter is None and replace(STOCKS, keep="date > '2024-01-01'").record_filter is None
+    land("supply_1.json", [stock("2024-05-10", 1), stock("2024-05-10", 2, process="Other"), stock("2024-05-10", 3, process=None), stock("2024-05-10", 4, area="X")])
+    documents = read_documents(spark, spec, f"{land.folder}/supply_*.json")
+    assert rows(unnest(documents, spec).select("record.value")) == [("1",), ("3",)]
+    assert unnest(documents).count() == 4
+
+
+def test_counts_come_from_the_write(spark, land, tmp_path):
+    """Cleaning reads its documents once and the rows it wrote for its outputs only."""
+    land("prices_1.json", [price("2024-05-06", 1), price("2024-05-13", -1), price("x", 1), price("2024-05-20", None)])
+    tagged = tagged_feed(read_documents(spark, PRICES, f"{land.folder}/prices_*.json"), PRICES)
+    reasons = [rule.reason for rule in PRICES.all_rules]
+    spark.sparkContext.setJobGroup("counted", "")
+    _, n = materialize_counted(tagged, reasons, str(tmp_path / "out"))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    spark.sparkContext.setJobGroup("plain", "")
+    quality_counts(materialize(tagged, str(tmp_path / "plain"))).first()
+    assert jobs < len(spark.sparkContext.statusTracker().getJobIdsForGroup("plain"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert (n.total, n.valid, n.bad) == (4, 1, 3)
+    assert {r: c for r, c in n.by_rule.items() if c} == {"Unparsable Date": 1, "Invalid or Null Price": 2}
+    assert n.shares()["Unparsable Date"] == 0.25
