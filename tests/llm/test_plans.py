@@ -163,6 +163,39 @@ def test_cut_groups_meet_where_there_is_room(spark):
     assert tuples(sharding.propagate(split, [10, 9], 6), "shard", "n") == [(0, 5), (1, 7)]
 
 
+def test_the_rounds_place_nine_of_ten_linked_rows(spark):
+    """Groups of two to four, half of the rows linked: from a deal by hash, propagation makes nearly all of them whole within the quotas."""
+    texts = [f"group {g}" for g in range(3000) for _ in range(2 + g % 3)]
+    rows = spark.createDataFrame([(t.encode(), hash_of(i)) for i, t in enumerate(texts)], "digest binary, h long")
+    room = [600 + s for s in range(16)]
+    sizes = Counter(t.encode() for t in texts)
+    dealt = sharding.dealt(rows, room)
+    start = len({r["digest"] for r in sharding.whole_groups(dealt).collect()})
+    whole, cut, left = sharding.placed_by_rounds(rows, room)
+    found = whole.collect()
+    assert all(r["n"] == sizes[bytes(r["digest"])] for r in found)
+    assert sum(r["n"] for r in found) >= 0.9 * 9000 and start < 0.2 * len(sizes)
+    assert all(n >= 0 for n in left) and sum(left) == sum(room) - sum(r["n"] for r in found)
+    assert sum(r["rows"] for r in cut.collect()) == 9000 - sum(r["n"] for r in found)
+
+
+def hash_of(i):
+    return (i * 0x9E3779B97F4A7C15 + 12345) % 2**64 - 2**63
+
+
+def test_one_round_matches_brute_force(spark):
+    """With ample room every cell goes to the shard of its group that holds most."""
+    cells = [(bytes([g]), s, (g * 7 + s * 5) % 11 + 1) for g in range(30) for s in range(g % 4 + 1)]
+    after = sharding.propagate(spark.createDataFrame(cells, "digest binary, shard int, n long"), [10_000] * 4, 1).collect()
+    groups = defaultdict(list)
+    for digest, s, n in cells:
+        groups[digest].append((n, s))
+    assert {bytes(r["digest"]): r["n"] for r in after} == {g: sum(n for n, _ in c) for g, c in groups.items()}
+    for r in after:
+        held = groups[bytes(r["digest"])]
+        assert (max(held)[0], r["shard"]) in held
+
+
 def test_quotas_are_never_exceeded():
     allowed = sharding.allowances({(0, 1): 10, (1, 0): 4, (2, 1): 5}, [0, 3, 0])
     assert allowed == {(0, 1): 7, (1, 0): 4, (2, 1): 0}
