@@ -31,6 +31,7 @@ from feedloom.sources.feeds import (
     shape,
     unnest,
 )
+from feedloom.sources.split_json import read_records
 
 
 @dataclass(frozen=True)
@@ -72,7 +73,11 @@ def tagged_feed(documents: DataFrame, spec: FeedSpec, dedup: bool = True) -> Dat
     The business filter comes before dedup and the rules after it: the newest snapshot decides what
     a key's value is, even if that value then fails a rule.
     """
-    rows = shape(unnest(documents, spec), spec)
+    return tagged_records(unnest(documents, spec), spec, dedup)
+
+
+def tagged_records(records: DataFrame, spec: FeedSpec, dedup: bool = True) -> DataFrame:
+    rows = shape(records, spec)
     if dedup:
         rows = keep_latest(rows, [*spec.key, REJECT_ID], SNAPSHOT)
     return tag_errors(look_back(rows, spec), spec.all_rules)
@@ -128,7 +133,13 @@ def clean_files(
     batch_id: str,
     multi_line: bool = True,
     stamp: str | None = None,
+    split: bool = False,
 ) -> CleanCounts:
-    """Clean every snapshot under ``path``; ``stamp`` is the folder column of landed documents."""
+    """Clean every snapshot under ``path``; ``stamp`` is the folder column of landed documents.
+
+    ``split`` reads each indented document with many tasks instead of one.
+    """
+    if split:
+        return store_feed(spark, tagged_records(read_records(spark, spec, path), spec), spec, silver, quarantine, batch_id)
     tagged = tagged_feed(read_documents(spark, spec, path, multi_line, stamp), spec)
     return store_feed(spark, tagged, spec, silver, quarantine, batch_id)
