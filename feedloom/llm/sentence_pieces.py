@@ -5,7 +5,8 @@ each relaxes the best score of that position from the best score of where it sta
 far only if its score is higher, so of equal paths the one whose last piece is longer stays, as in the public library. A
 character that is no piece itself may also be taken alone at the unknown score; it becomes its UTF-8 byte pieces.
 
-Texts are cut where no piece can cross, and the pieces of a chunk are looked up in a cache of bounded size.
+Texts are cut where no piece can cross, and the pieces of a chunk are looked up in a cache of bounded size. A very long text is encoded
+whole, chunk by chunk; a very long chunk, as of a script without spaces, takes memory in proportion to itself and is not kept.
 
 Defined results: a NULL or empty text has no pieces. Decoding gives the text back except that U+2581, the model's mark of a space,
 comes back as a space. Repeated rows are encoded alike. Rows keep their doc_id, NULL or not; other columns are not read.

@@ -4,6 +4,8 @@ The automaton lists the vocabulary matches; for each position the program carrie
 the path that has it, and nothing to trace back. Ties go as in the tokenizer itself: a path replaces another only if its score
 is higher, and matches that end at one position come longest first. A character that is no piece counts as its UTF-8 bytes.
 
+A very long text is counted whole, chunk by chunk; a very long chunk takes memory in proportion to itself and is not kept in the cache.
+
 Defined results: a NULL or empty text has 0 tokens. Repeated rows are counted alike. Only doc_id and text are read.
 """
 
