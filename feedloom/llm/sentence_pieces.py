@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from feedloom.llm.lexicon import SPACE, Lexicon, default_model, lexicon_of
 from feedloom.llm.word_cache import WordCache
 
-#: Chunks kept by a generation of a worker's cache: about 150 MB in all.
-CACHED = 400_000
+#: Chunks kept by a generation of a worker's cache: about 75 MB in all.
+CACHED = 200_000
 LOW = float("-inf")
 
 
