@@ -50,7 +50,86 @@ QUERIES = {
     "op13_url_filters": on_table("pages", judge_pages),
 }
 
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, folded bit by bit."""
+    step = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END"
+    folded = f"list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: {step})"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    start = "4294967295::BIGINT"
+    return f"xor(list_reduce(list_prepend({start}, {codes}), lambda c, b: {folded}), {start})"
+
+
+def repair_sql() -> str:
+    """The edits row by row instead of by search: after each row the best (cost, audit, repaired lines) of each state of the pattern."""
+
+    def more(label: str, cost: str, letter: str, line: str = "''") -> str:
+        lines = f"{label}.r || CASE WHEN {line} = '' OR {label}.r = '' THEN '' ELSE chr(10) END || {line}"
+        return f"CASE WHEN {label} IS NOT NULL THEN {{'c': {label}.c + {cost}, 's': {label}.s || '{letter}', 'r': {lines}}} END"
+
+    def best(*labels: str) -> str:
+        return f"list_min([{', '.join(labels)}])"
+
+    def edited(state: str, initial: str, role: str) -> list[str]:
+        own = "role || ':' || text"
+        kept = f"CASE WHEN NOT gone AND initial = '{initial}' THEN {more(state, 'extra', 'K', own)} END"
+        if initial == "s":
+            return [kept]
+        return [kept, f"CASE WHEN NOT gone THEN {more(state, 'extra + 1', 'R', f"'{role}:' || text")} END"]
+
+    user = [e for state in ("f0", "f1", "f3") for e in edited(state, "u", "user")]
+    spaces = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    key = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    own = "coalesce(conv_id::VARCHAR, '')"
+    parts = " || ".join(f"length({x}) || ':' || {x}" for x in (own, "role", "text"))
+    return f"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32(f'({key})')} % 20 AS kind FROM conversations),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM keyed WHERE kind <> 0),
+        placed AS (
+            SELECT *, rtrim(text, {spaces}) AS bare,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                       sha256(CASE WHEN conv_id IS NULL THEN 'true' ELSE 'false' END || {parts}), copy) AS n
+            FROM damaged),
+        judged AS (
+            SELECT *, bare = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+                   right(bare, 1) NOT IN ('.', '!', '?') AS cut, left(role, 1) AS initial,
+                   lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before
+            FROM placed),
+        rows AS (
+            SELECT *, blank OR again AS gone, CASE WHEN cut THEN 5 ELSE 0 END AS extra FROM judged),
+        walk AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS n, {{'c': 0, 's': '', 'r': ''}} AS f0, NULL::STRUCT(c INTEGER, s VARCHAR, r VARCHAR) AS f1,
+                   {{'c': 5, 's': 'I', 'r': 'user:'}} AS f2, {{'c': 10, 's': 'II', 'r': 'user:' || chr(10) || 'assistant:'}} AS f3
+            FROM keyed
+            UNION ALL
+            SELECT conv_id, n, e0, e1, g2, {best('e3', more('g2', '5', 'I', "'assistant:'"))}
+            FROM (
+                SELECT *, {best('e2', *[more(e, '5', 'I', "'user:'") for e in ('e0', 'e1', 'e3')])} AS g2
+                FROM (
+                    SELECT r.conv_id, r.n, {more('f0', '2', 'D')} AS e0, {best(more('f1', '2', 'D'), *edited('f0', 's', ''))} AS e1,
+                           {best(more('f2', '2', 'D'), *user)} AS e2, {best(more('f3', '2', 'D'), *edited('f2', 'a', 'assistant'))} AS e3
+                    FROM walk w JOIN rows r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.n = w.n + 1))),
+        ended AS (
+            SELECT conv_id, list_min([f0, f3]) AS least FROM walk
+            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1),
+        counted AS (
+            SELECT conv_id, least(max(turn)::HUGEINT - min(turn) + 1 - count(DISTINCT turn), 9223372036854775807) AS gaps, count(*) FILTER (blank) AS blank,
+                   count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (NOT blank AND NOT again AND cut) AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM rows GROUP BY conv_id)
+        SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, least.c::BIGINT AS cost, least.s AS audit,
+               sha256(least.r) AS repaired_sha256
+        FROM ended e LEFT JOIN counted c ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+    """
+
+
 ORACLES = {
+    "op11_conversation_repair": repair_sql(),
     "op2_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM (SELECT doc_id, max(doc_id) OVER (PARTITION BY body) AS keep_id,

@@ -7,9 +7,12 @@ import zlib
 from collections import defaultdict
 from itertools import product
 
+import duckdb
 import pytest
 
+from checks.compare import canonical
 from feedloom.llm import conversation_repair as repair
+from feedloom.llm.queries import ORACLES, QUERIES
 from tests.llm.conftest import ordered, tuples
 
 COLUMNS = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
@@ -170,6 +173,21 @@ def test_no_conversations(spark):
     assert repair.repaired(repair.turns(none)).collect() == []
 
 
+@pytest.mark.parametrize("rows", ["table", "odd"])
+def test_matches_sql(spark, conversations, tmp_path, rows):
+    """The small table, and rows with every kind of fault."""
+    folder = "/root/testdata/sf0.001"
+    if rows == "odd":
+        folder = str(tmp_path)
+        conversations.select("conv_id", "turn", "role", "text").coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    found = QUERIES["op11_conversation_repair"](spark, folder).toPandas()
+    with duckdb.connect() as connection:
+        files = f"{folder}/conversations.parquet" + ("/*.parquet" if rows == "odd" else "")
+        connection.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{files}')")
+        theirs = connection.sql(ORACLES["op11_conversation_repair"]).df()
+    assert canonical(found) == canonical(theirs) and len(found) > 10
+
+
 def test_all_rows_dropped(spark):
     turn = next(t for t in range(1000) if zlib.crc32(f"5:{t}".encode()) % 20 == 0)
     df = spark.createDataFrame([(5, turn, "user", "Gone.")], "conv_id long, turn long, role string, text string")
