@@ -16,14 +16,15 @@ from feedloom.llm.quality import keep_good
 from feedloom.llm.sentence_pieces import encode_whole
 from feedloom.llm.simhash import one_of_each
 from feedloom.scratch import materialize, scratch_path
+from feedloom.sources.tables import read_optional
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the compression bands.
+    """Documents that pass the base rules and the compression bands, which labelled documents narrow where there are any.
 
     A NULL or empty text has no words and goes. Rows repeated are judged alike and all stay or go; there are no ties.
     """
-    return keep_good(docs)
+    return keep_good(docs, read_optional(spark, f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from feedloom.llm.simhash import near_dedup
 from feedloom.llm.token_counts import token_counts
 from feedloom.llm.token_files import token_files
 from feedloom.llm.url_filters import judge_pages
+from feedloom.sources.tables import read_optional
 
 
 def on_table(name, operator):
@@ -34,10 +35,14 @@ def page_languages(spark, sf_dir):
     return identify(table(spark, sf_dir, "pages"), labelled)
 
 
+def judged_documents(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents"), read_optional(spark, f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_sentence_pieces": on_documents(encode_and_decode),
     "op2_exact_dedup": on_documents(exact_dedup),
-    "op3_quality_rules": on_documents(quality_rules),
+    "op3_quality_rules": judged_documents,
     "op4_token_counts": on_documents(token_counts),
     "op5_token_files": on_documents(token_files),
     "op6_near_dedup": on_documents(near_dedup),

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from sentencepiece import sentencepiece_model_pb2 as proto
 
@@ -207,3 +208,80 @@ def test_damage_is_found():
             token_files.read_record(bytes(broken), 0, np.dtype("<u2"))
     with pytest.raises(ValueError):
         token_files.read_record(record[:-1], 0, np.dtype("<u2"))
+
+
+def plain_verdict(text: str | None, limits) -> bool:
+    """The verdict written anew: whole text, then every chunk, by slices and lists."""
+    data = (text or "").encode()
+    squeezed = zstandard.ZstdCompressor(level=3)
+
+    def ratio(part):
+        return len(part) / len(squeezed.compress(part))
+
+    def wide(n):
+        low, high = 0.0, 6.0
+        for least, first, last in quality.BANDS:
+            if n >= least:
+                low, high = first, last
+        return low, high
+
+    if brute.base_measures(text)[-1]:
+        return False
+    low, high = limits.get(len(data).bit_length() - 1, wide(len(data)))
+    if not low <= ratio(data) <= high:
+        return False
+    if len(data) <= 4096:
+        return True
+    pieces = [data[i : i + 4096] for i in range(0, len(data), 4096)]
+    out = 0
+    for i, piece in enumerate(pieces):
+        full = piece if len(piece) == 4096 else data[-4096:]
+        bad = not 1.35 <= ratio(full) <= 4.2
+        if len(piece) < 4096 and len(piece) >= 1024:
+            bad = bad or not wide(len(piece))[0] <= ratio(piece) <= wide(len(piece))[1]
+        out += bad
+    return out * 5 <= len(pieces)
+
+
+def test_fitted_limits_hold_on_documents_held_out(spark):
+    """Fitted to one half of the labelled documents: at least half of the bad ones that pass the base rules go, at most 1 % of the good ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
+    bands = quality.fitted_bands(docs, labels.filter(half == 0))
+    assert bands == quality.fitted_bands(docs.repartition(5), labels.filter(half == 0).unionByName(labels.filter(half == 0)))
+    judged = quality.measured(docs.join(labels.filter(half == 1), "doc_id"), bands).filter("NOT base_failed").join(labels, "doc_id")
+    found = {(r["quality"], r["kept"]): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert found[0, False] >= found[0, True]
+    assert found.get((1, False), 0) * 100 <= found[1, True] + found.get((1, False), 0)
+
+
+def test_fitted_verdicts_match_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(3000 + i, rng.randint(20, 250)), 1) for i in range(400)]
+    rows += [(1000 + i, " ".join([prose(i, 12)] + [f"row {j} of {i}" for j in range(rng.randint(20, 200))]), 0) for i in range(40)]
+    rows += [(2000 + i, prose(7000 + i, 3000), None) for i in range(3)] + [(None, prose(8, 50), 1), (2003, None, 1), (2004, "", 1), (0, rows[0][1], 1)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows] + [(5, 0), (6, None)], "doc_id long, quality int")
+    ratios = {}
+    for i, text, label in rows:
+        if i is not None and label == 1 and i not in (5, 6) and not brute.base_measures(text)[-1]:
+            data = text.encode()
+            ratios.setdefault(len(data).bit_length() - 1, []).append(round(len(data) / len(zstandard.ZstdCompressor(level=3).compress(data)), 4))
+    limits = {}
+    for k, found in ratios.items():
+        if len(found) >= 50:
+            low, high = np.percentile(found, [0.5, 99.5])
+            wide = quality.ratio_band(1 << k)
+            limits[k] = (max(wide[0], low / 1.02), min(wide[1], high * 1.02))
+    assert limits
+    got = quality.quality_rules(docs, labels)
+    assert tuples(got, "doc_id", "kept") == ordered((i, plain_verdict(t, limits)) for i, t, _ in rows)
+    assert not all(r["kept"] for r in got.filter("doc_id >= 1000 AND doc_id < 2000").collect())
+    kept = quality.keep_good(docs, labels)
+    assert tuples(kept, "doc_id", "text") == ordered((i, t) for i, t, _ in rows if plain_verdict(t, limits))
+
+
+def test_no_labels_keep_the_wide_limits(spark, edge, none):
+    empty = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.fitted_bands(edge, None) == quality.fitted_bands(edge, empty) == quality.fitted_bands(none, empty) == quality.BANDS
