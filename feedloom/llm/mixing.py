@@ -14,6 +14,8 @@ gives no rows. Only doc_id, text and source are read.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +25,10 @@ from feedloom.scratch import materialize, scratch_path
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2
-ROUNDS = 60
+#: Rounds of Newton steps alone; the rounds go on until every target is met.
+PATIENCE = 20
 TOLERANCE = 1e-7
+CLOSED = 1e-13
 REPAIRS = 3
 
 
@@ -78,29 +82,33 @@ def tilts(sizes: DataFrame, aims: DataFrame) -> DataFrame:
     state = aims.join(mean, "source").select(
         "source", "target", "mean", F.lit(0.0).alias("t"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"), F.lit(1.0).alias("miss")
     )
-    for _ in range(ROUNDS):
+    for turn in count():
         state = materialize(state, scratch_path(spark, "mix-dual"))
         if not state.filter(F.col("miss") > TOLERANCE).limit(1).count():
             break
         rate = rate_of(F.col("size"), F.col("t"), F.col("mean"))
         sums = sizes.join(state.select("source", "t", "mean"), "source").groupBy("source").agg(
             F.sum(F.col("n") * rate * F.col("size")).alias("got"),
-            F.sum(F.col("n") * rate * (1 - rate / MOST) * F.col("size") * F.col("size") / F.col("mean")).alias("slope"),
+            F.coalesce(F.sum(F.try_divide(F.col("n") * rate * (1 - rate / MOST) * F.col("size") * F.col("size"), F.col("mean"))), F.lit(0.0)).alias("slope"),
         )
         gap = F.col("got") - F.col("target")
         low = F.when(gap < 0, F.col("t")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("t")).otherwise(F.col("high"))
         joined = state.join(sums, "source").withColumns({"gap": gap, "low": low, "high": high})
-        newton = F.col("t") - F.col("gap") / F.col("slope")
+        newton = F.col("t") - F.try_divide(F.col("gap"), F.col("slope"))
         far = F.greatest(F.lit(1.0), F.abs("t") * 2)
         step = F.greatest(F.col("t") - far, F.least(F.col("t") + far, newton))
         middle = (F.col("low") + F.col("high")) / 2
-        inside = (step > F.col("low")) & (step < F.col("high")) & ~F.isnan(step) & (F.col("slope") > 0)
+        # Newton steps can creep along one side; after PATIENCE rounds every other step halves the bracket or doubles t, so that the rounds end.
+        newton_turn = F.lit(turn < PATIENCE or turn % 2 == 0)
+        inside = newton_turn & (step > F.col("low")) & (step < F.col("high")) & ~F.isnan(step) & (F.col("slope") > 0)
         open_end = F.when(F.col("gap") < 0, F.col("t") + far).otherwise(F.col("t") - far)
         bounded = (F.col("low") > float("-inf")) & (F.col("high") < float("inf"))
         miss = F.when(F.col("target") > 0, F.abs(F.col("gap")) / F.col("target")).otherwise(0.0)
-        # A target at the cap or at nothing is met in the limit; the rates are then 2 or 0 in double precision.
-        done = (miss <= TOLERANCE) | (F.abs("t") > 1e6)
+        # A target at the cap or at nothing is met in the limit; the rates are then 2 or 0 in double precision. A bracket that has closed meets
+        # a target as nearly as doubles can.
+        closed = bounded & (F.col("high") - F.col("low") <= CLOSED * F.greatest(F.lit(1.0), F.abs("t")))
+        done = (miss <= TOLERANCE) | (F.abs("t") > 1e6) | closed
         moved = F.when(done, F.col("t")).when(inside, step).when(bounded, middle).otherwise(open_end)
         state = joined.select("source", "target", "mean", moved.alias("t"), "low", "high", F.when(done, 0.0).otherwise(miss).alias("miss"))
     # Sums of doubles depend on the order of rows in the last digits; the rounding makes reruns agree.

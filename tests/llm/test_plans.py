@@ -13,6 +13,9 @@ from feedloom.llm import language, mixing, quality, sharding
 from feedloom.llm.common import repeat_rows, running_sum
 from feedloom.llm.sentence_pieces import encoder_of
 from feedloom.llm.lexicon import SPACE, default_model
+from feedloom.scratch import materialize, scratch_path
+from pyspark.sql import functions as F
+
 from tests.llm import brute
 from tests.llm.conftest import edge_rows, ordered, prose, tuples
 
@@ -77,6 +80,20 @@ def test_rates_are_those_of_the_largest_entropy(spark):
         assert r["t"] == pytest.approx(low, abs=1e-4)
 
 
+def test_rounds_go_on_until_every_target_is_met(spark, monkeypatch):
+    """With every other step a halving or doubling from the first round on; with a source of one document and one without words."""
+    sizes = [("0a", s, 1 + s % 3) for s in range(1, 400)] + [("0b", 1, 5000), ("0b", 100000, 1), ("0c", 7, 1), ("0d", 0, 4)]
+    counts = materialize(spark.createDataFrame(sizes, "source string, size long, n long"), scratch_path(spark, "test-sizes"))
+    totals = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    aims = materialize(mixing.targets(totals), scratch_path(spark, "test-aims"))
+    target = {r["source"]: r["target"] for r in aims.collect()}
+    monkeypatch.setattr(mixing, "PATIENCE", 0)
+    for r in mixing.tilts(counts, aims).collect():
+        own = [(s, n) for source, s, n in sizes if source == r["source"]]
+        got = sum(2 / (1 + np.exp(-r["t"] * s / r["mean"])) * s * n for s, n in own) if r["mean"] else 0
+        assert abs(got - target[r["source"]]) <= 1e-5 * max(1, target[r["source"]])
+
+
 def test_mixed_rows_are_the_copies_taken(edge, none):
     out = mixing.mixed(edge)
     assert out.schema.names == edge.schema.names
