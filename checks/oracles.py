@@ -137,6 +137,14 @@ WHERE rn <= {n}"""
 
 
 ORACLES: dict[str, str] = {
+    "survivor_store": """
+        WITH arrived AS (
+            SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, o_orderdate,
+                   CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+            FROM orders WHERE o_orderkey % 5 > 1 OR (o_orderkey % 5 = 0 AND o_orderstatus = 'F'))
+        SELECT * FROM arrived
+        QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+    """,
     "weekly_fact": _weekly_fact("calendar"),
     "weekly_fact_iso": _weekly_fact("iso"),
     "fact_keys": f"""

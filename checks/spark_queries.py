@@ -34,6 +34,7 @@ from feedloom.operators.publish import ServedTable, current_table, publish
 from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, quarantined, split_valid, tag_errors, write_quarantine
 from feedloom.operators.sinks import land_snapshot
 from feedloom.operators.states import StateTable, summary, update_states
+from feedloom.operators.survivors import SurvivorStore
 from feedloom.plans import marts, star
 from feedloom.plans.changes import run_changes
 from feedloom.plans.clean import store_feed, tagged_feed
@@ -610,7 +611,24 @@ def registry_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.registered(spark, root)
 
 
+def survivor_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest order of each customer and priority, kept in a store over three turns: five files of orders arrive, one is withdrawn and one
+    replaced by what is settled of it, at other prices."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_totalprice")
+    file = F.col("o_orderkey") % 5
+    path = _work_path(spark, "survivors")
+    store = SurvivorStore(spark, path, orders.schema, ["o_custkey", "o_orderpriority"], "o_orderdate", buckets=8)
+    store.add(orders.filter(file.isin(0, 1, 2)), file.cast("string"), 1)
+    store.withdraw(spark.createDataFrame([("1",)], "file string"), 2)
+    store.add(orders.filter(file == 3), file.cast("string"), 2)
+    store.withdraw(spark.createDataFrame([("0",)], "file string"), 3)
+    settled = orders.filter((file == 0) & (F.col("o_orderstatus") == "F")).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    store.add(settled.unionByName(orders.filter(file == 4)), file.cast("string"), 3)
+    return store.survivors()
+
+
 QUERIES: dict[str, Query] = {
+    "survivor_store": survivor_store,
     "incremental_star": incremental_star,
     "served_fact": served_fact,
     "wide_sums": wide_sums,
