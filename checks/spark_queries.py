@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +32,17 @@ from feedloom.operators.facts import (
 )
 from feedloom.operators.merge import upsert
 from feedloom.operators.publish import ServedTable, current_table, publish
-from feedloom.operators.quality import Rule, bad_rows, quality_counts, shares_above, quarantined, split_valid, tag_errors, write_quarantine
+from feedloom.operators.quality import (
+    FeedQualityError,
+    Rule,
+    bad_rows,
+    quality_counts,
+    quarantined,
+    shares_above,
+    split_valid,
+    tag_errors,
+    write_quarantine,
+)
 from feedloom.operators.sinks import land_snapshot
 from feedloom.operators.states import StateTable, summary, update_states
 from feedloom.operators.survivors import SurvivorStore
@@ -42,9 +53,11 @@ from feedloom.plans.load import load_star
 from feedloom.plans.pipeline import Paths
 from feedloom.scratch import drop_path, hadoop_path, materialize, scratch_path
 from feedloom.sources.feeds import MOVEMENTS, PRICES, STOCKS, FeedSpec, keep_facets, read_documents, unnest
-from feedloom.sources.tables import date_range
+from feedloom.sources.tables import date_range, read_optional
 from feedloom.streaming.incremental import arrived_feed, merge_arrivals
 
+log = logging.getLogger(__name__)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Amounts in the test tables have two decimals.
@@ -272,14 +285,24 @@ def month_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job, from landed files to silver and quarantine tables; both are returned."""
+    """The whole job, from landed files to silver and quarantine tables; both are returned.
+
+    Its gates refuse a feed without a valid row, such as one in which a pending order is the newest of every key. There is no silver table
+    then, and what the job has left in quarantine is all there is to return.
+    """
     work = _work_path(spark, "clean-prices")
-    documents = _landed(spark, "clean-prices", PRICES, roles.price_documents(spark, sf_dir))
-    store_feed(spark, tagged_feed(documents, PRICES), PRICES, f"{work}/silver", f"{work}/quarantine", batch_id="1")
-    silver = spark.read.parquet(f"{work}/silver/{PRICES.name}")
-    bad = quarantined(spark, f"{work}/quarantine/{PRICES.name}")
+    tagged = tagged_feed(_landed(spark, "clean-prices", PRICES, roles.price_documents(spark, sf_dir)), PRICES)
+    try:
+        store_feed(spark, tagged, PRICES, f"{work}/silver", f"{work}/quarantine", batch_id="1")
+    except FeedQualityError as refused:
+        log.warning("%s", refused)
     kept = [*PRICES.columns, "error_reason"]
-    return silver.withColumn("error_reason", F.lit(None).cast("string")).select(*kept).unionByName(bad.select(*kept))
+    silver = read_optional(spark, f"{work}/silver/{PRICES.name}")
+    bad = quarantined(spark, f"{work}/quarantine/{PRICES.name}")
+    found = spark.createDataFrame([], tagged.select(*kept).schema)
+    if silver is not None:
+        found = found.unionByName(silver.withColumn("error_reason", F.lit(None).cast("string")).select(*kept))
+    return found if bad is None else found.unionByName(bad.select(*kept))
 
 
 def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
