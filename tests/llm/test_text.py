@@ -285,3 +285,20 @@ def test_fitted_verdicts_match_brute_force(spark):
 def test_no_labels_keep_the_wide_limits(spark, edge, none):
     empty = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.fitted_bands(edge, None) == quality.fitted_bands(edge, empty) == quality.fitted_bands(none, empty) == quality.BANDS
+
+
+def test_limits_are_fitted_to_every_labelled_document(spark):
+    """50,100 labelled documents, one more kind of them than a sample of 50,000 has room for: all that are left out of a fit show in it."""
+    rng = random.Random(4)
+    texts = [prose(9000 + i, rng.randint(25, 35)) for i in range(60)]
+    docs = spark.range(50_100).select(
+        F.col("id").alias("doc_id"), F.element_at(F.array(*map(F.lit, texts)), (F.col("id") % 60 + 1).cast("int")).alias("text")
+    )
+    drawn = {r[0] for r in docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(50_000).select("doc_id").collect()}
+    rest = docs.select(F.col("doc_id"), F.when(F.col("doc_id").isin([i for i in range(50_100) if i not in drawn]), prose(5, 700)).otherwise(F.col("text")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    long = prose(5, 700).encode()
+    bands = quality.fitted_bands(rest, labels)
+    low, high = quality.ratio_band(len(long), bands)
+    ratio = round(len(long) / len(zstandard.ZstdCompressor(level=3).compress(long)), 4)
+    assert (low, high) == (ratio / quality.MARGIN, ratio * quality.MARGIN) != quality.ratio_band(len(long))
