@@ -23,6 +23,8 @@ CUTS = 256
 BITS = CUTS.bit_length() - 1
 #: Rows that the cuts of a column that has no numbers are taken from.
 SAMPLE = 20_000
+#: Rows that one task sorts and writes.
+TASK_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -42,35 +44,38 @@ class Between:
         return meets
 
 
-def cuts_of(df: DataFrame, column: str) -> list:
-    """Up to ``CUTS - 1`` values that cut the column into parts of about equal size; they come to the driver.
+def cuts_of(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, list], int]:
+    """Of each column up to ``CUTS - 1`` values that cut it into parts of about equal size, and the number of rows; they come to the driver.
 
-    From all rows where quantiles can be estimated, and from a bounded sample elsewhere: a bad cut makes a file's range wider and
-    changes no result.
+    From all rows, in one pass, where quantiles can be estimated, and from a bounded sample elsewhere: a bad cut makes a file's range
+    wider and changes no result.
     """
-    kind = df.schema[column].dataType
     shares = [i / CUTS for i in range(1, CUTS)]
-    if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType)):
-        found = df.agg(F.percentile_approx(F.col(f"`{column}`"), shares, 10_000)).first()[0] or []
-    else:
-        rows = df.count()
-        some = df.select(f"`{column}`").dropna().sample(min(1.0, SAMPLE / max(rows, 1)), seed=1).limit(2 * SAMPLE)
-        values = sorted(r[0] for r in some.collect())
-        found = [values[int(s * len(values))] for s in shares] if values else []
-    return sorted(set(found))
-
-
-def _up_to(value: Column):
-    return lambda edge: edge <= value
+    numbers = [c for c in columns if isinstance(df.schema[c].dataType, (T.NumericType, T.DateType, T.TimestampType))]
+    n_rows, *quantiles = df.agg(F.count(F.lit(1)), *[F.percentile_approx(F.col(f"`{c}`"), shares, 10_000) for c in numbers]).first()
+    found = dict(zip(numbers, quantiles))
+    for c in columns:
+        if c not in found:
+            some = df.select(f"`{c}`").dropna().sample(min(1.0, SAMPLE / max(n_rows, 1)), seed=1).limit(2 * SAMPLE)
+            values = sorted(r[0] for r in some.collect())
+            found[c] = [values[int(s * len(values))] for s in shares] if values else []
+    return {c: sorted(set(found[c] or [])) for c in columns}, n_rows
+
+
+def rank_of(value: Column, cuts: Sequence, kind: T.DataType) -> Column:
+    """How many of the sorted cuts are not above the value, found by halving: no row meets every cut. 0 for NULL."""
+    if not cuts:
+        return F.lit(0)
+    edges = F.array(*[F.lit(v).cast(kind) for v in cuts])
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(BITS))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) <= value, at + step).otherwise(at))
 
 
 def with_place(df: DataFrame, columns: Sequence[str], cuts: Mapping[str, list]) -> DataFrame:
     """Add ``_place`` on the curve: the bits of the columns' ranks in turn, highest first. A rank is made once and used bit by bit."""
     ranks = {}
     for i, c in enumerate(columns):
-        kind = df.schema[c].dataType
-        edges = F.array(*[F.lit(v).cast(kind) for v in cuts[c]]) if cuts[c] else F.array().cast(T.ArrayType(kind))
-        ranks[f"_rank{i}"] = F.size(F.filter(edges, _up_to(F.col(f"`{c}`"))))
+        ranks[f"_rank{i}"] = rank_of(F.col(f"`{c}`"), cuts[c], df.schema[c].dataType)
     out = F.lit(0).cast("long")
     for bit in reversed(range(BITS)):
         for rank in ranks:
@@ -79,14 +84,19 @@ def with_place(df: DataFrame, columns: Sequence[str], cuts: Mapping[str, list])
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], period: Column, rows_per_file: int = 1_000_000) -> None:
-    """Replace the table at ``path``; ``period`` names each row's folder. NULLs come first on the curve."""
+    """Replace the table at ``path``; ``period`` names each row's folder. NULLs come first on the curve.
+
+    A task writes many files one after the other, so that small files cost no more tasks or pieces of a shuffle than large ones.
+    """
     spark = df.sparkSession
-    cuts = {c: cuts_of(df, c) for c in columns}
+    cuts, n_rows = cuts_of(df, columns)
     placed = with_place(df, columns, cuts).withColumn(PERIOD, period.cast("string"))
     # Ranges of (period, place) hold about as many rows each, so that a large period has several files and small ones share a task.
-    files = max(1, -(-df.count() // rows_per_file))
-    ranged = placed.repartitionByRange(files, PERIOD, "_place").sortWithinPartitions(PERIOD, "_place", *columns)
-    ranged.drop("_place").write.mode("overwrite").partitionBy(PERIOD).parquet(f"{path}/rows")
+    files = max(1, -(-n_rows // rows_per_file))
+    tasks = min(files, max(spark.sparkContext.defaultParallelism, -(-n_rows // TASK_ROWS)))
+    ranged = placed.repartitionByRange(tasks, PERIOD, "_place").sortWithinPartitions(PERIOD, "_place", *columns)
+    bounded = ranged.drop("_place").write.option("maxRecordsPerFile", rows_per_file)
+    bounded.mode("overwrite").partitionBy(PERIOD).parquet(f"{path}/rows")
     written = spark.read.schema(df.schema.add(PERIOD, T.StringType())).parquet(f"{path}/rows")
     ends = [f(F.col(f"`{c}`")).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, f in (("least", F.min), ("most", F.max))]
     stats = written.groupBy(PERIOD, F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"), *ends)

@@ -13,7 +13,7 @@ from feedloom.functions.exact_sums import exact_sum, merged, negated, sum_states
 from feedloom.functions.sums import total
 from feedloom.operators import registry, segments
 from feedloom.operators.asof import as_of
-from feedloom.operators.clustered import Between, files_for, scan_clustered, write_clustered
+from feedloom.operators.clustered import Between, files_for, rank_of, scan_clustered, write_clustered
 from feedloom.operators.publish import drop_old_versions, read_periods
 from feedloom.operators.states import StateTable, WithdrawnTwiceError, coarser, read_states, summary, update_states
 from tests.conftest import rows
@@ -216,3 +216,21 @@ def test_clustered_table_reads_few_files(spark, tmp_path):
     assert rows(found) == rows(df.filter("date BETWEEN '2023-04-01' AND '2023-06-30' AND product BETWEEN 'p2' AND 'p3'"))
     assert scan_clustered(spark, root, columns, {"date": Between(dt.date(2030, 1, 1))}).count() == 0
     assert spark.read.parquet(f"{root}/rows").count() == 24_002
+
+
+def test_small_files_of_a_clustered_table_need_no_task_each(spark, tmp_path):
+    """1,000 files of 40 rows at most, written by as many tasks as there are cores: each task's files have numbers of their own."""
+    df = spark.range(40_000).select(F.expr("date_add(DATE'2022-01-01', cast(id * 7919 % 1096 as int))").alias("date"), "id")
+    write_clustered(df, str(tmp_path), ["date", "id"], F.year("date"), rows_per_file=40)
+    stats = spark.read.parquet(f"{tmp_path}/_files").collect()
+    assert len(stats) >= 1000 and max(s.n_rows for s in stats) <= 40 and sum(s.n_rows for s in stats) == 40_000
+    tasks = {re.search(r"part-(\d+)-", s.file)[1] for s in stats}
+    assert len(tasks) <= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 127, 128, 254, 255])
+def test_rank_among_cuts_is_their_number_up_to_the_value(spark, n):
+    cuts = [3 * i for i in range(n)]
+    df = spark.createDataFrame([(v,) for v in (None, *range(-2, 3 * n + 3))], "v long")
+    found = df.select("v", rank_of(F.col("v"), cuts, df.schema["v"].dataType).alias("rank")).collect()
+    assert all(r.rank == (0 if r.v is None else sum(c <= r.v for c in cuts)) for r in found)
