@@ -62,6 +62,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Amounts in the test tables have two decimals.
 CENTS = 2
+#: How the documents made from tables are landed. One task reads a compressed file, some 130 MB of text at most.
+TEXT_CODEC = "snappy"
+DOCUMENTS_PER_FILE = 250_000
 
 
 def _day(column: str) -> Column:
@@ -259,10 +262,15 @@ def typed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _land(documents: DataFrame, path: str) -> None:
+    """Documents of a few short records each, as text: repeated field names are most of it, so it is compressed."""
+    land_snapshot(documents, path, "snapshot", fmt="text", rebalance=False, compression=TEXT_CODEC, rows_per_file=DOCUMENTS_PER_FILE)
+
+
 def _landed(spark: SparkSession, label: str, spec: FeedSpec, documents: DataFrame) -> DataFrame:
     """Documents landed as files by snapshot and read back."""
     path = _work_path(spark, f"{label}-landed")
-    land_snapshot(documents, path, "snapshot", fmt="text", rebalance=False)
+    _land(documents, path)
     return read_documents(spark, spec, path, multi_line=False, stamp="snapshot")
 
 
@@ -313,7 +321,7 @@ def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     draft = F.regexp_replace("document", '"product-name":"', '"product-name":"draft ')
     drafts = documents.filter(year == 2000).withColumn("document", draft)
     for rows in (documents.filter(year > 2000).unionByName(drafts), documents.filter(year < 2000), documents.filter(year == 2000)):
-        land_snapshot(rows, landed, "snapshot", fmt="text", rebalance=False)
+        _land(rows, landed)
         _age(spark, landed, "snapshot=19*/*")
         merge_arrivals(spark, PRICES, f"{landed}/*/*", store, multi_line=False, stamp="snapshot", base=landed)
     return arrived_feed(spark, PRICES, store).select(*PRICES.columns, "error_reason")
@@ -552,7 +560,7 @@ def incremental_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = {feed: df.filter(snapshot != 2) for feed, df in documents.items()}
     for arrival in (first, later):
         for feed, df in arrival.items():
-            land_snapshot(df, landed[feed], "snapshot", fmt="text", rebalance=False)
+            _land(df, landed[feed])
         run_changes(spark, paths, "1", sources)
     for path in landed.values():
         drop_path(spark, f"{path}/snapshot=9")

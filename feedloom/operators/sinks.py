@@ -15,22 +15,32 @@ STAGING_SUFFIX = "_staging"
 
 
 def land_snapshot(
-    df: DataFrame, path: str, stamp: str = "load_date", fmt: str = "parquet", rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    stamp: str = "load_date",
+    fmt: str = "parquet",
+    rebalance: bool = True,
+    compression: str | None = None,
+    rows_per_file: int = 0,
 ) -> None:
     """Write each load date to its own folder: landing a date again replaces it, a new date adds.
 
     ``fmt="text"`` lands documents as they came, one per line, which unlike one document per file can
     be split among readers. The rebalance shuffles rows towards few files per date but splits a date
     too big for one task; leave it out for rows that are spread by date already.
+
+    ``compression`` is that of the files, if not the format's own. A reader cannot split a compressed text file, so ``rows_per_file``
+    should then bound it; documents of unbounded size are better left as they are.
     """
     if fmt == "text":
         # JSON has no line breaks inside its strings, so a document on one line is the same document.
         unbroken = {c: F.replace(F.replace(c, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" ")) for c in df.columns if c != stamp}
         df = df.withColumns(unbroken)
     rows = df.hint("rebalance", stamp) if rebalance else df
+    codec = {"compression": compression} if compression else {}
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", maxRecordsPerFile=rows_per_file, **codec)
         .partitionBy(stamp)
         .format(fmt)
         .save(path)

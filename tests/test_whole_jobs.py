@@ -5,9 +5,15 @@ import datetime as dt
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
+from checks import spark_queries
 from checks.compare import canonical
 from checks.oracles import ORACLES
 from checks.spark_queries import QUERIES
+from feedloom.operators.sinks import land_snapshot
+from feedloom.scratch import materialize
+from feedloom.sources.feeds import STOCKS
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
 
@@ -39,3 +45,41 @@ def matches_sql(spark, folder, name, table, rows, schema):
 def test_price_feed_returns_what_its_gates_leave(spark, tmp_path, orders, n_valid, n_bad):
     found = matches_sql(spark, tmp_path, "clean_price_feed", "orders", orders, ORDERS)
     assert (found["error_reason"].isna().sum(), found["error_reason"].notna().sum()) == (n_valid, n_bad)
+
+
+def stock_lines(spark, folder, n=4000):
+    number = F.col("id")
+    lines = spark.range(n).select(
+        number.alias("l_orderkey"), (number % 7).cast("int").alias("l_linenumber"), (number % 50).cast("double").alias("l_quantity"),
+        (number * 1.25).alias("l_extendedprice"), (number % 10 / 100).alias("l_discount"), (number % 9 / 100).alias("l_tax"),
+        F.element_at(F.array(*map(F.lit, "ANR")), (number % 3 + 1).cast("int")).alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.expr("timestamp(date_add(DATE'1998-01-01', cast(id % 300 as int)))").alias("l_shipdate"),
+    )
+    materialize(lines.coalesce(2), f"{folder}/lineitem.parquet")
+
+
+def test_landed_documents_are_compressed_and_their_files_bounded(spark, tmp_path, monkeypatch):
+    """A compressed file is read by one task; the plain text of the documents is several times as large."""
+    stock_lines(spark, tmp_path)
+    monkeypatch.setattr(spark_queries, "DOCUMENTS_PER_FILE", 100)
+    documents = spark_queries.roles.stock_documents(spark, str(tmp_path))
+    spark_queries._land(documents, f"{tmp_path}/landed")
+    land_snapshot(documents, f"{tmp_path}/plain", "snapshot", fmt="text", rebalance=False)
+    files = list((tmp_path / "landed").glob("*/part-*"))
+    plain = sum(f.stat().st_size for f in (tmp_path / "plain").glob("*/part-*"))
+    assert sum(f.stat().st_size for f in files) * 3 < plain
+    landed = spark.read.text(f"{tmp_path}/landed")
+    assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, spark.read.text(f"{tmp_path}/plain").collect()))
+    per_file = landed.groupBy(F.col("_metadata.file_path")).count().collect()
+    assert max(r["count"] for r in per_file) <= 100 and sum(r["count"] for r in per_file) == 4000
+
+
+@pytest.mark.parametrize("name", ["explode_nested", "clean_stock_feed"])
+def test_queries_land_compressed(spark, tmp_path, monkeypatch, name):
+    stock_lines(spark, tmp_path)
+    paths = []
+    work_path = spark_queries._work_path
+    monkeypatch.setattr(spark_queries, "_work_path", lambda *args: paths.append(work_path(*args)) or paths[-1])
+    found = QUERIES[name](spark, str(tmp_path))
+    assert paths and all(f.endswith(".snappy") for f in spark.read.text(paths[0]).inputFiles())
+    assert found.count() > 0 and set(STOCKS.texts) <= set(found.columns)
