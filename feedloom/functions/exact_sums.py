@@ -23,14 +23,18 @@ COUNT = "_n"
 LIMBS = ["_limb0", "_limb1", "_limb2"]
 # Bins of what is no finite number; NONE counts NULLs, so that a group without any value is not lost.
 NONE, NAN, INFINITE, MINUS_INFINITE = -4, -3, -2, -1
-#: 66 bins' limbs, and room for the carries of 2**90 rows.
-POSITIONS = 70
+#: Positions above the highest bin: its two other limbs and room for the carries of 2**90 rows.
+ABOVE = 5
 BASE = 1 << 32
 LOWEST = 1074
 
 
-def sum_states(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """``by``, bin, number of rows and limb sums. Partial sums are made before the shuffle."""
+def sum_states(df: DataFrame, by: Sequence[str], value: str, sign: str | None = None) -> DataFrame:
+    """``by``, bin, number of rows and limb sums. Partial sums are made before the shuffle.
+
+    ``sign`` names a bigint column that is 1 for rows to add and -1 for rows to withdraw.
+    """
+    counted = F.lit(1).cast("bigint") if sign is None else F.col(f"`{sign}`")
     x = F.col(f"`{value}`").cast("double")
     size = F.abs(x)
     # log2 may be off by a little at powers of two; one bit less makes the lowest bit a whole number all the same.
@@ -44,7 +48,7 @@ def sum_states(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         .otherwise(F.greatest(bin_, F.lit(0)))
         .cast("int")
     )
-    binned = df.select(*[F.col(f"`{c}`") for c in by], x.alias("_x"), found.alias(BIN))
+    binned = df.select(*[F.col(f"`{c}`") for c in by], x.alias("_x"), found.alias(BIN), counted.alias(COUNT))
     # Powers of two by halves, since 2**1074 is no double; multiplying by them is exact.
     power = F.lit(LOWEST) - 32 * F.col(BIN)
     half = F.floor(power / 2)
@@ -52,10 +56,10 @@ def sum_states(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     scaled = finite * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half)
     scaled = binned.select(*binned.columns, F.when(F.col(BIN) >= 0, scaled).otherwise(0.0).alias("_q"))
     rest = F.col("_q") - F.floor(F.col("_q") / 2.0**64) * F.lit(2.0**64)
-    sign = F.when(F.col("_x") < 0, -1).otherwise(1)
+    sign = F.when(F.col("_x") < 0, -F.col(COUNT)).otherwise(F.col(COUNT))
     parts = (rest - F.floor(rest / 2.0**32) * F.lit(2.0**32), F.floor(rest / 2.0**32), F.floor(F.col("_q") / 2.0**64))
     limbs = {name: (F.floor(part).cast("bigint") * sign).cast("decimal(18,0)") for name, part in zip(LIMBS, parts)}
-    return merged(scaled.withColumns(limbs).withColumn(COUNT, F.lit(1).cast("bigint")), by)
+    return merged(scaled.withColumns(limbs), by)
 
 
 def merged(states: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -104,14 +108,17 @@ def exact_sum(df: DataFrame, by: Sequence[str], value: str, out: str, count: str
 def _carry_steps() -> list[dict[str, str]]:
     """From the bins' limbs to a double, as SQL expressions one after the other."""
     limb = "coalesce(try_element_at(_bins, p - {0})._limb{0}, cast(0 as decimal(38,0)))".format
-    spread = f"transform(sequence(0, {POSITIONS - 1}), p -> cast({limb(0)} + {limb(1)} + {limb(2)} as decimal(38,0)))"
+    # Positions from the lowest bin in use up; all below are zero.
+    finite = "filter(map_keys(_bins), b -> b >= 0)"
+    spread = f"transform(sequence(_low, _high + {ABOVE}), p -> cast({limb(0)} + {limb(1)} + {limb(2)} as decimal(38,0)))"
     over = "((c + t - pmod(c + t, {0})) div {0})".format(BASE).replace("c + t", "cast(c + t as decimal(38,0))")
     carried = over.replace("c + t", "a.c + t * _sign")
     digit = f"cast(pmod(cast(a.c + t * _sign as decimal(38,0)), {BASE}) as bigint)"
-    # _top: the highest limb in use; _width: its bits; _a, _b, _c: it and the two below.
+    # _top: the highest limb in use, counted from _low; _width: its bits; _a, _b, _c: it and the two below.
     below = "coalesce(try_element_at(_limbs, _top + 1 - {0}), 0L)".format
     sticky = "exists(slice(_limbs, 1, greatest({0}, 0)), x -> x > 0)".format
     return [
+        {"_low": f"coalesce(array_min({finite}), 0)", "_high": f"coalesce(array_max({finite}), 0)"},
         {"_spread": spread},
         {"_sign": f"if(aggregate(_spread, 0L, (c, t) -> {over}) < 0, -1, 1)"},
         {"_limbs": f"aggregate(_spread, named_struct('c', 0L, 'd', array_repeat(0L, 0)), (a, t) -> named_struct('c', {carried}, 'd', array_append(a.d, {digit}))).d"},
@@ -122,10 +129,10 @@ def _carry_steps() -> list[dict[str, str]]:
             "_c": f"if(_top < 2, 0L, {below(2)})",
         },
         {"_width": "if(_a > 0, length(bin(_a)), 0)"},
-        {"_bits": "greatest(_top, 0) * 32 + _width"},
+        {"_bits": "if(_top < 0, 0, (_top + _low) * 32 + _width)"},
         {
             # The 53 highest bits, and what is left below them as (rest, half of the last bit, whether anything is lower still).
-            "_kept": "if(_bits <= 53, _b + if(_top > 0, _a * 4294967296L, _a), if(_width >= 21, "
+            "_kept": "if(_bits <= 53, _b + if(_top + _low > 0, _a * 4294967296L, _a), if(_width >= 21, "
             "shiftleft(_a, 53 - _width) + shiftright(_b, _width - 21), "
             "shiftleft(_a, 53 - _width) + shiftleft(_b, 21 - _width) + shiftright(_c, 11 + _width)))",
             "_rest": "CASE WHEN _width > 21 THEN _b & (shiftleft(1L, _width - 21) - 1) WHEN _width = 21 THEN _c "

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,20 +78,44 @@ def publish(spark: SparkSession, root: str, staged: Mapping[str, DataFrame], tab
     return replace_periods(spark, root, changes, version)
 
 
+def new_attempt(base: int) -> str:
+    """A name for the folders of a publish upon version ``base``."""
+    return f"{base + 1}-{uuid.uuid4().hex}"
+
+
+def write_periods(root: str, name: str, rows: DataFrame, attempt: str) -> DataFrame:
+    """Write a table's rows where ``replace_periods`` will publish them from, and read them back. No pointer names them yet."""
+    folder = _folder(root, name, attempt)
+    rows.write.partitionBy(PERIOD).parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def drop_attempt(spark: SparkSession, root: str, names: Iterable[str], attempt: str) -> None:
+    """Remove what was written for a publish that will not be."""
+    for name in names:
+        drop_path(spark, _folder(root, name, attempt))
+
+
 def replace_periods(
-    spark: SparkSession, root: str, changes: Mapping[str, tuple[DataFrame, Sequence[str]]], base: int
+    spark: SparkSession,
+    root: str,
+    changes: Mapping[str, tuple[DataFrame, Sequence[str]]],
+    base: int,
+    attempt: str | None = None,
 ) -> int:
     """Per table, make the rows given (with their ``period``) the whole content of the periods named.
 
-    ``base`` is the version that the rows were computed from; the switch fails if another one has come since.
+    ``base`` is the version that the rows were computed from; the switch fails if another one has come since. With an ``attempt`` the
+    rows have been written for it by ``write_periods``.
     """
     _, parts = _latest(spark, root)
-    new = f"{base + 1}-{uuid.uuid4().hex}"
+    new = attempt or new_attempt(base)
 
     def writing(name: str, rows: DataFrame):
         return lambda: rows.write.partitionBy(PERIOD).parquet(_folder(root, name, new))
 
-    at_once([writing(name, rows) for name, (rows, _) in changes.items()])
+    if attempt is None:
+        at_once([writing(name, rows) for name, (rows, _) in changes.items()])
     for name, (_, touched) in changes.items():
         # A period that has lost its last row has no folder; the pointer forgets it.
         filled = {p: new for p in touched if path_exists(spark, f"{_folder(root, name, new)}/{PERIOD}={p}")}

@@ -16,8 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.exact_sums import BIN, COUNT, LIMBS, merged, negated, sum_states, totals, without_empty
-from feedloom.operators.publish import PERIOD, current_table, read_periods, replace_periods
+from feedloom.functions.exact_sums import BIN, COUNT, LIMBS, merged, sum_states, totals, without_empty
+from feedloom.operators.publish import PERIOD, current_table, drop_attempt, new_attempt, read_periods, replace_periods, write_periods
 from feedloom.scratch import drop_path, materialize, scratch_path
 
 VALUE = "_value"
@@ -45,15 +45,12 @@ class StateTable:
         return df.withColumn(PERIOD, F.expr(self.period).cast("string"))
 
 
-def _value_counts(df: DataFrame, table: StateTable) -> DataFrame:
+def _signed(added: DataFrame | None, withdrawn: DataFrame | None, table: StateTable) -> DataFrame:
+    """The rows that came and went with their sign, so that one aggregate takes both."""
     value = F.col(f"`{table.value}`").cast("double").alias(VALUE)
-    return df.select(*table.by, value).groupBy(*table.by, VALUE).agg(F.count("*").alias(COUNT))
-
-
-def _net(added: DataFrame | None, withdrawn: DataFrame | None, aggregate, back) -> DataFrame:
-    parts = [aggregate(added)] if added is not None else []
-    parts += [back(aggregate(withdrawn))] if withdrawn is not None else []
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    parts = [(df, sign) for df, sign in ((added, 1), (withdrawn, -1)) if df is not None]
+    signed = [df.select(*table.by, value, F.lit(sign).cast("bigint").alias(COUNT)) for df, sign in parts]
+    return signed[0] if len(signed) == 1 else signed[0].unionByName(signed[1])
 
 
 @dataclass(frozen=True)
@@ -72,38 +69,51 @@ def update_states(
     work = scratch_path(spark, f"states-{table.name}")
     try:
         version, _ = read_periods(spark, root, table.name, [])
-        change = state_change(spark, root, table, added, withdrawn, work)
+        attempt = new_attempt(version)
+        try:
+            change = state_change(spark, root, table, added, withdrawn, work, attempt)
+        except Exception:
+            drop_attempt(spark, root, [table.name, table.values_name], attempt)
+            raise
         if change.touched:
-            replace_periods(spark, root, change.tables, version)
+            replace_periods(spark, root, change.tables, version, attempt)
         return change.touched
     finally:
         drop_path(spark, work)
 
 
 def state_change(
-    spark: SparkSession, root: str, table: StateTable, added: DataFrame | None, withdrawn: DataFrame | None, work: str
+    spark: SparkSession,
+    root: str,
+    table: StateTable,
+    added: DataFrame | None,
+    withdrawn: DataFrame | None,
+    work: str,
+    attempt: str | None = None,
 ) -> StateChange:
-    """The new states of the periods touched, written under ``work`` and not yet published."""
+    """The new states of the periods touched, not yet published: written under ``work``, or for the publish ``attempt``."""
     if added is None and withdrawn is None:
         return StateChange({}, [], None)
-    change = _net(added, withdrawn, lambda df: sum_states(df, table.by, table.value), negated)
-    change = materialize(table.of_period(without_empty(merged(change, table.by))), f"{work}/{table.name}-change")
+
+    def stored(name: str, rows: DataFrame) -> DataFrame:
+        return materialize(rows, f"{work}/{name}") if attempt is None else write_periods(root, name, rows, attempt)
+
+    rows = _signed(added, withdrawn, table)
+    change = materialize(table.of_period(without_empty(sum_states(rows, table.by, VALUE, sign=COUNT))), f"{work}/{table.name}-change")
     touched = sorted(r[0] for r in change.select(PERIOD).distinct().collect())
     if not touched:
         return StateChange({}, [], None)
     by = [*table.by, PERIOD]
     _, old = read_periods(spark, root, table.name, touched)
-    new = change if old is None else change.unionByName(old)
-    new = materialize(without_empty(merged(new, by)), f"{work}/{table.name}")
+    new = stored(table.name, change if old is None else without_empty(merged(change.unionByName(old), by)))
     _refuse_negative(new, table)
     tables = {table.name: (new, touched)}
     if table.extremes:
-        values = _net(added, withdrawn, lambda df: _value_counts(df, table), lambda df: df.withColumn(COUNT, -F.col(COUNT)))
-        values = table.of_period(values)
+        values = table.of_period(rows).select(*by, VALUE, COUNT)
         _, old = read_periods(spark, root, table.values_name, touched)
         both = values if old is None else values.unionByName(old)
         counts = both.groupBy(*by, VALUE).agg(F.sum(COUNT).alias(COUNT)).filter(F.col(COUNT) != 0)
-        counts = materialize(counts, f"{work}/{table.values_name}")
+        counts = stored(table.values_name, counts)
         _refuse_negative(counts, table)
         # A value withdrawn and another one added may leave the sum as it was, in a period that the sums do not name.
         tables[table.values_name] = (counts, touched)

@@ -9,13 +9,15 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom.functions import exact_sums
 from feedloom.functions.exact_sums import exact_sum, merged, negated, sum_states, totals, without_empty
 from feedloom.functions.sums import total
-from feedloom.operators import registry, segments
+from feedloom.operators import registry, segments, states
 from feedloom.operators.asof import as_of
 from feedloom.operators.clustered import Between, files_for, rank_of, scan_clustered, write_clustered
 from feedloom.operators.publish import drop_old_versions, read_periods
 from feedloom.operators.states import StateTable, WithdrawnTwiceError, coarser, read_states, summary, update_states
+from feedloom.scratch import materialize
 from tests.conftest import rows
 
 HUGE = 1.7976931348623157e308
@@ -234,3 +236,35 @@ def test_rank_among_cuts_is_their_number_up_to_the_value(spark, n):
     df = spark.createDataFrame([(v,) for v in (None, *range(-2, 3 * n + 3))], "v long")
     found = df.select("v", rank_of(F.col("v"), cuts, df.schema["v"].dataType).alias("rank")).collect()
     assert all(r.rank == (0 if r.v is None else sum(c <= r.v for c in cuts)) for r in found)
+
+
+def test_an_update_writes_each_table_of_states_once(spark, tmp_path, monkeypatch):
+    """The new states go straight to the folders that are published; those of an update that is refused are removed."""
+    stored = []
+    monkeypatch.setattr(states, "materialize", lambda df, path: stored.append(path.rsplit("/", 1)[1]) or materialize(df, path))
+    root, table = str(tmp_path), StateTable("t", ("day", "g"), "v", period="year(day)", extremes=True)
+    day = dt.date(2023, 5, 1)
+    one = spark.createDataFrame([(day, "a", 1.5), (day, "a", 1e300), (day, "b", -2.0)], "day date, g string, v double")
+    two = spark.createDataFrame([(day, "a", 1e300), (day, "b", -2.0)], "day date, g string, v double")
+    assert update_states(spark, root, table, added=one) == ["2023"]
+    assert update_states(spark, root, table, added=two.filter("g = 'b'"), withdrawn=two) == ["2023"]
+    assert stored == ["t-change", "t-change"]
+    found = summary(spark, root, table).select("g", "n_values", "total", "least", "greatest")
+    assert rows(found) == [("a", 1, 1.5, 1.5, 1.5), ("b", 1, -2.0, -2.0, -2.0)]
+    folders = sorted(p.name for name in ("t", "t_values") for p in (tmp_path / name).iterdir())
+    with pytest.raises(WithdrawnTwiceError):
+        update_states(spark, root, table, withdrawn=one)
+    assert folders == sorted(p.name for name in ("t", "t_values") for p in (tmp_path / name).iterdir()) and len(folders) == 4
+
+
+def test_totals_carry_only_through_the_bins_in_use(spark):
+    rng = random.Random(6)
+    powers = [-1074, -1050, -1022, -600, -3, 0, 40, 600, 960]
+    groups = {g: [rng.choice([-1, 1]) * rng.randint(1, 2**20) * 2.0 ** max(-1074, p + rng.randint(-30, 30)) for _ in range(8)] for g, p in enumerate(powers)}
+    groups |= {100: [2.0**60, -(2.0**60), 2.0**-1074], 101: [0.0, -0.0], 102: [2.0**32 * 2.0**-1074, 2.0**-1074], 103: [-(2.0**20)] * 9}
+    df = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g long, v double")
+    found = {r.g: r.t for r in exact_sum(df, ["g"], "v", "t").collect()}
+    assert {g: repr(t) for g, t in found.items()} == {g: repr(true_sum(values) + 0.0) for g, values in groups.items()}
+    steps = {name: text for step in exact_sums._carry_steps() for name, text in step.items()}
+    lengths = totals(sum_states(df, ["g"], "v"), ["g"], "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert steps["_spread"].startswith("transform(sequence(_low, _high") and "sequence(0, 69" not in lengths
