@@ -83,10 +83,13 @@ def new_attempt(base: int) -> str:
     return f"{base + 1}-{uuid.uuid4().hex}"
 
 
-def write_periods(root: str, name: str, rows: DataFrame, attempt: str) -> DataFrame:
-    """Write a table's rows where ``replace_periods`` will publish them from, and read them back. No pointer names them yet."""
+def write_periods(root: str, name: str, rows: DataFrame, attempt: str, more: bool = False) -> DataFrame:
+    """Write a table's rows where ``replace_periods`` will publish them from, and read them back. No pointer names them yet.
+
+    ``more`` adds them to rows of the same columns that are there.
+    """
     folder = _folder(root, name, attempt)
-    rows.write.partitionBy(PERIOD).parquet(folder)
+    rows.write.mode("append" if more else "error").partitionBy(PERIOD).parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 

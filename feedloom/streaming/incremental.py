@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.dedup import keep_latest
-from feedloom.operators.publish import PERIOD, WHOLE, current_table, read_periods, replace_periods
+from feedloom.operators.publish import PERIOD, WHOLE, current_table, new_attempt, read_periods, replace_periods, write_periods
 from feedloom.operators.quality import FeedQualityError, tag_errors
 from feedloom.plans.clean import CleanCounts, store_feed
 from feedloom.scratch import drop_path, materialize, scratch_path
@@ -65,24 +65,27 @@ def merge_arrivals(
         if not paths and not gone.limit(1).count():
             return 0
         kept = known.join(gone.select("path"), "path", "left_anti")
-        changes = {}
+        attempt = new_attempt(version)
         rows = None
         if paths:
-            rows = materialize(shaped_with_file(spark, spec, paths, multi_line, stamp, base), f"{work}/rows")
+            # Written once, where they will be published from; a failed run leaves folders that no pointer names.
+            shaped = shaped_with_file(spark, spec, paths, multi_line, stamp, base)
+            rows = write_periods(store, spec.name, shaped.hint("rebalance", PERIOD), attempt)
             per_file = rows.groupBy(FILE).agg(F.collect_set(PERIOD).alias("periods"))
             new = present.join(known, same, "left_anti").join(per_file, F.col("uri") == F.col(FILE), "left")
             new = new.select("path", "uri", "modified", "length", F.coalesce("periods", no_periods()).alias("periods"))
             kept = kept.unionByName(new)
             touched |= {r[0] for r in rows.select(PERIOD).distinct().collect()}
-        changes[FILES] = (kept.withColumn(PERIOD, F.lit(WHOLE)), [WHOLE])
+        files = write_periods(store, FILES, kept.withColumn(PERIOD, F.lit(WHOLE)), attempt)
+        changes = {FILES: (files, [WHOLE])}
         _, old = read_periods(spark, store, spec.name, sorted(touched))
         if old is not None:
+            # Rows that stay lie together by period already, so they are added to those folders as they are.
             old = old.join(gone.select(F.col("uri").alias(FILE)), FILE, "left_anti")
-        both = [df for df in (old, rows) if df is not None]
-        if touched and both:
-            merged = both[0] if len(both) == 1 else both[0].unionByName(both[1])
-            changes[spec.name] = (merged.hint("rebalance", PERIOD), sorted(touched))
-        replace_periods(spark, store, changes, version)
+            rows = write_periods(store, spec.name, old, attempt, more=rows is not None)
+        if touched and rows is not None:
+            changes[spec.name] = (rows, sorted(touched))
+        replace_periods(spark, store, changes, version, attempt)
         return len(paths)
     finally:
         drop_path(spark, work)

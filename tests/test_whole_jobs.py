@@ -13,7 +13,9 @@ from checks.oracles import ORACLES
 from checks.spark_queries import QUERIES
 from feedloom.operators.sinks import land_snapshot
 from feedloom.scratch import materialize
-from feedloom.sources.feeds import STOCKS
+from feedloom.sources.feeds import PRICES, STOCKS
+from feedloom.streaming import incremental
+from tests.conftest import price, rows
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
 
@@ -83,3 +85,25 @@ def test_queries_land_compressed(spark, tmp_path, monkeypatch, name):
     found = QUERIES[name](spark, str(tmp_path))
     assert paths and all(f.endswith(".snappy") for f in spark.read.text(paths[0]).inputFiles())
     assert found.count() > 0 and set(STOCKS.texts) <= set(found.columns)
+
+
+def test_arrivals_are_written_once(spark, land, tmp_path, monkeypatch):
+    """New rows go straight to the folders that are published, and rows that stay join them there."""
+    stored = []
+    monkeypatch.setattr(incremental, "materialize", lambda df, path: stored.append(path.rsplit("/", 1)[1]) or materialize(df, path))
+    store, source = str(tmp_path / "store"), f"{land.folder}/*.json"
+    land("prices_20240101.json", [price("2023-05-01", "1.5"), price("2022-05-01", "2.5")])
+    assert incremental.merge_arrivals(spark, PRICES, source, store) == 1
+    land("prices_20240102.json", [price("2023-05-02", "3.5"), price("no date", "4.5")])
+    assert incremental.merge_arrivals(spark, PRICES, source, store) == 1
+    land("prices_20240102.json", [price("2023-05-03", "55.5"), price("2023-05-01", "6.5")])
+    assert incremental.merge_arrivals(spark, PRICES, source, store) == 1
+    land("prices_20240103.json", [])
+    assert incremental.merge_arrivals(spark, PRICES, source, store) == 1
+    assert stored == ["listing", "gone"] * 4
+    found = incremental.arrived_feed(spark, PRICES, store).select("date", "price_usd_per_gal", "error_reason")
+    assert rows(found) == [(dt.date(2022, 5, 1), 2.5, None), (dt.date(2023, 5, 1), 6.5, None), (dt.date(2023, 5, 3), 55.5, None)]
+    (tmp_path / "bronze" / "prices_20240102.json").unlink()
+    assert incremental.merge_arrivals(spark, PRICES, source, store) == 0
+    found = incremental.arrived_feed(spark, PRICES, store).select("date", "price_usd_per_gal")
+    assert rows(found) == [(dt.date(2022, 5, 1), 2.5), (dt.date(2023, 5, 1), 1.5)]
